@@ -17,41 +17,38 @@ def bucketed_prefix(
     bucket: Column,
     order: list[str],
     rank: str = "rank",
-    value: str | None = None,
-    before: str = "before",
+    value: str | list[str] | None = None,
+    before: str | list[str] = "before",
 ) -> DataFrame:
-    """Add ``rank`` (from 0) and, with ``value``, the sum of ``value`` over the rows before.
+    """Add ``rank`` (from 0) and, with ``value``, its sum over the rows before; several values may be listed.
 
     The order within a key is (bucket, order); with a bucket that grows with the order
     columns this is the plain order. Null keys form a group of their own. An empty
     input gives an empty result. The order has to be total for a repeatable result.
     """
+    values = [value] if isinstance(value, str) else value or []
+    names = [before] if isinstance(before, str) else before
     b = df.withColumn("__bucket", bucket)
-    sums = [F.count(F.lit(1)).alias("__n")]
-    if value:
-        sums.append(F.sum(F.coalesce(F.col(value), F.lit(0))).alias("__v"))
-    totals = b.groupBy(*keys, "__bucket").agg(*sums)
+    filled = [F.coalesce(F.col(v), F.lit(0)).cast("long") for v in values]
+    totals = b.groupBy(*keys, "__bucket").agg(F.count(F.lit(1)).alias("__n"), *[F.sum(v).alias(f"__v{i}") for i, v in enumerate(filled)])
     over = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda c: F.coalesce(F.sum(c).over(over), F.lit(0))
     offsets = totals.select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
         F.col("__bucket").alias("__ob"),
-        F.coalesce(F.sum("__n").over(over), F.lit(0)).alias("__on"),
-        *([F.coalesce(F.sum("__v").over(over), F.lit(0)).alias("__ov")] if value else []),
+        so_far("__n").alias("__on"),
+        *[so_far(f"__v{i}").alias(f"__ov{i}") for i in range(len(values))],
     )
     local = Window.partitionBy(*keys, "__bucket").orderBy(*order)
-    out = b.withColumn("__r", F.row_number().over(local) - 1)
-    if value:
-        out = out.withColumn(
-            "__lv",
-            F.coalesce(F.sum(F.coalesce(F.col(value), F.lit(0))).over(local.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        )
+    earlier = local.rowsBetween(Window.unboundedPreceding, -1)
+    out = b.withColumns({"__r": F.row_number().over(local) - 1} | {f"__l{i}": F.coalesce(F.sum(v).over(earlier), F.lit(0)) for i, v in enumerate(filled)})
     on = F.col("__bucket").eqNullSafe(F.col("__ob"))
     for i, k in enumerate(keys):
         on = on & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-    out = out.join(offsets, on, "left").withColumn(rank, (F.col("__r") + F.col("__on")).cast("long"))
-    if value:
-        out = out.withColumn(before, (F.col("__lv") + F.col("__ov")).cast("long"))
-    return out.select(*df.columns, rank, *([before] if value else []))
+    out = out.join(offsets, on, "left").withColumns(
+        {rank: (F.col("__r") + F.col("__on")).cast("long")} | {names[i]: (F.col(f"__l{i}") + F.col(f"__ov{i}")).cast("long") for i in range(len(values))}
+    )
+    return out.select(*df.columns, rank, *names[: len(values)])
 
 
 def salt(columns: list[str], buckets: int = 256) -> Column:
