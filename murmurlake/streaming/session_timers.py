@@ -155,7 +155,7 @@ class SessionTimer(StatefulProcessor):
                 {"key": [key[0]] * len(done), "start_ms": [d[0] for d in done], "end_ms": [d[1] for d in done], "events": [d[2] for d in done]}
             )
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timer_values: Any) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
         # Several sessions can be open until the watermark passes: late events may still join them.
         spans = [tuple(map(int, r)) for r in self.open.get()] if self.open.exists() else []
         for pdf in rows:
@@ -181,8 +181,8 @@ class SessionTimer(StatefulProcessor):
         else:
             self.open.clear()
 
-    def handleExpiredTimer(self, key: Any, timer_values: Any, expired: Any) -> Iterator[pd.DataFrame]:
-        at = expired.get_expiry_time_in_ms()
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        at = expiredTimerInfo.getExpiryTimeInMs()
         spans = [tuple(map(int, r)) for r in self.open.get()] if self.open.exists() else []
         done = [s for s in spans if s[1] + self.gap_ms < at]
         left = [s for s in spans if s[1] + self.gap_ms >= at]
