@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from murmurlake.config import MINED_BUCKETS, Words
 from murmurlake.functions import text as tx
+from murmurlake.functions.jsons import document
 
 #: One row of a lexicon in any form: files become this, the stored table is it.
 SCHEMA = "entry_no int, kind string, phrase string, label string, severity string, risk string, status string"
@@ -27,7 +28,7 @@ def read_jsonl(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """A JSON-lines lexicon: byte-order marks, blank lines and lines that don't parse are passed over."""
     lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("entry_no"), F.regexp_replace("value", "^﻿", "").alias("line"))
     schema = "struct<phrase:string,label:string,severity:string,risk:string,status:string>"
-    parsed = lines.select(F.col("entry_no").cast("int").alias("entry_no"), F.from_json("line", schema).alias("e"), F.try_parse_json("line").alias("v"))
+    parsed = lines.select(F.col("entry_no").cast("int").alias("entry_no"), F.from_json("line", schema).alias("e"), document("line").alias("v"))
     return parsed.where(F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))).select("entry_no", F.lit(kind).alias("kind"), "e.*")
 
 

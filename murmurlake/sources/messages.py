@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from murmurlake.functions.jsons import document
 from murmurlake.functions.text import strip
 from murmurlake.functions.time import text_millis, usable_millis
 
@@ -103,9 +104,8 @@ def owned_by_identity(messages: DataFrame, ids: tuple[str, ...], names: tuple[st
 
 def scan_folder(spark: SparkSession, folder: str, limit_files: int | None = None) -> DataFrame:
     """(source_file, file_ord, doc): export files below ``folder`` – .json by path, then .jsonl by path."""
-    whole = (
-        spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,jsonl}").option("wholetext", True).text(folder)
-    )
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,jsonl}")
+    whole = reader.text(folder, wholetext=True)
     files = whole.select(F.col("_metadata.file_path").alias("source_file"), F.regexp_replace("value", "^\ufeff", "").alias("doc"))
     if limit_files and limit_files > 0:
         order = F.struct(F.col("source_file").endswith(".jsonl").alias("j"), "source_file")
@@ -131,7 +131,7 @@ def read_exports(spark: SparkSession, folder: str, limit_files: int | None = Non
     With ``json_lines`` each line of a .jsonl file is a message.
     """
     files = scan_folder(spark, folder, limit_files)
-    docs = files.withColumn("v", F.try_parse_json("doc"))
+    docs = files.withColumn("v", document("doc"))
     kind = F.schema_of_variant("v")
     is_object = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
     listed = F.coalesce(*[F.try_variant_get("v", f"$.{n}", "variant") for n in ("messages", "data", "list")])
@@ -153,7 +153,7 @@ def read_exports(spark: SparkSession, folder: str, limit_files: int | None = Non
     entries = docs.where("is_list").select("source_file", F.posexplode(F.try_variant_get("list", "$", "array<variant>")).alias("msg_idx", "m"))
     if json_lines:
         lines = files.where(F.col("source_file").endswith(".jsonl")).select("source_file", F.posexplode(F.split("doc", "\n")).alias("msg_idx", "line"))
-        entries = entries.union(lines.select("source_file", "msg_idx", F.try_parse_json("line").alias("m")))
+        entries = entries.union(lines.select("source_file", "msg_idx", document("line").alias("m")))
     entries = entries.where(F.coalesce(F.schema_of_variant("m").startswith("OBJECT"), F.lit(False)))
     m = F.col("m")
     sender, content = _object(m, "sender", "fromUser", "from"), _object(m, "content", "message", "msgContent")

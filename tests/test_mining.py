@@ -1,0 +1,174 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from murmurlake.config import CODE_DEFAULTS
+from murmurlake.operators import clusters as cl
+from murmurlake.operators import lexicon, mining
+from murmurlake.sources import messages as src
+
+OPEN = CODE_DEFAULTS.with_(min_freq=2, min_pmi_2gram=0.0, min_pmi_3gram=0.0, min_pmi_4gram=0.0, min_entropy=0.0)
+
+
+def texts(spark, *rows):
+    df = spark.createDataFrame([(i, b, t) for i, (b, t) in enumerate(rows)], "ord int, bucket string, my_text string")
+    return mining.scan_texts(df)
+
+
+def phrases(spark, *listed):
+    return spark.createDataFrame([(p,) for p in listed], "phrase string")
+
+
+def test_rejected_hits_lower_keyness(spark):
+    t = texts(spark, ("candidates", "甲个人乙"), ("rejected", "丙个人丁"), ("rejected", "戊个人己"), ("rejected", None), ("candidates", ""))
+    none = phrases(spark)
+    row = {r["phrase"]: r for r in mining.mine(t, OPEN, none, none, none).collect()}["个人"]
+    assert row["style_keyness"] < 1.5 and row["suggested_action"] == "skip"
+    assert (row["freq"], row["left_entropy"], row["right_entropy"]) == (3, 1.585, 1.585)
+    kept = {r["phrase"]: r for r in mining.mine(t, OPEN, none, phrases(spark, "个人"), none).collect()}["个人"]
+    assert kept["suggested_action"] == "manual_keep" and "manual_phrase_keep" in kept["reasons"]
+    assert mining.mine(t, OPEN, phrases(spark, "个人"), none, none).count() == 0
+    assert mining.mine(t, OPEN, none, none, phrases(spark, "个人")).count() == 0
+
+
+def test_windows_stop_at_other_scripts(spark):
+    t = texts(spark, ("candidates", "一二三a一二，三四五六"))
+    got = {(r["n"], r["phrase"]): r["freq"] for r in mining.count_phrases(t, OPEN).collect()}
+    assert got == {(2, "一二"): 2, (2, "二三"): 1, (3, "一二三"): 1, (2, "三四"): 1, (2, "四五"): 1, (2, "五六"): 1, (3, "三四五"): 1, (3, "四五六"): 1, (4, "三四五六"): 1}
+
+
+def test_empty_texts_mine_nothing(spark):
+    none = phrases(spark)
+    assert mining.mine(texts(spark, ("candidates", None)), OPEN, none, none, none).count() == 0
+
+
+def test_review_lists_and_promotion(spark):
+    t = texts(spark, *[("candidates", f"{x}好词{y}") for x, y in zip("甲乙丙丁戊己", "子丑寅卯辰巳", strict=True)] * 2)
+    none = phrases(spark)
+    mined = mining.mine(t, OPEN, none, none, none).cache()
+    assert {r["list"] for r in mining.review_lists(mined, OPEN).collect()} == {"review_phrases_top"}
+    s = OPEN.with_(promote_min_pmi=0.0)
+    assert [r["phrase"] for r in mining.promote(mined, s, []).collect()] == ["好词"]
+    assert mining.promote(mined, s, ["好词"]).count() == 0
+    assert mining.new_candidates(mined, phrases(spark, "好词")).where("phrase = '好词'").count() == 0
+
+
+def test_clusters_join_only_linked_phrases(spark):
+    df = spark.createDataFrame([("就是说", 8, 1.0), ("就是", 7, 2.0), ("完全不同", 9, 1.0), ("哈哈哈", 1, 0.0), ("哈哈", 2, 0.0), (" ", 1, 0.0), (None, 1, 0.0)], "phrase string, freq long, style_keyness double")
+    got = {r["canonical_phrase"]: ([m["phrase"] for m in r["members"]], r["link_types"]) for r in cl.clusters(df).collect()}
+    assert got == {"就是说": (["就是说", "就是"], ["contained_phrase"]), "哈哈": (["哈哈", "哈哈哈"], ["normalised_variant"])}
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}") for i in range(20)] + [("x", "y")], "a string, b string")
+    roots = {r["id"]: r["root"] for r in cl.components(edges).collect()}
+    assert set(roots.values()) == {"n00", "x"} and roots["n20"] == "n00"
+
+
+def entries(spark, *rows):
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], lexicon.SCHEMA)
+
+
+def test_stoplist_diagnosis(spark, tmp_path):
+    (tmp_path / "s.txt").write_text("﻿# comments\n哈哈\n哈哈 # again\n其实\n。\n\n多字短语测试\n", encoding="utf-8")
+    stop = lexicon.read_stoplist(spark, str(tmp_path / "s.txt"))
+    bank = entries(spark, ("phrase_bank", "其实", "argument_marker", None, None, None), ("phrase_bank", "哈哈", "light_interruption", None, None, None))
+    got = {(r["metric"], r["item"]): r["value"] for r in lexicon.diagnose_stoplist(stop, bank).collect()}
+    assert got == {
+        ("total_entries", ""): 5, ("unique_entries", ""): 4, ("duplicate", "哈哈"): 2, ("conflict", "其实:argument_marker"): 1, ("conflict", "哈哈:light_interruption"): 1,
+        ("conflict_category", "argument_marker"): 1, ("conflict_category", "light_interruption"): 1, ("length", "1"): 1, ("length", "2"): 3, ("length", "5plus"): 1,
+    }
+
+
+def test_lexicon_files_and_lists(spark, tmp_path):
+    (tmp_path / "b.jsonl").write_text('﻿{"phrase": "其实", "label": "analysis_marker"}\n\nbroken\n{"phrase": "gone", "label": "tone_marker"}\n', encoding="utf-8")
+    read = lexicon.read_jsonl(spark, str(tmp_path / "b.jsonl"), "phrase_bank")
+    more = entries(spark, ("manual_drop", "gone", None, None, None, "active"), ("chaos_lexicon", "x", None, "mild", None, "active"), ("chaos_lexicon", "x", None, "mild", None, "archived"))
+    w = lexicon.word_lists(lexicon.active(read.unionByName(more)))
+    assert (w.analysis, w.tone, w.mild) == (("其实",), (), ())
+
+
+@pytest.mark.parametrize("at_once", [2000, 0])
+def test_audit(spark, at_once, monkeypatch):
+    rows = [("candidates", "好词 甲")] * 6 + [("micro_style", "好词")] * 2 + [("rejected", "坏词")] * 3 + [("debatable", "好词"), ("rejected", None)]
+    blocks = spark.createDataFrame(rows, "bucket string, my_text string")
+    listed = entries(spark, ("phrase_bank", "好词", "tone_marker", None, None, None), ("chaos_lexicon", "坏词", None, "mild", None, None), ("privacy_lexicon", "none", None, None, "high", None), ("phrase_bank", "甲", None, None, None, None), ("chaos_lexicon", "好词", None, "strong", None, None))
+    if not at_once:
+        original = lexicon.term_counts
+        monkeypatch.setattr(lexicon, "term_counts", lambda b, w: original(b, w, at_once=0))
+    got = {r["term"]: r for r in lexicon.audit(blocks, lexicon.archive(listed)).collect()}
+    assert (got["好词"]["freq_total"], got["好词"]["my_block_count"], got["好词"]["suggested_status"]) == (8, 9, "promote_to_active")
+    assert got["好词"]["all_categories"] == ["style_markers.tone_marker", "chaos.strong"] and got["好词"]["labels"] == ["tone_marker", "strong"]
+    assert (got["坏词"]["suggested_status"], got["坏词"]["reasons"]) == ("demote_or_remove", ["high_rejected_presence", "low_candidate_ratio"])
+    assert got["none"]["reasons"] == ["zero_frequency"] and got["甲"]["reasons"] == ["single_character_noise"]
+
+
+def test_next_active_and_archive_files(spark, tmp_path):
+    listed = entries(spark, ("phrase_bank", "好词", "tone_marker", None, None, None), ("privacy_lexicon", "电话", None, None, "high", None), ("manual_keep", "k", None, None, None, None))
+    blocks = spark.createDataFrame([("candidates", "好词 电话")] * 9, "bucket string, my_text string")
+    archived = lexicon.archive(listed)
+    mined = spark.createDataFrame([("新词", 9, {"candidates": 9}, 3.0, 5.0, 0.0, 0.0), ("乱词", 5, {}, 3.0, 1.0, 0.9, 0.0)], "phrase string, freq long, bucket_freq map<string,long>, min_pmi double, style_keyness double, chaos_rate double, privacy_bucket_rate double")
+    rows = {(r["file"], r["phrase"]): r for r in lexicon.next_active(lexicon.audit(blocks, archived), archived, mined).collect()}
+    assert set(rows) == {("phrase_bank", "好词"), ("privacy_lexicon", "电话"), ("manual_keep", "k"), ("phrase_candidates", "新词"), ("chaos_lexicon", "乱词"), ("lexicon_removed_or_demoted", "k")}
+    assert rows[("chaos_lexicon", "乱词")]["severity"] == "strong"
+    assert lexicon.write_archive(listed, str(tmp_path / "a")) == "written"
+    assert lexicon.write_archive(listed, str(tmp_path / "a")) == "skipped"
+    assert lexicon.write_archive(listed, str(tmp_path / "a"), force=True) == "overwritten"
+
+
+EXPORT = {
+    "chatInfo": {"selfUid": "me", "name": "chat"},
+    "messages": [
+        {"id": 1, "seq": "1", "timestamp": 1710000000000, "sender": {"uid": "me", "name": "Me", "uin": 7}, "type": "type_1", "content": {"text": "我觉得这事情其实是这样的，不是你想的那样而是另一回事"}},
+        {"msgId": "2", "time": "2024-03-09 16:00:10", "fromUser": "Bob", "content": "嗯"},
+        {"msg_id": "3", "msgTime": 1710000020, "from": {"uid": None, "senderName": "X"}, "msgContent": {"elements": [{"data": {"text": "a"}}, {"data": {}}, {"data": {"text": "b"}}]}, "recalled": True},
+        "noise",
+        {"id": "4", "timestamp": "nonsense", "system": True, "type": "type_9", "message": {"plain": "sys"}},
+    ],
+}
+
+
+def test_export_reader_and_commands(spark, tmp_path, capsys):
+    folder = tmp_path / "in" / "deep"
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_bytes(b"\xef\xbb\xbf" + json.dumps(EXPORT).encode())
+    (folder / "broken.json").write_text("{", encoding="utf-8")
+    (folder / "list.json").write_text("[1]", encoding="utf-8")
+    (folder / "odd.json").write_text('{"messages": {"a": 1}}', encoding="utf-8")
+    (folder / "l.jsonl").write_text('{"id": "9", "text": "line"}\n{"id": "10"}\n', encoding="utf-8")
+    rows, infos, warnings = src.read_exports(spark, str(tmp_path / "in"))
+    got = {r["msg_id"]: r for r in rows.collect()}
+    assert set(got) == {"1", "2", "3", "4"}
+    assert (got["1"]["uin"], got["2"]["name"], got["2"]["text"], got["2"]["timestamp_ms"]) == ("7", "Bob", "嗯", 1710000010000)
+    assert (got["3"]["text"], got["3"]["uid"], got["3"]["timestamp_ms"], got["3"]["is_recalled"], got["3"]["name"]) == ("a\nb", "", 1710000020000, True, "X")
+    assert (got["4"]["msg_type"], got["4"]["timestamp_ms"], got["4"]["text"]) == ("system", 0, "sys")
+    assert {r["self_uid"] for r in infos.collect()} == {"me", ""} and warnings.count() == 4
+    lines, _, fewer = src.read_exports(spark, str(tmp_path / "in"), json_lines=True)
+    assert lines.where("msg_id in ('9', '10')").count() == 2 and fewer.count() == 3
+    from murmurlake.__main__ import main
+
+    lex = tmp_path / "lex"
+    lex.mkdir()
+    (lex / "phrase_bank.jsonl").write_text('{"phrase": "其实", "label": "analysis_marker"}\n', encoding="utf-8")
+    args = ["run", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"), "--lexicons", str(lex), "--archive", str(lex), "--me-id", "me"]
+    assert main(args) == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (stats["total_messages"], stats["own_messages"], stats["my_blocks"]) == (4, 1, 1) and sum(stats["outputs"].values()) == 1
+    run = next((tmp_path / "out").iterdir())
+    assert {p.name for p in run.iterdir()} >= {"blocks", "stats.json", "settings.toml", "lexicon_audit", "review_samples", "trace.json"}
+    assert main([*args, "--dry-run"]) == 0
+    assert main(["run", "--input", "x", "--output", "y"]) == 1
+    assert main(["archive", "--lexicons", str(lex), "--output", str(tmp_path / "arch")]) == 0
+    assert spark.read.json(str(tmp_path / "arch")).where(F.col("old_category") == "style_markers.analysis_marker").count() == 1
+
+
+def test_identity(spark):
+    rows = [("u1", "7", "Ann", ""), ("u2", "8", "bob", "B"), ("", "", "", "")]
+    df = spark.createDataFrame(rows, "uid string, uin string, name string, nickname string")
+    mine = lambda *a, **k: [r["is_me"] for r in src.owned_by_identity(df, *a, **k).collect()]
+    assert mine(("7",)) == [True, False, False]
+    assert mine((), ("BOB",)) == [False, True, False]
+    assert mine(()) == [False] * 3 and mine((), everyone=True) == [True] * 3
+    many = src.owned_by_identity(df, tuple(f"u{i}" for i in range(2, 400)))
+    assert {r["uid"]: r["is_me"] for r in many.collect()} == {"u1": False, "u2": True, "": False}
