@@ -27,6 +27,7 @@ from murmurlake.session import cut
 
 TYPES = ("email", "phone", "id_number", "address", "person")
 ACCEPT = 0.5
+DENIAL = 5
 
 # Look-alikes of digits and signs, one character for one.
 _WIDE = {i + 0xFEE0: chr(i) for i in range(0x21, 0x7F)}
@@ -131,7 +132,7 @@ def _trim_address(text: str, start: int, end: int) -> int:
 class Labelers:
     """Candidates of a text with votes: (type, start, end, votes); a vote is +, - or 0."""
 
-    names = ("shape", "structure", "gazetteer", "before", "after", "negative")
+    names = ("shape", "structure", "gazetteer", "before", "after", "negative")  # DENIAL is the last
 
     def __call__(self, raw: str) -> list[tuple[str, int, int, str]]:
         text = plain_digits(raw)
@@ -259,9 +260,14 @@ def reliabilities(patterns: list[str], counts: np.ndarray, steps: int = 200) ->
 
     The hidden truth starts at the majority vote; a labeler's three outcomes (+, 0, -)
     have their own probabilities for true and false spans, smoothed by one count each.
+    The labeler of denials ("order number", "meeting number") starts as a reliable one:
+    in a small corpus a handful of denials couldn't earn that.
     """
     votes = _votes_matrix(patterns)
-    post = 1 / (1 + np.exp(-votes.sum(axis=1)))
+    start = votes.sum(axis=1)
+    if votes.shape[1] > DENIAL:
+        start = start + 4 * votes[:, DENIAL]
+    post = 1 / (1 + np.exp(-start))
     table = np.zeros((2, votes.shape[1], 3))
     prior = 0.5
     for _ in range(steps):
@@ -271,6 +277,8 @@ def reliabilities(patterns: list[str], counts: np.ndarray, steps: int = 200) ->
                 for o, value in enumerate((-1, 0, 1)):
                     # A vote for a truth may be rare but not impossible, and votes lean to what they say.
                     lean = 2.0 if (value > 0) == bool(truth) and value else 1.0
+                    if value < 0 and j == DENIAL:
+                        lean = 0.01 if truth else 10.0
                     table[truth, j, o] = (w * (votes[:, j] == value)).sum() + lean
                 table[truth, j] /= table[truth, j].sum()
         index = votes.astype(int) + 1
