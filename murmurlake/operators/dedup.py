@@ -4,7 +4,7 @@ Near-duplicates are pairs whose sets of character pairs have a Jaccard similarit
 the threshold. Texts that are equal without white space form one class first, so copies
 don't multiply pairs. Candidates then come from an inverted index with prefix filtering: if
 two sets are that similar, their rarest elements – as many as the threshold allows to
-differ, and one more – have one in common; sizes must fit too. All pairs that can
+differ, and k more – have k in common; sizes must fit too. All pairs that can
 reach the threshold are verified, none is dropped. The greedy choice is a fixpoint over pairs:
 a class without undecided or kept earlier neighbours is kept, later neighbours of kept ones go.
 """
@@ -20,6 +20,9 @@ from murmurlake.session import cut
 
 #: So many of the most frequent pairs are ranked by frequency; the rest come before them, by hash.
 RANKED_PAIRS = 20_000
+#: k: elements that candidates must have in common within their prefixes. More of them mean
+#: longer prefixes, but far fewer pairs to verify.
+IN_COMMON = 8
 
 
 def limit_copies(blocks: DataFrame, bucket: Column, order: list[str], keep: int) -> DataFrame:
@@ -57,14 +60,16 @@ def similar_pairs(classes: DataFrame, threshold: float) -> DataFrame:
     # At most RANKED_PAIRS rows, whatever the data.
     ranks = F.broadcast(frequent)
     size = F.size("g")
-    prefix = size - F.ceil(F.lit(threshold) * size) + 1
-    tokens = sets.select("id", size.alias("size"), prefix.cast("int").alias("prefix"), F.explode("g").alias("w")).join(ranks, "w", "left")
-    ordered = tokens.groupBy("id", "size", "prefix").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.xxhash64("w").alias("h"), "w"))).alias("ws"))
-    index = ordered.select("id", "size", F.explode(F.slice("ws", F.lit(1), F.col("prefix"))).alias("x")).select("id", "size", F.col("x.w").alias("w"))
-    left = index.select("w", F.col("id").alias("a"), F.col("size").alias("sa"))
-    right = index.select("w", F.col("id").alias("b"), F.col("size").alias("sb"))
+    least = F.ceil(F.lit(threshold) * size - 1e-9)  # the overlap that a pair needs at least
+    k = F.least(F.lit(IN_COMMON), least)
+    tokens = sets.select("id", size.alias("size"), k.cast("int").alias("k"), (size - least + k).cast("int").alias("prefix"), F.explode("g").alias("w")).join(ranks, "w", "left")
+    ordered = tokens.groupBy("id", "size", "k", "prefix").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.xxhash64("w").alias("h")))).alias("ws"))
+    index = ordered.select("id", "size", "k", F.explode(F.slice("ws", F.lit(1), F.col("prefix"))).alias("x")).select("id", "size", "k", F.col("x.h").alias("w"))
+    left = index.select("w", F.col("id").alias("a"), F.col("size").alias("sa"), F.col("k").alias("ka"))
+    right = index.select("w", F.col("id").alias("b"), F.col("size").alias("sb"), F.col("k").alias("kb"))
     fits = (F.col("a") < F.col("b")) & (F.least("sa", "sb") >= F.lit(threshold) * F.greatest("sa", "sb") - 1e-9)
-    pairs = left.join(right, "w").where(fits).select("a", "b").distinct()
+    met = left.join(right, "w").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("ka", "kb")).alias("k"))
+    pairs = met.where(F.col("n") >= F.col("k")).select("a", "b")
     full = pairs.join(sets.withColumnsRenamed({"id": "a", "g": "ga"}), "a").join(sets.withColumnsRenamed({"id": "b", "g": "gb"}), "b")
     return full.select("a", "b", tx.jaccard(F.col("ga"), F.col("gb")).alias("similarity")).where(F.col("similarity") >= threshold)
 

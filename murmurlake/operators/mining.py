@@ -64,19 +64,32 @@ def scan_texts(blocks: DataFrame, sources: Sequence[str] = ("my_text",)) -> Data
     return blocks.select("bucket", "ord", F.posexplode(texts).alias("part", "text")).where("text is not null and text <> ''")
 
 
+def _ranked(texts: DataFrame, buckets: Sequence[str]) -> DataFrame:
+    rank = F.array_position(F.array(*[F.lit(b) for b in buckets]), F.col("bucket")).cast("int")
+    return texts.where(F.col("bucket").isin(*buckets)).withColumn("rank", rank)
+
+
 def count_phrases(texts: DataFrame, s: Settings, buckets: Sequence[str] = MINED_BUCKETS) -> DataFrame:
-    """(n, phrase, freq, bucket_freq, seen): counts of all phrases, and where each was seen first.
+    """(n, phrase, freq, bucket_freq): counts of all phrases.
 
-    ``texts`` has bucket, ord, part and text; texts of other buckets are left out.
+    ``texts`` has bucket, ord, part and text; texts of other buckets are left out. Only
+    numbers are aggregated, so the counts stay in hash tables.
     """
     lengths = sorted({2, *range(s.min_n, s.max_n + 1)})
-    rank = F.array_position(F.array(*[F.lit(b) for b in buckets]), F.col("bucket")).cast("int")
-    grams = ngrams(texts.where(F.col("bucket").isin(*buckets)).withColumn("rank", rank), "text", lengths)
-    seen = F.struct("rank", "ord", "part", "at", "pos")
+    grams = ngrams(texts.where(F.col("bucket").isin(*buckets)).select("bucket", "text"), "text", lengths)
     by_bucket = [F.count_if(F.col("bucket") == b).alias(b) for b in buckets]
-    counted = grams.groupBy("n", "phrase").agg(F.count(F.lit(1)).alias("freq"), F.min(seen).alias("seen"), *by_bucket)
+    counted = grams.groupBy("n", "phrase").agg(F.count(F.lit(1)).alias("freq"), *by_bucket)
     freq = F.create_map(*[x for b in buckets for x in (F.lit(b), F.col(b))])
-    return counted.select("n", "phrase", "freq", freq.alias("bucket_freq"), "seen")
+    return counted.select("n", "phrase", "freq", freq.alias("bucket_freq"))
+
+
+def first_sight(texts: DataFrame, phrases: DataFrame, buckets: Sequence[str] = MINED_BUCKETS) -> DataFrame:
+    """(n, phrase, seen) of some phrases: where each was seen first, by bucket, text and place."""
+    lengths = [r["n"] for r in phrases.select("n").distinct().collect()]  # a few lengths
+    if not lengths:
+        return phrases.select("n", "phrase", F.lit(None).alias("seen"))
+    grams = ngrams(_ranked(texts, buckets), "text", sorted(lengths)).join(phrases.select("n", "phrase"), ["n", "phrase"], "left_semi")
+    return grams.groupBy("n", "phrase").agg(F.min(F.struct("rank", "ord", "part", "at", "pos")).alias("seen"))
 
 
 def count_characters(texts: DataFrame, buckets: Sequence[str] = MINED_BUCKETS, script: str = tx.CJK) -> DataFrame:
@@ -103,11 +116,19 @@ def pair_information(pairs: DataFrame, characters: DataFrame) -> DataFrame:
     return joined.select("pair", F.when(F.col("freq") >= 2, pmi).otherwise(F.lit(0.0)).alias("pmi"))
 
 
-def leading_phrases(counts: DataFrame, s: Settings) -> DataFrame:
-    """The 3 · top_k most frequent phrases of each length, ties by first sight, that reach min_freq; with their place."""
-    w = Window.partitionBy("n").orderBy(F.desc("freq"), "seen")
+def leading_phrases(counts: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """The 3 · top_k most frequent phrases of each length, ties by first sight, that reach min_freq; with their place.
+
+    First sight is looked up only for phrases that are frequent enough, ties included.
+    """
+    from murmurlake.session import cut
+
+    by_freq = Window.partitionBy("n").orderBy(F.desc("freq"))
     wanted = counts.where(F.col("n").between(s.min_n, s.max_n) & (F.col("freq") >= s.min_freq))
-    return wanted.withColumn("place", F.row_number().over(w)).where(F.col("place") <= 3 * s.top_k_each_length)
+    near = cut(wanted.withColumn("__r", F.rank().over(by_freq)).where(F.col("__r") <= 3 * s.top_k_each_length).drop("__r"), "near")
+    seen = near.join(first_sight(texts, near), ["n", "phrase"])
+    w = Window.partitionBy("n").orderBy(F.desc("freq"), "seen")
+    return seen.withColumn("place", F.row_number().over(w)).where(F.col("place") <= 3 * s.top_k_each_length)
 
 
 def phrase_information(phrases: DataFrame, counts: DataFrame, characters: DataFrame) -> DataFrame:
@@ -197,16 +218,16 @@ def mine(texts: DataFrame, s: Settings, stoplist: DataFrame, keep: DataFrame, dr
     """The mined phrases of each length, at most top_k, with their rank by keyness and frequency.
 
     ``stoplist``, ``keep`` and ``drop`` have one column, phrase; phrases on the first and
-    the last are left out, phrases of ``keep`` are marked. ``texts`` is read three times
+    the last are left out, phrases of ``keep`` are marked. ``texts`` is read four times
     and should be cheap to read. Empty texts give an empty result.
     """
-    counts = count_phrases(texts, s)
-    lead = leading_phrases(counts, s)
+    from murmurlake.session import cut
+
+    counts = cut(count_phrases(texts, s), "counts")
+    lead = leading_phrases(counts, texts, s)
     lead = lead.join(stoplist.select("phrase").distinct(), "phrase", "left_anti").join(drop.select("phrase").distinct(), "phrase", "left_anti")
     info = phrase_information(lead, counts, count_characters(texts))
     least = F.when(F.col("n") == 2, s.min_pmi_2gram).when(F.col("n") == 3, s.min_pmi_3gram).when(F.col("n") == 4, s.min_pmi_4gram).otherwise(2.0)
-    from murmurlake.session import cut
-
     kept = cut(lead.join(info, "phrase").where(F.col("pmi") >= least), "phrases")
     entropy = neighbour_entropy(texts, kept)
     marked = kept.join(keep.select("phrase").distinct().withColumn("__keep", F.lit(True)), "phrase", "left").withColumn("manual_keep", F.coalesce("__keep", F.lit(False)))

@@ -11,6 +11,15 @@ from murmurlake.functions import text as tx
 SCORES = ("style_score", "privacy_score", "junk_score", "chaos_score")
 
 
+def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with a column that is computed once a row.
+
+    A long expression that later columns refer to many times would be copied into each of
+    them when projections are merged; the optimizer doesn't merge over a generator.
+    """
+    return df.withColumn(name, F.explode(F.array(value)))
+
+
 def _points(condition: Column, value: float) -> Column:
     return F.when(F.coalesce(condition, F.lit(False)), F.lit(float(value))).otherwise(F.lit(0.0))
 
@@ -83,7 +92,7 @@ def score_blocks(blocks: DataFrame, w: Words, s: Settings) -> DataFrame:
         non_text = F.lit(0)
     empty = F.coalesce(t, F.lit("")) == ""
     columns = {"style_score": style_score(t, m, w, s), "privacy_score": privacy_score(t, w), "junk_score": junk_score(t, m, non_text, w, s), "chaos_score": chaos_score(t, w)}
-    return blocks.withColumn("scores", F.struct(*[F.when(empty, F.lit(0.0)).otherwise(c).alias(n) for n, c in columns.items()]))
+    return once(blocks, "scores", F.struct(*[F.when(empty, F.lit(0.0)).otherwise(c).alias(n) for n, c in columns.items()]))
 
 
 def structural_bucket(m: Column, s: Settings) -> Column:
@@ -157,7 +166,7 @@ def decide_buckets(blocks: DataFrame, key: list[str], s: Settings) -> DataFrame:
     preset = F.coalesce(F.col("bucket"), F.lit("")) != ""
     known = F.when(F.col("bucket").isin(*BUCKETS), F.col("bucket")).otherwise(F.lit("rejected"))
     old = F.coalesce("reasons", F.expr("cast(array() as array<string>)"))
-    decided = blocks.withColumn("__c", classify(s)).withColumns(
+    decided = once(blocks, "__c", classify(s)).withColumns(
         {
             "bucket": F.when(preset, known).when(manual, F.lit("candidates")).otherwise(F.col("__c.bucket")),
             "reasons": F.when(preset, old).when(manual, F.array_append(old, F.lit("manual_review_keep"))).otherwise(F.array(F.col("__c.reason"))),

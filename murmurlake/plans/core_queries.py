@@ -254,14 +254,14 @@ def ngram_bucket_freq(spark, d):
 
 def ngram_pmi(spark, d):
     texts = _texts(spark, d)
-    counts = mining.count_phrases(texts, MINE)
-    lead = mining.leading_phrases(counts, MINE)
+    counts = cut(mining.count_phrases(texts, MINE), "counts")
+    lead = mining.leading_phrases(counts, texts, MINE)
     return mining.phrase_information(lead, counts, mining.count_characters(texts)).select("phrase", F.round("pmi", 4).alias("pmi"))
 
 
 def ngram_entropy(spark, d):
     texts = _texts(spark, d)
-    lead = cut(mining.leading_phrases(mining.count_phrases(texts, MINE), MINE), "lead")
+    lead = cut(mining.leading_phrases(mining.count_phrases(texts, MINE), texts, MINE), "lead")
     rows = mining.neighbour_entropy(texts, lead)
     return rows.select("phrase", F.round("left_entropy", 4).alias("left_entropy"), F.round("right_entropy", 4).alias("right_entropy"))
 
