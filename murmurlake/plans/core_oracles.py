@@ -512,6 +512,28 @@ ORACLES: dict[str, str] = {
     "archive_terms": f"WITH {TERMS} SELECT term, old_category, {_first_seen('cat')} AS all_categories, source_file, {_first_seen('lb')} AS labels FROM te x",
     "audit_terms": f"""WITH {AUDIT} SELECT term, old_category, freq_total, my_block_count, candidate_rate, rejected_rate, round(round(kn, 2), 1) AS style_keyness, suggested_status, reasons FROM aud""",
     "audit_summary": f"""WITH {AUDIT} {_SUMMARY} UNION ALL SELECT 'by_source_file', source_file, count(*) FROM aud GROUP BY 2 UNION ALL SELECT 'by_old_category', old_category, count(*) FROM aud GROUP BY 2""",
+    "active_lexicon": f"""WITH {MINED}, {AUDIT},
+        ca AS (SELECT {strip("phrase")} AS term, list({_CATEGORY}) AS cats FROM lexicon GROUP BY 1),
+        en AS (SELECT l.kind, l.phrase, l.label, l.severity, l.risk, l.entry_no, a.*, cats,
+            coalesce(suggested_status IN ('promote_to_active', 'keep_in_privacy_lexicon', 'keep_in_chaos_lexicon', 'keep_in_stoplist')
+              OR (suggested_status = 'keep_as_candidate' AND freq_total >= 3 AND candidate_rate >= 0.15), false) AS up,
+            coalesce(freq_total >= 3 AND candidate_rate >= 0.15, false) AS seen, coalesce(suggested_status IN ('keep_in_privacy_lexicon', 'promote_to_active'), false) AS po
+          FROM lexicon l LEFT JOIN (SELECT aud.*, ax.good FROM aud JOIN ax USING (term)) a ON a.term = l.phrase LEFT JOIN ca ON ca.term = l.phrase),
+        na AS (
+          SELECT kind AS file, phrase, label, severity, risk, CASE WHEN kind = 'privacy_lexicon' AND NOT po THEN 'frequency_verified_low' ELSE 'frequency_verified' END AS source,
+            'active_verified' AS status, CAST(entry_no AS HUGEINT) AS o FROM en
+          WHERE CASE WHEN kind = 'phrase_bank' THEN up AND seen AND len(list_filter(cats, lambda c: starts_with(c, 'style_markers.'))) > 0
+            WHEN kind IN ('chaos_lexicon', 'drop_sentence_words', 'mask_words') THEN up WHEN kind = 'privacy_lexicon' THEN po OR coalesce(freq_total >= 1, false)
+            WHEN kind = 'phrase_stoplist' THEN coalesce(suggested_status = 'keep_in_stoplist' OR (freq_total >= 10 AND round(kn, 2) < 1.0), false)
+            ELSE kind IN ('manual_keep', 'manual_drop') END
+          UNION ALL SELECT 'chaos_lexicon', phrase, NULL, CASE WHEN round(cr, 4) > 0.8 THEN 'strong' ELSE 'mild' END, NULL, 'phrase_mining_auto', 'auto_candidate', 1e12 :: HUGEINT FROM mined WHERE round(cr, 4) > 0.5 AND freq >= 3
+          UNION ALL SELECT 'privacy_lexicon', phrase, NULL, NULL, 'medium', 'phrase_mining_auto', 'auto_candidate', 1e12 :: HUGEINT FROM mined WHERE round(pr, 4) > 0.3 AND freq >= 3
+          UNION ALL SELECT 'phrase_stoplist', phrase, NULL, NULL, NULL, 'phrase_mining_auto', 'auto_candidate', 1e12 :: HUGEINT FROM mined WHERE freq >= 10 AND round(pmi, 2) < 1.5 AND round(kn, 2) < 1.0
+          UNION ALL SELECT 'phrase_candidates', phrase, NULL, NULL, NULL, 'phrase_mining_auto', 'auto_candidate', 1e12 :: HUGEINT FROM mined
+            WHERE round(kn, 2) >= 2.0 AND freq >= 5 AND candidates / greatest(freq, 1) >= 0.15 AND round(pr, 4) <= 0.30 AND round(cr, 4) <= 0.50
+          UNION ALL SELECT 'phrase_candidates', term, NULL, NULL, NULL, 'frequency_audit_demotion', 'demoted_from_archive', 2e12 :: HUGEINT FROM aud WHERE suggested_status = 'keep_as_candidate'
+          UNION ALL SELECT 'lexicon_removed_or_demoted', term, NULL, NULL, NULL, source_file, 'demoted', 0 :: HUGEINT FROM aud WHERE suggested_status = 'demote_or_remove')
+        SELECT file, phrase, label, severity, risk, source, status FROM (SELECT *, row_number() OVER (PARTITION BY file, phrase ORDER BY o DESC) AS k FROM na) WHERE k = 1""",
     "event_sessions": """WITH a AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS t FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL),
         b AS (SELECT *, CASE WHEN t - lag(t) OVER (PARTITION BY user_id ORDER BY t, event_id) <= 43200000 THEN 0 ELSE 1 END AS f FROM a),
         c AS (SELECT *, sum(f) OVER (PARTITION BY user_id ORDER BY t, event_id ROWS UNBOUNDED PRECEDING) AS g FROM b)
