@@ -26,7 +26,7 @@ def stratified_sample(blocks: DataFrame, size: int, seed: int, by: str = "review
     stratum of most rows costs no more than one of few. Equal ids are told apart by text.
     """
     named = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(n).alias("stratum"), F.lit(k).alias("k"))) for n, (c, k) in strata(size).items()]))
-    rows = blocks.withColumn("__s", F.explode(named)).withColumn("__h", F.xxhash64(F.lit(seed), F.col(by).cast("string")))
+    rows = blocks.withColumn("__s", F.explode(named)).withColumn("__h", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(by).cast("string"))))
     w = Window.partitionBy("__s.stratum").orderBy("__h", F.col(by), "my_text")
     ranked = rows.withColumn("__r", F.row_number().over(w)).where(F.col("__r") <= size)
     return ranked.where(F.col("__r") <= F.col("__s.k")).withColumn("stratum", F.col("__s.stratum")).drop("__s", "__h", "__r")

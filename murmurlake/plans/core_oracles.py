@@ -1,7 +1,6 @@
 """SQL of the core queries, built from shared common table expressions.
 
-Not given: the stratified sample, whose members are chosen by a hash that SQL engines don't share,
-and the whole pipeline run; both are tested on small fixtures instead.
+Not given: the whole pipeline run, which is tested on small fixtures instead.
 """
 
 from __future__ import annotations
@@ -471,6 +470,19 @@ ORACLES: dict[str, str] = {
     "exact_dedup_keep2": f"""WITH {DOCS}, k AS (SELECT doc_id, row_number() OVER (PARTITION BY t ORDER BY doc_id) AS k FROM doc)
         SELECT doc_id, 'exact_duplicate:kept_2_already' AS reasons FROM k WHERE k > 2""",
     "near_dup_pairs": f"WITH {_CLASSES} SELECT a, b, round(similarity, 6) AS similarity FROM pr",
+    "near_dup_greedy": f"""WITH RECURSIVE {_CLASSES},
+        nd AS (SELECT id, row_number() OVER (ORDER BY id) AS i, (SELECT list(a) FROM pr WHERE b = id) AS nb FROM (SELECT a AS id FROM pr UNION SELECT b FROM pr)),
+        go AS (SELECT CAST(0 AS BIGINT) AS i, [] :: BIGINT[] AS kept UNION ALL
+          SELECT nd.i, CASE WHEN list_has_any(kept, coalesce(nb, [])) THEN kept ELSE list_append(kept, id) END FROM go JOIN nd ON nd.i = go.i + 1),
+        fin AS (SELECT kept FROM go ORDER BY i DESC LIMIT 1),
+        gone AS (SELECT b AS id, max(similarity) AS s FROM pr, fin WHERE list_contains(kept, a) AND NOT list_contains(kept, b) GROUP BY b)
+        SELECT doc_id, round(coalesce(s, 1.0), 4) AS similarity FROM rep LEFT JOIN gone ON gone.id = rep.rep WHERE s IS NOT NULL OR doc_id <> rep.rep""",
+    "stratified_sample": f"""WITH {_decided(S.debatable_max_per_run)},
+        st AS (SELECT doc_id, t, substr(sha256(CASE WHEN source_file = '' THEN 'unknown-source' ELSE source_file END || chr(0) || 'session_00000' || chr(0) || t), 1, 24) AS review_id,
+          unnest(list_filter([CASE WHEN bucket = 'candidates' AND style >= 8 THEN 'candidates_high_score' END, CASE WHEN bucket = 'candidates' AND style > 0 AND style < 8 THEN 'candidates_low_score' END,
+            CASE WHEN bucket = 'rejected' AND style >= 4 THEN 'rejected_high_style_score' END, CASE WHEN bucket IN ('chaos_style', 'need_anonymize', 'debatable') THEN bucket END], lambda x: x IS NOT NULL)) AS stratum FROM dec),
+        rk AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY md5('{S.sample_seed}:' || review_id), review_id, t) AS k FROM st)
+        SELECT stratum, review_id, count(*) AS n FROM rk WHERE k <= CASE WHEN stratum LIKE 'candidates%' THEN 10 ELSE 20 END GROUP BY 1, 2""",
     "review_ids": f"""WITH {DOCS} SELECT doc_id, substr(sha256(CASE WHEN source_file = '' THEN 'unknown-source' ELSE source_file END || chr(0) || 'session_00000' || chr(0) || t), 1, 24) AS review_id FROM doc""",
     "review_decisions": f"WITH {DECISIONS} SELECT kind, key, decision, reason FROM rd",
     "review_apply": f"""WITH {DOCS}, {DECISIONS}, k AS (SELECT doc_id, row_number() OVER (PARTITION BY t ORDER BY doc_id) > 1 AS dup FROM doc),

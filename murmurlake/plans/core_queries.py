@@ -240,7 +240,7 @@ def review_apply(spark, d):
 
 def stratified_sample(spark, d):
     rows = filters.with_review_ids(_decided(spark, d))
-    return review.stratified_sample(rows, 20, S.sample_seed).select("stratum", "doc_id", "review_id")
+    return review.stratified_sample(rows, 20, S.sample_seed).groupBy("stratum", "review_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def ngram_freq(spark, d):
