@@ -174,6 +174,10 @@ class Lexicon:
         return found
 
 
+# What may stand between a denial and the word it denies.
+_DENIED_BY = {"", " ", "个", "一个", "什么", "这种", "那种", " a ", " an "}
+
+
 class Scope:
     """Rewrites tokens that are quoted, reported, a title or denied to mentions of weight 0."""
 
@@ -195,7 +199,7 @@ class Scope:
                 elif cue == "title":
                     hidden |= 0 <= x - b <= 3 and name in ("insult", "mild", "lewd", "harm")
                 else:
-                    hidden |= 0 <= a - y <= 2 and name in ("insult", "mild", "lewd")
+                    hidden |= y <= a and s[y:a] in _DENIED_BY and name in ("insult", "mild", "lewd")
             if not hidden:
                 out.append((a, b, name, weight))
         return out
