@@ -12,6 +12,7 @@ and extended on the texts themselves, so a hash collision can't make a false pai
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -165,11 +166,10 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
     for s, k in zip(starts[sizes > 1], sizes[sizes > 1], strict=True):
         group = i[s : s + k]
-        digest = group.tobytes() if k <= 64 else None
-        if digest is not None:
-            if digest in seen:  # neighbouring anchors mostly have the same records
-                continue
-            seen.add(digest)
+        digest = hashlib.blake2b(group.tobytes(), digest_size=16).digest()
+        if digest in seen:  # neighbouring anchors mostly have the same records
+            continue
+        seen.add(digest)
         for x in range(k - 1):
             out_a.append(np.full(k - 1 - x, group[x]))
             out_b.append(group[x + 1 :])
