@@ -18,7 +18,7 @@ from murmurlake.operators import dedup, filters, lexicon, mining, review, scorin
 from murmurlake.plans import pipeline, reports
 from murmurlake.session import cut
 from murmurlake.sources import messages as src
-from murmurlake.sources.tables import table
+from murmurlake.sources.tables import spread, table
 
 S = TUNED
 MINE = S.with_(min_freq=20, min_pmi_2gram=1.0, min_pmi_3gram=1.5, min_pmi_4gram=2.0, top_k_each_length=100)
@@ -49,7 +49,7 @@ def _blocks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return scoring.from_documents(table(spark, d, "documents"))
+    return scoring.from_documents(spread(table(spark, d, "documents")))
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
@@ -70,7 +70,7 @@ def _decided(spark: SparkSession, d: str) -> DataFrame:
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
     """Documents to mine: their given bucket, in order of doc_id."""
-    rows = table(spark, d, "documents").select(F.col("bucket"), F.col("doc_id").alias("ord"), F.col("text").alias("my_text"))
+    rows = spread(table(spark, d, "documents").select(F.col("bucket"), F.col("doc_id").alias("ord"), F.col("text").alias("my_text")))
     return mining.scan_texts(rows)
 
 
@@ -221,7 +221,7 @@ def near_dup_pairs(spark, d):
 
 
 def near_dup_greedy(spark, d):
-    return dedup.near_duplicates(table(spark, d, "documents"), "doc_id", "text", 0.8).select("doc_id", F.round("similarity", 4).alias("similarity"))
+    return dedup.near_duplicates(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", 0.8).select("doc_id", F.round("similarity", 4).alias("similarity"))
 
 
 def review_ids(spark, d):
@@ -317,7 +317,7 @@ def archive_terms(spark, d):
 
 
 def _audit(spark, d):
-    rows = table(spark, d, "documents").select("bucket", F.col("text").alias("my_text"))
+    rows = spread(table(spark, d, "documents").select("bucket", F.col("text").alias("my_text")))
     return lexicon.audit(rows, lexicon.archive(table(spark, d, "lexicon")))
 
 

@@ -12,6 +12,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores, dealt out anew; others as they are.
+
+    For work that multiplies rows or is heavy a row. Large tables have more splits than
+    cores, so they are never shuffled for this.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def account() -> Column:
     """The uid of a message: ``uid``, or ``sender.uid`` if that is null."""
     return F.coalesce(F.col("uid"), F.col("sender.uid"))
