@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -39,6 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         _OWN_DIR[app] = tempfile.mkdtemp(prefix="murmurlake-")
+        atexit.register(shutil.rmtree, _OWN_DIR[app], ignore_errors=True)
     return _OWN_DIR[app]
 
 
@@ -56,3 +59,9 @@ def cut(df: DataFrame, name: str = "cut", partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def clear_cuts(spark: SparkSession) -> None:
+    """Delete the tables that ``cut`` has written; call it once no result is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/murmurlake")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
