@@ -131,10 +131,11 @@ def fit_terms(counts: DataFrame, record: str, term: str, n: str) -> DataFrame:
 
 
 def score_terms(counts: DataFrame, record: str = "run_id", term: str = "phrase", n: str = "n") -> DataFrame:
-    """Adds to each (record, term, n): posterior, share, overall_share, lift, records.
+    """Adds to each (record, term, n): posterior, log_posterior, share, overall_share, lift, records.
 
     posterior is the probability that the count comes from the term's elite component.
-    Counts of 0 get posterior 0. An empty input gives an empty result; a term that
+    In large records it underflows to 0; its logarithm doesn't.
+    Counts of 0 get posterior 0 and no logarithm. An empty input gives an empty result; a term that
     all records use at one rate has two equal components and posteriors near its elite share.
     """
     terms = fit_terms(counts, record, term, n)
@@ -151,6 +152,7 @@ def score_terms(counts: DataFrame, record: str = "run_id", term: str = "phrase",
         .join(terms, term, "left")
         .crossJoin(F.broadcast(overall))
         .withColumn("posterior", F.when(F.col(n) > 0, 1 / (1 + F.exp(-gap))).otherwise(F.lit(0.0)))
+        .withColumn("log_posterior", F.when(F.col(n) > 0, F.least(gap, F.lit(0.0)) - F.log1p(F.exp(-F.abs(gap)))))
         .withColumn("share", F.when(F.col("record_total") > 0, F.col(n) / F.col("record_total")).otherwise(F.lit(0.0)))
         .withColumn("overall_share", F.coalesce(F.col("total") / F.col("all_total"), F.lit(0.0)))
         .withColumn("lift", F.col("share") / F.col("overall_share"))
@@ -158,6 +160,7 @@ def score_terms(counts: DataFrame, record: str = "run_id", term: str = "phrase",
     return scored.select(
         *counts.columns,
         "posterior",
+        "log_posterior",
         "share",
         "overall_share",
         "lift",
@@ -173,10 +176,12 @@ def characteristic(scored: DataFrame, n: str = "n") -> DataFrame:
 
     The exact check: at least 2 % of the record, at least 4 times the share of all records,
     in at least two records. Whole numbers are compared, so no share is lost to rounding.
+    A low posterior rules nothing out: a record that a term dominates draws the elite rate
+    so high that the term's other characteristic records look ordinary.
     """
     big = lambda c: F.col(c).cast("decimal(19,0)")
     return scored.where(
-        (F.col("posterior") > 0)
+        (F.col(n) > 0)
         & (F.col("records") >= 2)
         & (big(n) * 50 >= big("record_total"))
         & (big(n) * big("all_total") >= big("term_total") * 4 * big("record_total"))
@@ -185,5 +190,5 @@ def characteristic(scored: DataFrame, n: str = "n") -> DataFrame:
 
 def rank_by_posterior(scored: DataFrame, record: str, k: int) -> DataFrame:
     """The k most characteristic terms of each record."""
-    w = Window.partitionBy(record).orderBy(F.desc("posterior"), F.desc("lift"), "phrase")
+    w = Window.partitionBy(record).orderBy(F.desc("log_posterior"), F.desc("lift"), "phrase")
     return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)

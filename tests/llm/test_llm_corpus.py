@@ -29,6 +29,16 @@ def test_common_terms_count_little_and_bursts_much(spark):
     assert keyness.score_terms(df.limit(0)).count() == 0
 
 
+def test_a_run_that_a_term_dominates_hides_no_other(spark):
+    uneven = [(800, "term", 1200), (800, "fill", 800), (801, "term", 60), (801, "fill", 1940)]
+    df = spark.createDataFrame([(r, "fill", 1119) for r in range(800)] + uneven, "run_id long, phrase string, n long")
+    scored = keyness.score_terms(df)
+    assert {(r["run_id"], r["phrase"]) for r in keyness.characteristic(scored).collect()} == {(800, "term"), (801, "term")}
+    low = scored.where("run_id = 801 and phrase = 'term'").first()
+    assert low["posterior"] == 0 and -2000 < low["log_posterior"] < -700
+    assert [r["phrase"] for r in keyness.rank_by_posterior(scored, "run_id", 1).where("run_id = 800").collect()] == ["term"]
+
+
 def test_em_finds_two_rates():
     rng = np.random.default_rng(1)
     size = np.full(400, 100.0)
