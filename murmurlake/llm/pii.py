@@ -67,14 +67,25 @@ _ADDRESS = re.compile(
 # Words that come right before an address and could pass for the start of its first part.
 _BEFORE_ADDRESS = "寄到 送到 寄往 搬到 住在 现在住 住 导航搜 搜 地址是 地址 在 到 去 是 了 往".split()
 _NAME_CONTEXT = re.compile(
-    r"(?:我叫|我是|联系人[:：]?\s*|收件人写|收件人[:：]?\s*|主讲是|找|跟|和|叫做|名叫|姓名[:：]?\s*|teacher is |name is |ask for |I am |this is )$"
+    r"(?:我叫|我是|联系人[:：]?\s*|收件人写|收件人[:：]?\s*|主讲是|找|跟|和|给|叫做|名叫|姓名[:：]?\s*|teacher is |name is |ask for |I am |this is )$"
 )
 _NAME_AFTER = re.compile(r"^(?:[,，。.;；!！?？\n]|$|吧|说|请|你听过| by the way|一声|的|是|来|\s)")
-_NAME_STRONG_AFTER = re.compile(r"^(?:说一声|说明天|吧|，请多关照|，你听过| by the way|,请多关照)")
+_NAME_STRONG_AFTER = re.compile(r"^(?:说一声|说明天|吧|[，,]请多关照|[，,]你听过| by the way)")
 _NAME_EN = re.compile(r"(?<![A-Za-z])[A-Z][a-z]{1,15} (?:[A-Z]\. )?[A-Z][a-z]{1,15}(?:-[A-Z][a-z]+)?(?![A-Za-z])")
 _NAME_ZH = re.compile(f"(?:{'|'.join(_FAMILY2)}|[{_FAMILY1}])[{_H}]{{1,2}}")
 _ANCHOR_ZH = re.compile(
-    "(?P<pre>我叫|联系人：|联系人:|收件人写|收件人：|收件人:|主讲是|帮我跟|姓名：|名叫|teacher is |name is |ask for )|(?P<post>说一声|说明天|，请多关照|，你听过没| by the way)"
+    "(?P<pre>我叫|联系人：|联系人:|收件人写|收件人：|收件人:|主讲是|帮我跟|姓名：|名叫|teacher is |name is |ask for )|(?P<post>说一声|说明天|[，,]请多关照|[，,]你听过没| by the way)"
+)
+_ANCHORED = re.compile(r"(?:我叫|联系人:|收件人写|收件人:|主讲是|帮我跟|姓名:|名叫|teacher is |name is |ask for )$")
+_ANCHORING = re.compile("说一声|说明天|[，,]请多关照|[，,]你听过没| by the way")
+# Any place where a name may start: a text's or word's edge, or a context that names follow.
+_START_ZH = re.compile(f"(?<![{_H}])(?=[{_H}])|我叫|我是|联系人|收件人|主讲是|找|跟|和|给|叫做|名叫|姓名")
+# Characters that hardly stand in a given name, and words of everyday use that start with a family name.
+_NOT_GIVEN = re.compile("[的了吗呢吧啊呀哦嘛啦么着过们不是在有去来我你他她它这那就都也还很没到说要会能可看吃喝买给跟和找被把让对从几个些点又再先才只太最]")
+_NOT_NAME = re.compile(
+    "谢谢|马上|周[末一二三四五六日]|高[兴中考铁手级]|方[便法面向案才]|白[天色菜白痴]|于是|常[常见用识]|万一|金[额色钱]|安[全静排]|钱包|石头|夏[天季]|任[何务]|程[序度]|许多|胡说|"
+    "江[边湖]|黄[色瓜昏]|何[必时况]|段[子落]|雷雨|汤圆|武[器术]|范围|田[里野]|余[额下]|叶子|钟[头表]|毛[病巾衣]|孔雀|史上|董事|陆续|龙[虾头]|康复|顾[客虑]|张[开望]|李子|王[国者]|曾经|戴[着上]|"
+    "罗[列嗦]|贺[卡年]|文[件章字档化具科学本明艺案]|苏[打州]|郑重|严[重格肃]|邹巴|宋体|唐诗|杨[树梅]|林荫|沈阳|乔迁|..[屋店馆册果]$"
 )
 _NEGATIVE = re.compile(r"(?:流水号|订单号?|单号|快递单|会议号|版本|编号|tracking|order|YT)\s*[:：#]?\s*$", re.I)
 _POSITIVE = {
@@ -178,6 +189,13 @@ class Labelers:
                     if a == 0 or not re.match(f"[{_H}]", text[a - 1]) or _NAME_CONTEXT.search(before[-12:]):
                         found[(a, m.start())] = None
                         break
+        for m in _START_ZH.finditer(text):
+            at = re.compile(r"[:： ]*").match(text, m.end()).end()
+            n = _NAME_ZH.match(text, at)
+            if n and not any(a <= n.start() < b or a < n.end() <= b for a, b in found):
+                ends = [e for e in range(n.end(), n.start() + 1, -1) if _NAME_AFTER.match(text[e:]) and _NAME_ZH.fullmatch(text, n.start(), e)]
+                if ends:
+                    found[(n.start(), ends[0])] = None
         if "老师" in text or "同学" in text or "先生" in text or "女士" in text:
             for m in re.finditer(f"(?:{'|'.join(_FAMILY2)}|[{_FAMILY1}])(?:{'|'.join(_TITLE[:5])})", text):
                 found[(m.start(), m.end())] = None
@@ -219,7 +237,13 @@ class Labelers:
             v["gazetteer"] = "+" if family or (english and not road) else "-"
             v["before"] = "+" if _NAME_CONTEXT.search(before) else "0"
             v["after"] = "+" if _NAME_STRONG_AFTER.match(after) else ("-" if re.match(f"[{_H}A-Za-z]", after) else "0")
-            v["negative"] = "-" if titled or road or before.endswith("@") else "0"
+            # Without any context, two characters are a word rather than a name.
+            given = s[2 if s[:2] in _FAMILY2 else 1 :]
+            alone = v["before"] != "+" and v["after"] != "+"
+            word = not english and (_NAME_ZH.fullmatch(s) is None or (not _ANCHORED.search(before) and not _ANCHORING.match(after) and (_NOT_GIVEN.search(given) or _NOT_NAME.match(s) or alone and len(s) < 3)))
+            if word:
+                v["gazetteer"] = "-"
+            v["negative"] = "-" if titled or road or word or before.endswith("@") else "0"
             return kind, start, end, "".join(v[n] for n in self.names)
         v["before"] = "+" if _POSITIVE[kind].search(before) else "0"
         v["after"] = "+" if _POSITIVE_AFTER[kind].match(after) else "0"

@@ -209,3 +209,15 @@ def test_empty_table_fits_nothing(spark):
     df = spark.createDataFrame([], "row_id long, text string")
     candidates, model = pii.fit(df, "row_id", "text")
     assert pii.found_spans(candidates, model, "row_id").count() == 0
+
+
+def test_names_stand_anywhere(spark):
+    named = {
+        "我是卢听宁，你好": 2, "明天去找卢听宁吧": 4, "和欧阳听舟一起": None, "书要还给陈雨桐。": 4, "卢听宁": 0, "到了\n陈雨桐\n好": 3, "陈雨桐，请多关照": 0, "我和卢听宁": 2,
+    }
+    plain = ["谢谢", "马上来", "周末，见", "高兴吗", "于是吵", "白痴少说", "和平", "找时间", "方便的话给我", "金色"]
+    texts = [*named, *plain, *["我叫卢听宁，请多关照", "帮我跟陈雨桐说一声"] * 20, *plain * 5]
+    df = spark.createDataFrame(list(enumerate(texts)), "row_id int, text string")
+    candidates, model = pii.fit(df, "row_id", "text")
+    got = {r["row_id"]: r["start_pos"] for r in pii.found_spans(candidates, model, "row_id").where("pii_type = 'person'").collect()}
+    assert {i: got.get(i) for i in range(len(named) + len(plain))} == dict(enumerate([*named.values(), *[None] * len(plain)]))
