@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmurlake.operators import drift, nested
+from murmurlake.session import shared_dir
 from murmurlake.sources.tables import account, message_time, table
 from murmurlake.streaming.session_timers import timer_sessions
 
@@ -18,7 +21,7 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p2_tables(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows, messages, roots and payload characters of each flat table."""
+    """Rows, first-level rows and last position of each flat table."""
     rows = nested.emit_objects(table(spark, folder, "messages"), "row_id", nested.MESSAGE_ROOTS)
     return rows.groupBy("table").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -37,6 +40,23 @@ def p2_face_elements(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def p2_flat(spark: SparkSession, folder: str) -> DataFrame:
+    """All flat tables, written partitioned, each read back with its schema: data is the object's own fields."""
+    messages = table(spark, folder, "messages")
+    path = f"{shared_dir(spark)}/murmurlake/flat-{uuid.uuid4().hex}"
+    nested.write_tables(nested.emit_objects(messages, "row_id", nested.MESSAGE_ROOTS), path)
+    stored = spark.read.schema("row_id long, node_path string, parent_path string, position int, payload string, table string").parquet(path)
+    links = ("row_id", "node_path", "parent_path", "position")
+
+    def flat(tag: str) -> DataFrame:
+        rows = nested.apply_schema(stored, messages, "row_id", tag, nested.MESSAGE_ROOTS)
+        own = F.to_json(F.struct(*[c for c in rows.columns if c not in links]))
+        return rows.select("row_id", F.lit(tag).alias("table"), "node_path", "parent_path", "position", own.alias("data"))
+
+    tags = sorted(r["table"] for r in stored.select("table").distinct().collect())  # the schema's object arrays
+    return reduce(DataFrame.union, map(flat, tags)) if tags else stored.select("row_id", "table", "node_path", "parent_path", "position", F.col("payload").alias("data"))
+
+
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:
     return drift.drift_report(table(spark, folder, "raw_records")).select("file_no", "field_path", "drift")
 
@@ -58,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p2_found": p2_found,
     "p2_tables": p2_tables,
     "p2_face_elements": p2_face_elements,
+    "p2_flat": p2_flat,
     "p3_found": p3_found,
     "p3_unified": p3_unified,
     "p4_found": p4_found,

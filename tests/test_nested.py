@@ -71,3 +71,15 @@ def test_payload_round_trip(spark, tmp_path):
 
 def test_empty_table(spark):
     assert nested.emit_objects(spark.createDataFrame([], SCHEMA), "row_id", ROOTS).count() == 0
+
+
+def test_flat_tables_hold_every_object_with_its_payload(spark):
+    from murmurlake.plans.data_queries import QUERIES
+
+    folder = "/root/testdata/sf0.001"
+    rows = QUERIES["p2_flat"](spark, folder).collect()
+    found = {(r["row_id"], r["node_path"]) for r in rows}
+    wanted = nested.emit_objects(spark.read.parquet(f"{folder}/messages.parquet"), "row_id", nested.MESSAGE_ROOTS).collect()
+    key = lambda r, data: (r["row_id"], r["table"], r["node_path"], r["parent_path"], r["position"], json.dumps(json.loads(r[data]), sort_keys=True))
+    assert sorted(key(r, "data") for r in rows) == sorted(key(r, "payload") for r in wanted)
+    assert len({r["table"] for r in rows}) > 3 and {(r["row_id"], r["parent_path"]) for r in rows if r["table"].endswith(".items")} <= found
