@@ -225,6 +225,11 @@ def near_dup_pairs(spark, d):
     return dedup.similar_pairs(classes.where("key = rep"), 0.8).select("a", "b", F.round("similarity", 6).alias("similarity"))
 
 
+def near_dup_classes(spark, d):
+    """The class of each document: near_dup_pairs holds for all members of its two classes."""
+    return dedup.text_classes(table(spark, d, "documents"), "doc_id", "text").select(F.col("key").alias("doc_id"), F.col("rep").alias("class_id"))
+
+
 def near_dup_greedy(spark, d):
     return dedup.near_duplicates(spread(table(spark, d, "documents").select("doc_id", "text")), "doc_id", "text", 0.8).select("doc_id", F.round("similarity", 4).alias("similarity"))
 
@@ -368,7 +373,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         scan_messages, first_present_field, message_type_map, text_strip, own_message_counts, identity_by_name, turn_merge, turn_texts, session_split,
         block_extract, block_metrics, block_texts, block_reject_reasons, block_context, block_numbers, pre_bucket_structural, score_documents, score_messages,
         classify_documents, debatable_cap, bucket_counts, top_reasons, style_tags, privacy_strict, privacy_recall, mask_words, drop_words,
-        exact_dedup_keep2, near_dup_pairs, near_dup_greedy, review_ids, review_decisions, review_apply, stratified_sample, ngram_freq,
+        exact_dedup_keep2, near_dup_pairs, near_dup_classes, near_dup_greedy, review_ids, review_decisions, review_apply, stratified_sample, ngram_freq,
         ngram_bucket_freq, ngram_pmi, ngram_entropy, ngram_mined, ngram_candidates, review_lists, auto_promote, candidate_append, phrase_clusters,
         phrase_links, lexicon_lists, manual_phrases, stoplist_diagnostics, archive_terms, audit_terms, audit_summary, active_lexicon,
         tuning_ratios, pipeline_run, event_sessions, event_types_map,

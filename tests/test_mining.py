@@ -206,3 +206,15 @@ def test_whole_queries_mine_what_the_preset_does(spark, tmp_path):
     assert [(r["canonical_phrase"], r["size"]) for r in run("phrase_clusters_whole")] == [(pairs[0], 2)]
     assert {r["phrase"] for r in run("active_lexicon_whole")} >= {*pairs, longer}
     assert [r["phrase"] for r in run("auto_promote_whole")] == [pairs[0]]
+
+
+def test_every_document_has_its_class(spark, tmp_path):
+    from murmurlake.plans.core_queries import QUERIES
+
+    body = "今天去公园散步看见一只很大的白鸟停在湖边的石头上"
+    docs = [(1, body), (2, body + "了"), (3, body), (4, body + "了"), (5, "完全是另外一件事情所以没有别的文件像它")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
+    classes = {r["doc_id"]: r["class_id"] for r in run("near_dup_classes")}
+    assert classes == {1: 1, 2: 2, 3: 1, 4: 2, 5: 5}
+    assert [(r["a"], r["b"]) for r in run("near_dup_pairs")] == [(1, 2)]
