@@ -1,7 +1,7 @@
 """Clusters of phrases that are near each other on the surface.
 
-Linked phrases share a pair of characters or their whole normalised form, so candidates come
-from a join on those, not from all pairs. Components are found by passing the least phrase along
+Linked phrases share a pair of characters or their whole normalised form, or one is a single
+character of the other, so candidates come from a join on those, not from all pairs. Components are found by passing the least phrase along
 links until nothing changes; each round is cut from its lineage.
 """
 
@@ -26,8 +26,11 @@ def links(phrases: DataFrame, min_overlap: float = 0.5) -> DataFrame:
     base = phrases.select(tx.strip(F.col("phrase")).alias("p")).where("p <> ''").distinct().select("p", normalised(F.col("p")).alias("n"))
     base = base.withColumn("g", tx.bigrams(F.col("n")))
     keys = base.select("p", "n", "g", F.explode(F.array_append("g", F.concat(F.lit("="), F.col("n")))).alias("k"))
-    other = keys.select(F.col("p").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"), "k")
-    pairs = keys.select(F.col("p").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), "k").join(other, "k").where("a < b").drop("k").distinct()
+    # A form of one character may be contained in the earlier phrase of a pair.
+    single = base.where(F.length("n") == 1).select("p", "n", "g", F.col("n").alias("k"))
+    chars = base.where(F.length("n") >= 2).select("p", "n", "g", F.explode(F.array_distinct(F.split("n", ""))).alias("k"))
+    other = keys.union(single).select(F.col("p").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"), "k")
+    pairs = keys.union(chars).select(F.col("p").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga"), "k").join(other, "k").where("a < b").drop("k").distinct()
     inside = (F.length("na") >= 2) & (F.col("na").contains(F.col("nb")) | F.col("nb").contains(F.col("na")))
     both = (F.size("ga") > 0) & (F.size("gb") > 0)
     link = (
