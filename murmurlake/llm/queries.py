@@ -42,8 +42,8 @@ def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
     return moderation.rates(moderation.score_texts(table(spark, folder, "messages").select("source_file", "text")), "source_file")
 
 
-def _turns(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return conversations.fold_versions(table(spark, folder, "messages")), table(spark, folder, "chat_files")
+def _turns(spark: SparkSession, folder: str, *keep: str) -> tuple[DataFrame, DataFrame]:
+    return conversations.fold_versions(table(spark, folder, "messages"), keep), table(spark, folder, "chat_files")
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,7 +52,7 @@ def p6_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p6_conversations(spark: SparkSession, folder: str) -> DataFrame:
     """The turns of the conversations that are left, in order and with roles."""
-    turns, files = _turns(spark, folder)
+    turns, files = _turns(spark, folder, "text")
     turns = cut(turns, "turns")
     return conversations.rebuild(turns, files, conversations.judge(turns, files))
 
@@ -125,20 +125,20 @@ r AS (SELECT run_id, sum(n) AS rn FROM l GROUP BY run_id),
 p AS (SELECT phrase, sum(n) AS pn, count(*) FILTER (WHERE n > 0) AS runs FROM l GROUP BY phrase)
 """
 
+# Written from TESTDATA.md: "left" are the rows that are neither recalled nor system rows and have a non-blank text.
 _FOLDED = f"""
 {CLOCK},
 f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, coalesce('m' || msg_id, 'r' || CAST(row_id AS VARCHAR)) ORDER BY ingested_at DESC NULLS LAST, row_id DESC) AS k
   FROM clock WHERE conv_id IS NOT NULL) WHERE k = 1),
 o AS (SELECT source_file AS sf, max(self_uid) AS me FROM chat_files GROUP BY source_file),
 s AS (SELECT f.*, CASE WHEN regexp_full_match(seq, '\\s*-?[0-9]+(\\.0)?\\s*') THEN CAST(regexp_replace(trim(seq), '\\.0$', '') AS HUGEINT) END AS q,
-    coalesce(who = me, false) AS mine, NOT coalesce(recalled, false) AND NOT coalesce(is_system, false) AS visible,
-    NOT regexp_full_match(coalesce(text, ''), '[\\s\\p{{Z}}]*') AS spoken
+    coalesce(who = me, false) AS mine, NOT coalesce(recalled, false) AND NOT coalesce(is_system, false) AS visible
   FROM f LEFT JOIN o ON f.source_file = o.sf),
+l AS (SELECT conv_id, count(DISTINCT mine) AS roles FROM s WHERE visible AND NOT regexp_full_match(coalesce(text, ''), '[\\s\\p{{Z}}]*') GROUP BY conv_id),
 w AS (SELECT *, q - lag(q) OVER (PARTITION BY conv_id ORDER BY q NULLS LAST) AS step,
     max(t) OVER (PARTITION BY conv_id ORDER BY q NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS late FROM s),
-v AS (SELECT conv_id, count(*) FILTER (WHERE q IS NULL OR step <> 1 OR late > t) > 0 AS broken,
-    count(*) FILTER (WHERE visible AND spoken) AS said, count(*) FILTER (WHERE visible AND mine) AS a, count(*) FILTER (WHERE visible AND NOT mine) AS b,
-    min(q) AS q0 FROM w GROUP BY conv_id)
+v AS (SELECT conv_id, broken, q0, coalesce(roles, 0) AS roles FROM (SELECT conv_id, count(*) FILTER (WHERE q IS NULL OR step <> 1 OR late > t) > 0 AS broken,
+    min(q) AS q0 FROM w GROUP BY conv_id) LEFT JOIN l USING (conv_id))
 """
 
 ORACLES: dict[str, str] = {
@@ -146,11 +146,11 @@ ORACLES: dict[str, str] = {
         WHERE runs >= 2 AND l.n > 0 AND l.n * 50 >= rn AND l.n * (SELECT sum(n) FROM l) >= pn * 4 * rn""",
     "p6_found": f"""WITH {_FOLDED}
         SELECT conv_id, 'broken' AS defect FROM v WHERE broken UNION ALL
-        SELECT conv_id, 'empty' FROM v WHERE said = 0 UNION ALL
-        SELECT conv_id, 'no_reply' FROM v WHERE said > 0 AND (a = 0 OR b = 0)""",
+        SELECT conv_id, 'empty' FROM v WHERE roles = 0 UNION ALL
+        SELECT conv_id, 'no_reply' FROM v WHERE roles = 1""",
     "p6_conversations": f"""WITH {_FOLDED}
         SELECT conv_id, CAST(q - q0 AS BIGINT) AS position, CASE WHEN mine THEN 'me' ELSE 'other' END AS role, text, t AS time_ms, row_id
-        FROM s JOIN v USING (conv_id) WHERE visible AND NOT broken AND said > 0 AND a > 0 AND b > 0""",
+        FROM s JOIN v USING (conv_id) WHERE visible AND NOT broken AND roles = 2""",
     "p10_found": """WITH w AS (SELECT DISTINCT doc_id, substr(text, CAST(i AS BIGINT), 60) AS s FROM
           (SELECT doc_id, text, unnest(generate_series(1, length(text) - 59)) AS i FROM documents WHERE length(text) >= 60)),
         g AS (SELECT s FROM w GROUP BY s HAVING count(*) > 1), x AS (SELECT w.* FROM w JOIN g USING (s))

@@ -124,6 +124,27 @@ def test_defects(spark, seq_range):
     assert left == [(1, 0, "me", "x"), (1, 1, "other", "x"), (1, 2, "me", "x"), (9, 0, "me", "x"), (9, 1, "other", "x"), (9, 2, "me", "x")]
 
 
+def test_roles_are_those_of_rows_with_text(spark):
+    """A conversation in which only blank, recalled or system rows are of the other side has no reply."""
+    rows = [
+        row(1, 1, "1"), row(2, 1, "2", uid="o", text=" \u3000\n"), row(3, 1, "3", uid="o", text=None),
+        row(4, 2, "1"), row(5, 2, "2", uid="o", text="y", recalled=True), row(6, 2, "3", uid="o", text="y", system=True),
+        row(7, 3, "1", uid="o", text=""), row(8, 3, "2", uid="o"), row(9, 3, "3", text=None),
+        row(10, 4, "1"), row(11, 4, "2", uid="o", text=""), row(12, 4, "3", uid="o"),
+    ]
+    out, left = verdicts(spark, rows)
+    assert out == [(1, "no_reply"), (2, "no_reply"), (3, "no_reply")]
+    assert left == [(4, 0, "me", "x"), (4, 1, "other", ""), (4, 2, "other", "x")]
+
+
+def test_hot_numbers_and_long_numbers(spark):
+    """Many rows of one number, or of none, are summed up; numbers of any length are read, leading zeros aside."""
+    rows = [row(i, 1, "5", msg=f"a{i}", uid="o" if i % 2 else "me") for i in range(300)] + [row(1000 + i, 2, "?", msg=f"b{i}") for i in range(300)]
+    rows += [row(2000, 3, "0" * 60 + "1"), row(2001, 3, "2", uid="o"), row(2002, 4, "9" * 40), row(2003, 4, "1", uid="o")]
+    out, _ = verdicts(spark, rows)
+    assert out == [(1, "broken"), (2, "broken"), (2, "no_reply"), (4, "broken")]
+
+
 def test_the_last_version_counts(spark):
     rows = [
         row(1, 1, "1", text="old", msg="a"), row(2, 1, "1", text="new", msg="a", day=2), row(3, 1, "2", uid="o", msg="b"),
