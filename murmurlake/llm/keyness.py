@@ -1,12 +1,16 @@
 """How distinctive a term is per record: a two-Poisson mixture per term.
 
-Across all records a term occurs at one of two rates: an ordinary one, and an elite one in
-the records that are about it. For each term both rates and the elite share are fitted
-by expectation-maximisation on the term's frequency histogram (how many records of a size
-class have it how often, records without it included); each occurrence count is
-then scored by the posterior probability that it comes from the elite component. The
-ordinary rate is kept at or above the term's overall rate: otherwise the records that
-lack a common term would become the ordinary component, and merely having the term elite.
+The records that have a term use it at one of two rates: an ordinary one, or an elite one
+where the record is about it. For each term both rates and the elite share are fitted by
+expectation-maximisation on the term's frequency histogram (how many records of a size
+class have it how often); each occurrence count is then scored by the posterior
+probability that it comes from the elite component. A histogram of occurrences has no
+zeros, so both components are zero-truncated. The ordinary rate has a weak prior at the
+term's overall rate: a term that only elite records have shows no ordinary ones.
+
+One elite rate can't hold a term that a record uses at 60 % and another at 3 %: records
+far above the ordinary rate are set aside once they are elite, and what is left is fitted
+anew, as long as anything in it stands out. A count's posterior is its largest of all fits.
 
 The histogram is aggregated before it is shuffled by term, and its cells – not records –
 are what one task sees of a term, so a term that every record has costs no more than its
@@ -19,13 +23,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Size classes are powers of this base; a class's exposure is its records' mean size.
 SIZE_BASE = 1.25
-EM_STEPS = 60
+#: Steps of one fit; a term stops by itself once its rates move by less than the tolerance.
+EM_STEPS = 500
 EM_TOLERANCE = 1e-6
+#: The prior of the ordinary rate, in occurrences seen at the term's overall rate.
+PRIOR = 2.0
+#: What is left of a term is fitted again while a rate in it is this many times the overall one.
+STANDS_OUT = 3.0
+#: A component below this many times the overall rate is that of a common term, not an elite one.
+ABOVE = 2.0
+#: From this posterior on a term is called characteristic of a record.
+ELITE = 0.5
 
 
 def latest_counts(stats: DataFrame) -> DataFrame:
@@ -45,122 +58,141 @@ def latest_counts(stats: DataFrame) -> DataFrame:
     return rows.groupBy("run_id", "phrase").agg(last).select("run_id", "phrase", F.col("last.n").alias("n"), F.col("last.recorded").alias("recorded"))
 
 
-def _fit(count: np.ndarray, size: np.ndarray, weight: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """EM for many terms at once; cells of a term are neighbours, ``starts`` are their first cells."""
-    sums = lambda x: np.add.reduceat(x, starts)
+def _missing(rate: np.ndarray) -> np.ndarray:
+    """P(count > 0) of a Poisson variable."""
+    return -np.expm1(-np.maximum(rate, 1e-12))
+
+
+def _odds(count: np.ndarray, size: np.ndarray, low: np.ndarray, elite: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Log-odds of the elite component for counts above 0."""
+    gap = (np.log(elite) - np.log(low)) * count - (elite - low) * size - np.log(_missing(elite * size)) + np.log(_missing(low * size))
+    return gap + np.log(share) - np.log1p(-share)
+
+
+def _fit(count: np.ndarray, size: np.ndarray, weight: np.ndarray, starts: np.ndarray, overall: np.ndarray, steps: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """EM for many terms at once; cells of a term are neighbours, ``starts`` are their first cells.
+
+    ``overall`` is each term's rate over all records, those without it included. Both rates
+    start there, so that all that tells them apart is learnt; cells above that rate are taken for elite in the first step. Each term stops
+    for itself.
+    """
+    low, elite, share = overall.copy(), overall.copy(), np.full(len(starts), 0.1)
     lengths = np.diff(np.append(starts, len(count)))
-    spread = lambda x: np.repeat(x, lengths)
-    total_n, total_t = sums(weight * count), sums(weight * size)
-    mean = np.maximum(total_n / total_t, 1e-12)
-    rate = count / size
-    high = np.maximum(np.maximum.reduceat(rate, starts), mean * 1.01)
-    low, elite, share = mean.copy(), np.sqrt(mean * high) * 1.5, np.full(len(starts), 0.1)
-    records = sums(weight)
-    for _ in range(EM_STEPS):
-        gap = spread(np.log(elite) - np.log(low)) * count - spread(elite - low) * size + spread(np.log(share) - np.log1p(-share))
-        post = 1 / (1 + np.exp(-np.clip(gap, -700, 700)))
-        w = weight * post
-        n1, t1 = sums(w * count), sums(w * size)
-        new_share = np.clip(sums(w) / records, 1e-9, 1 - 1e-9)
+    term = np.repeat(np.arange(len(starts)), lengths)
+    going = np.arange(len(starts))
+    for step in range(steps):
+        cells = np.flatnonzero(np.isin(term, going)) if len(going) < len(starts) else np.arange(len(term))
+        c, s, w, n = count[cells], size[cells], weight[cells], lengths[going]
+        first = np.concatenate([[0], np.cumsum(n)[:-1]])
+        sums = lambda x: np.add.reduceat(x, first)
+        lo, el, sh = (np.repeat(x[going], n) for x in (low, elite, share))
+        post = np.where(c / s > np.repeat(overall[going], n), 0.9, 0.1) if step == 0 else 1 / (1 + np.exp(-np.clip(_odds(c, s, lo, el, sh), -700, 700)))
+        # A truncated Poisson count stands for size / P(count > 0) of exposure.
+        n1, t1 = sums(w * post * c), sums(w * post * s / _missing(el * s))
+        n0, t0 = sums(w * (1 - post) * c), sums(w * (1 - post) * s / _missing(lo * s))
+        new_share = (sums(w * post) + 0.1) / (sums(w) + 1)
+        new_low = (n0 + PRIOR) / (t0 + PRIOR / overall[going])
         new_elite = np.maximum(n1 / np.maximum(t1, 1e-12), 1e-12)
-        new_low = np.maximum((total_n - n1) / np.maximum(total_t - t1, 1e-12), mean)
-        new_elite = np.maximum(new_elite, new_low * (1 + 1e-6))
-        moved = max(np.abs(np.log(new_elite / elite)).max(), np.abs(np.log(new_low / low)).max())
-        low, elite, share = new_low, new_elite, new_share
-        if moved < EM_TOLERANCE:
+        moved = np.maximum(np.abs(np.log(new_elite / elite[going])), np.abs(np.log(new_low / low[going])))
+        low[going], elite[going], share[going] = new_low, new_elite, new_share
+        going = going[(moved >= EM_TOLERANCE) | (step == 0)]
+        if not len(going):
             break
     return low, elite, share
 
 
-def fit_terms(counts: DataFrame, record: str, term: str, n: str) -> DataFrame:
-    """(term, low, elite, elite_share, records, total): the mixture of each term.
+def fit_histograms(histograms: list[list[tuple[float, float, float]]], overall: list[float], steps: int = EM_STEPS) -> list[list[tuple[float, float, float]]]:
+    """The fits (low, elite, share) of each term's histogram of (count, size, records).
 
-    ``counts`` holds each record and term once. Rates are occurrences per term of a record.
+    The first fit is of the whole histogram, further ones of what the earlier left over.
+    """
+    fits: list[list[tuple[float, float, float]]] = [[] for _ in histograms]
+    left = {i: np.array(h, float) for i, h in enumerate(histograms) if h}
+    while left:
+        starts = np.cumsum([0, *[len(h) for h in left.values()]])[:-1]
+        cells = np.concatenate(list(left.values()))
+        low, elite, share = _fit(cells[:, 0], cells[:, 1], cells[:, 2], starts, np.array([overall[i] for i in left]), steps)
+        rest: dict[int, np.ndarray] = {}
+        for k, (i, h) in enumerate(left.items()):
+            fits[i].append((float(low[k]), float(elite[k]), float(share[k])))
+            taken = (elite[k] >= ABOVE * overall[i]) & (elite[k] > low[k]) & (_odds(h[:, 0], h[:, 1], low[k], elite[k], share[k]) > 0)
+            over = h[~taken]
+            if taken.any() and len(over) and (over[:, 0] / over[:, 1]).max() >= STANDS_OUT * overall[i]:
+                rest[i] = over
+        left = rest
+    return fits
+
+
+def fit_terms(counts: DataFrame, record: str, term: str, n: str, steps: int = EM_STEPS) -> DataFrame:
+    """(term, fits, records, total): the mixtures of each term, array<struct<low, elite, share>>.
+
+    ``counts`` holds each record and term once. Rates are occurrences per term of a record;
+    records is how many have the term, total how often.
     """
     sizes = counts.groupBy(record).agg(F.sum(n).cast("double").alias("size")).where("size > 0")
-    size_class = F.floor(F.log(SIZE_BASE, F.col("size"))).cast("int")
-    sizes = sizes.withColumn("class", size_class)
+    sizes = sizes.withColumn("class", F.floor(F.log(SIZE_BASE, F.col("size"))).cast("int"))
     # One row for each power of the base: at most some 200, whatever the data.
-    classes = sizes.groupBy("class").agg(F.count(F.lit(1)).alias("members"), F.avg("size").alias("mean_size"))
-    listed = classes.agg(F.array_sort(F.collect_list(F.struct("class", "members", "mean_size"))).alias("classes"))
+    classes = sizes.groupBy("class").agg(F.avg("size").alias("mean_size"))
+    all_sizes = classes.agg(F.array_sort(F.collect_list(F.struct("class", "mean_size"))).alias("classes")).crossJoin(sizes.agg(F.sum("size").alias("all_size")))
     cells = (
         counts.where(F.col(n) > 0)
         .join(sizes.select(record, "class"), record)
         .groupBy(term, "class", n)
         .agg(F.count(F.lit(1)).alias("records"))
         .groupBy(term)
-        .agg(F.collect_list(F.struct("class", F.col(n).alias("count"), "records")).alias("cells"))
-        .crossJoin(F.broadcast(listed))  # a single row
+        .agg(F.array_sort(F.collect_list(F.struct("class", F.col(n).alias("count"), "records"))).alias("cells"))
+        .crossJoin(F.broadcast(all_sizes))  # a single row
     )
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if pdf.empty:
                 continue
-            count: list[float] = []
-            size: list[float] = []
-            weight: list[float] = []
-            starts: list[int] = []
-            records: list[int] = []
-            totals: list[int] = []
-            for own, classes_ in zip(pdf["cells"], pdf["classes"], strict=True):
-                mean = {c["class"]: c["mean_size"] for c in classes_}
-                left = {c["class"]: c["members"] for c in classes_}
-                starts.append(len(count))
-                having = total = 0
-                for c in own:
-                    count.append(c["count"])
-                    size.append(mean[c["class"]])
-                    weight.append(c["records"])
-                    left[c["class"]] -= c["records"]
-                    having += c["records"]
-                    total += c["records"] * c["count"]
-                for k, m in left.items():  # the records without the term
-                    if m > 0:
-                        count.append(0)
-                        size.append(mean[k])
-                        weight.append(m)
-                records.append(having)
-                totals.append(total)
-            low, elite, share = _fit(np.array(count, float), np.array(size), np.array(weight, float), np.array(starts))
-            yield pd.DataFrame({"term": pdf[term], "low": low, "elite": elite, "elite_share": share, "records": records, "total": totals})
+            mean = {c["class"]: c["mean_size"] for c in pdf["classes"].iloc[0]}
+            histograms = [[(c["count"], mean[c["class"]], c["records"]) for c in own] for own in pdf["cells"]]
+            records = [int(sum(c[2] for c in h)) for h in histograms]
+            totals = [int(sum(c[0] * c[2] for c in h)) for h in histograms]
+            fits = fit_histograms(histograms, [t / a for t, a in zip(totals, pdf["all_size"], strict=True)], steps)
+            named = [[{"low": a, "elite": b, "share": c} for a, b, c in f] for f in fits]
+            yield pd.DataFrame({"term": pdf[term], "fits": named, "records": records, "total": totals})
 
     kind = counts.schema[term].dataType.simpleString()
-    fitted = cells.mapInPandas(work, f"term {kind}, low double, elite double, elite_share double, records long, total long")
+    fitted = cells.mapInPandas(work, f"term {kind}, fits array<struct<low double, elite double, share double>>, records long, total long")
     return fitted.withColumnRenamed("term", term)
 
 
-def score_terms(counts: DataFrame, record: str = "run_id", term: str = "phrase", n: str = "n") -> DataFrame:
-    """Adds to each (record, term, n): posterior, log_posterior, share, overall_share, lift, records.
+def _log_odds(fit: Column, n: Column, size: Column) -> Column:
+    low, elite, share = fit["low"], fit["elite"], fit["share"]
+    seen = lambda rate: F.log(-F.expm1(-F.greatest(rate * size, F.lit(1e-12))))
+    return (F.log(elite) - F.log(low)) * n - (elite - low) * size - seen(elite) + seen(low) + F.log(share) - F.log1p(-share)
+
+
+def score_terms(counts: DataFrame, record: str = "run_id", term: str = "phrase", n: str = "n", steps: int = EM_STEPS) -> DataFrame:
+    """Adds to each (record, term, n): log_odds, posterior, share, overall_share, lift, records.
 
     posterior is the probability that the count comes from the term's elite component.
-    In large records it underflows to 0; its logarithm doesn't.
-    Counts of 0 get posterior 0 and no logarithm. An empty input gives an empty result; a term that
-    all records use at one rate has two equal components and posteriors near its elite share.
+    Counts of 0 get posterior 0 and no odds, and so do terms that no record uses at ``ABOVE``
+    times the overall rate. An empty input gives an empty result.
     """
-    terms = fit_terms(counts, record, term, n)
+    terms = fit_terms(counts, record, term, n, steps)
     sizes = counts.groupBy(record).agg(F.sum(n).alias("record_total"))
     overall = counts.agg(F.sum(n).alias("all_total"))  # one row
-    gap = (
-        (F.log("elite") - F.log("low")) * F.col(n)
-        - (F.col("elite") - F.col("low")) * F.col("record_total")
-        + F.log("elite_share")
-        - F.log1p(-F.col("elite_share"))
-    )
+    apart = F.filter("fits", lambda f: (f["elite"] > f["low"]) & (f["elite"] * F.col("all_total") >= F.lit(ABOVE) * F.col("total")))
+    odds = F.array_max(F.transform(apart, lambda f: _log_odds(f, F.col(n), F.col("record_total"))))
     scored = (
         counts.join(sizes, record)
         .join(terms, term, "left")
         .crossJoin(F.broadcast(overall))
-        .withColumn("posterior", F.when(F.col(n) > 0, 1 / (1 + F.exp(-gap))).otherwise(F.lit(0.0)))
-        .withColumn("log_posterior", F.when(F.col(n) > 0, F.least(gap, F.lit(0.0)) - F.log1p(F.exp(-F.abs(gap)))))
+        .withColumn("log_odds", F.when(F.col(n) > 0, odds))
+        .withColumn("posterior", F.coalesce(1 / (1 + F.exp(-F.col("log_odds"))), F.lit(0.0)))
         .withColumn("share", F.when(F.col("record_total") > 0, F.col(n) / F.col("record_total")).otherwise(F.lit(0.0)))
         .withColumn("overall_share", F.coalesce(F.col("total") / F.col("all_total"), F.lit(0.0)))
         .withColumn("lift", F.col("share") / F.col("overall_share"))
     )
     return scored.select(
         *counts.columns,
+        "log_odds",
         "posterior",
-        "log_posterior",
         "share",
         "overall_share",
         "lift",
@@ -172,23 +204,14 @@ def score_terms(counts: DataFrame, record: str = "run_id", term: str = "phrase",
 
 
 def characteristic(scored: DataFrame, n: str = "n") -> DataFrame:
-    """The rows that are characteristic: scored by the mixture, then the exact check.
+    """The rows that are characteristic: selected by their posterior, then checked exactly.
 
-    The exact check: at least 2 % of the record, at least 4 times the share of all records,
+    The check: at least 2 % of the record, at least 4 times the share of all records,
     in at least two records. Whole numbers are compared, so no share is lost to rounding.
-    A low posterior rules nothing out: a record that a term dominates draws the elite rate
-    so high that the term's other characteristic records look ordinary.
     """
     big = lambda c: F.col(c).cast("decimal(19,0)")
-    return scored.where(
-        (F.col(n) > 0)
-        & (F.col("records") >= 2)
+    return scored.where(F.col("posterior") > ELITE).where(
+        (F.col("records") >= 2)
         & (big(n) * 50 >= big("record_total"))
         & (big(n) * big("all_total") >= big("term_total") * 4 * big("record_total"))
     )
-
-
-def rank_by_posterior(scored: DataFrame, record: str, k: int) -> DataFrame:
-    """The k most characteristic terms of each record."""
-    w = Window.partitionBy(record).orderBy(F.desc("log_posterior"), F.desc("lift"), "phrase")
-    return scored.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)

@@ -13,8 +13,8 @@ from murmurlake.session import cut
 from murmurlake.sources.tables import table
 
 
-def _scored_phrases(spark: SparkSession, folder: str) -> DataFrame:
-    return keyness.score_terms(cut(keyness.latest_counts(table(spark, folder, "ngram_stats")), "counts"))
+def _scored_phrases(spark: SparkSession, folder: str, steps: int = keyness.EM_STEPS) -> DataFrame:
+    return keyness.score_terms(cut(keyness.latest_counts(table(spark, folder, "ngram_stats")), "counts"), steps=steps)
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -24,7 +24,7 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 def p1_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Every phrase of every run with its posterior, next to the recorded style_keyness."""
     rows = _scored_phrases(spark, folder)
-    return rows.select("run_id", "phrase", "n", F.round("posterior", 9).alias("posterior"), F.round("lift", 6).alias("lift"), F.col("recorded").alias("style_keyness"))
+    return rows.select("run_id", "phrase", "n", F.round("posterior", 6).alias("posterior"), F.round("lift", 6).alias("lift"), F.col("recorded").alias("style_keyness"))
 
 
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
