@@ -62,7 +62,8 @@ def p3_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p3_unified(spark: SparkSession, folder: str) -> DataFrame:
-    return drift.unify(table(spark, folder, "raw_records"), ["record_id", "file_no"])
+    records = table(spark, folder, "raw_records")
+    return drift.unify(records, ["record_id", "file_no"], names=drift.corresponding_names(records))
 
 
 def p4_sessions(spark: SparkSession, folder: str) -> DataFrame:

@@ -18,6 +18,8 @@ from murmurlake.functions.time import text_millis, usable_millis
 TEXT_FIELDS = ("text", "content", "message", "msg", "raw_message", "msgContent", "message_content", "plain", "plain_text")
 NAME_FIELDS = ("name", "senderName", "sender_name", "nickname", "nick", "from", "fromName")
 ID_FIELDS = ("uin", "senderUin", "sender_id", "user_id", "uid", "qq", "account", "fromUin")
+TIME_FIELDS = ("timestamp", "msgTime", "send_time", "datetime", "time", "date")
+SEQ_FIELDS = ("seq", "sequence", "seqId")
 
 # Message types by their code.
 TYPES = {
@@ -176,7 +178,7 @@ def read_exports(spark: SparkSession, folder: str, limit_files: int | None = Non
         "source_file",
         F.col("msg_idx").cast("int").alias("msg_idx"),
         _field(m, "id", "msgId", "msg_id").alias("msg_id"),
-        _field(m, "seq", "sequence", "seqId").alias("seq"),
+        _field(m, *SEQ_FIELDS).alias("seq"),
         millis.cast("long").alias("timestamp_ms"),
         _field(s, "uid").alias("uid"),
         _field(s, *ID_FIELDS).alias("uin"),
