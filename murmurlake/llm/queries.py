@@ -88,14 +88,27 @@ def p9_report(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(_sizes(spark, folder), table(spark, folder, "mix_targets"))
 
 
+def _spans(spark: SparkSession, folder: str) -> spans.SharedSpans:
+    return spans.SharedSpans(table(spark, folder, "documents"), "doc_id", "text")
+
+
 def p10_found(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = spans.extended_pairs(table(spark, folder, "documents"), "doc_id", "text")
-    return pairs.select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+    return _spans(spark, folder).pairs().select(F.col("a").alias("doc_id_a"), F.col("b").alias("doc_id_b"))
+
+
+def p10_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The pairs of classes of equal texts, by their least doc_id, that share a run."""
+    return _spans(spark, folder).links().select(F.col("ref_a").alias("class_a"), F.col("ref_b").alias("class_b"))
+
+
+def p10_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of equal texts of each document and the number of its links."""
+    return _spans(spark, folder).classes().select("doc_id", F.col("class").alias("class_id"), "copies", "n_links")
 
 
 def p10_shared(spark: SparkSession, folder: str) -> DataFrame:
     """How much of each document is shared elsewhere."""
-    return spans.shared_parts(table(spark, folder, "documents"), "doc_id", "text")
+    return _spans(spark, folder).report()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -113,6 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p9_mix": p9_mix,
     "p9_report": p9_report,
     "p10_found": p10_found,
+    "p10_links": p10_links,
+    "p10_classes": p10_classes,
     "p10_shared": p10_shared,
 }
 
@@ -141,6 +156,11 @@ v AS (SELECT conv_id, broken, q0, coalesce(roles, 0) AS roles FROM (SELECT conv_
     min(q) AS q0 FROM w GROUP BY conv_id) LEFT JOIN l USING (conv_id))
 """
 
+# All windows of 60 characters, and those that two documents have.
+_WINDOWS = """w AS (SELECT doc_id, i, substr(text, CAST(i AS BIGINT), 60) AS s FROM
+    (SELECT doc_id, text, unnest(generate_series(1, length(text) - 59)) AS i FROM documents WHERE length(text) >= 60)),
+  g AS (SELECT s FROM w GROUP BY s HAVING count(DISTINCT doc_id) > 1)"""
+
 ORACLES: dict[str, str] = {
     "p1_found": f"""WITH {_COUNTS} SELECT l.run_id, l.phrase FROM l JOIN r USING (run_id) JOIN p USING (phrase)
         WHERE runs >= 2 AND l.n > 0 AND l.n * 50 >= rn AND l.n * (SELECT sum(n) FROM l) >= pn * 4 * rn""",
@@ -151,8 +171,18 @@ ORACLES: dict[str, str] = {
     "p6_conversations": f"""WITH {_FOLDED}
         SELECT conv_id, CAST(q - q0 AS BIGINT) AS position, CASE WHEN mine THEN 'me' ELSE 'other' END AS role, text, t AS time_ms, row_id
         FROM s JOIN v USING (conv_id) WHERE visible AND NOT broken AND roles = 2""",
-    "p10_found": """WITH w AS (SELECT DISTINCT doc_id, substr(text, CAST(i AS BIGINT), 60) AS s FROM
-          (SELECT doc_id, text, unnest(generate_series(1, length(text) - 59)) AS i FROM documents WHERE length(text) >= 60)),
-        g AS (SELECT s FROM w GROUP BY s HAVING count(*) > 1), x AS (SELECT w.* FROM w JOIN g USING (s))
+    "p10_found": f"""WITH {_WINDOWS}, x AS (SELECT DISTINCT doc_id, s FROM w JOIN g USING (s))
         SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM x a JOIN x b ON a.s = b.s AND a.doc_id < b.doc_id""",
+    "p10_links": f"""WITH {_WINDOWS}, c AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS k FROM documents WHERE length(text) >= 60),
+        x AS (SELECT DISTINCT k, s FROM w JOIN g USING (s) JOIN c USING (doc_id))
+        SELECT DISTINCT a.k AS class_a, b.k AS class_b FROM x a JOIN x b ON a.s = b.s AND a.k < b.k""",
+    "p10_classes": f"""WITH {_WINDOWS}, c AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS k, count(*) OVER (PARTITION BY text) AS copies FROM documents WHERE length(text) >= 60),
+        x AS (SELECT DISTINCT k, s FROM w JOIN g USING (s) JOIN c USING (doc_id)),
+        l AS (SELECT a.k, count(DISTINCT b.k) AS n FROM x a JOIN x b ON a.s = b.s AND a.k <> b.k GROUP BY a.k)
+        SELECT doc_id, c.k AS class_id, coalesce(copies, 1) AS copies, coalesce(n, 0) AS n_links FROM documents LEFT JOIN c USING (doc_id) LEFT JOIN l ON l.k = c.k""",
+    "p10_shared": f"""WITH {_WINDOWS}, p AS (SELECT DISTINCT doc_id, i FROM w JOIN g USING (s)),
+        d AS (SELECT doc_id, least(60, coalesce(lead(i) OVER (PARTITION BY doc_id ORDER BY i) - i, 60)) AS n FROM p),
+        t AS (SELECT doc_id, sum(n) AS n FROM d GROUP BY doc_id)
+        SELECT doc_id, coalesce(length(text), 0) AS n_chars, CAST(coalesce(n, 0) AS BIGINT) AS shared_chars,
+          CASE WHEN length(text) > 0 THEN round(coalesce(n, 0) / length(text), 6) ELSE 0.0 END AS shared_rate FROM documents LEFT JOIN t USING (doc_id)""",
 }

@@ -3,33 +3,45 @@
 Windows are hashed only at positions whose remainder by a period v lies in a difference
 cover of v. For any two positions i and j some shift below v moves both onto the cover, so
 two records that share a run of at least ``length`` characters share an aligned window
-of length - v + 1 characters: no match is lost, at |cover| / v hashes a character.
-
-Hashes are sorted, packed and compressed by each task before they are shuffled (about 9
-bytes an anchor), and grouped by value; the pairs of records in a group are then checked
-and extended on the texts themselves, so a hash collision can't make a false pair.
+(an anchor) of length - v + 1 characters: no match is lost, at |cover| / v hashes a character.
+
+1. Copies are one class; what follows is done once for each class, on its representative.
+2. Anchors are sorted, packed and compressed by each task before they are shuffled (about 10
+   bytes an anchor). An anchor that a task has of two texts is proven shared there, and only
+   one of its places goes on to meet other tasks', so no common anchor gathers anywhere.
+3. Shared anchors are extended, on their own texts, by up to v - 1 characters to the left and
+   right to every window of ``length`` characters that holds them. Windows are known by 128
+   bits of hash and counted; those of two texts are the shared runs.
+4. Links: windows of the same set of texts are one set, known by sums of hashes. A set's
+   pairs are made in blocks, so that no task or row holds a set of any size.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from murmurlake.session import cut
 
 LENGTH = 60
 # A perfect difference set modulo 21.
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
+#: Members of a block; a set of more is split into blocks, and pairs are made block by block.
+BLOCK = 1000
+#: Keys with at least this part of all rows are joined by broadcast: there can be no more than as many.
+HOT_PARTS = 1000
 
 _CHARS_AT_ONCE = 500_000
 _ANCHORS_IN_FLUSH = 1_000_000
 _ANCHORS_IN_TASK = 400_000
-_BASE = np.uint64(0x9E3779B97F4A7C15)
-_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
+_ROWS_AT_ONCE = 50_000
+_BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 
 def is_cover(period: int, cover: tuple[int, ...]) -> bool:
@@ -48,20 +60,20 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
-def window_hashes(chars: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+def window_hashes(chars: np.ndarray, at: np.ndarray, size: int, base: int = _BASES[0]) -> np.ndarray:
     """64-bit hashes of the windows [p, p + size) for the positions ``at``."""
     n = len(chars)
-    powers = np.full(n, _BASE, np.uint64)
+    powers = np.full(n, base, np.uint64)
     powers[:1] = 1
     prefix = np.zeros(n + 1, np.uint64)
-    np.cumsum(_mix(chars.astype(np.uint64)) * np.cumprod(powers), out=prefix[1:])
-    powers[1:] = _INVERSE
+    np.cumsum(_mix(chars.astype(np.uint64) + np.uint64(base & 0xFFFF)) * np.cumprod(powers), out=prefix[1:])
+    powers[1:] = np.uint64(pow(base, -1, 2**64))
     back = np.cumprod(powers)
     return _mix((prefix[at + size] - prefix[at]) * back[at])
 
 
-def _anchors(ids: np.ndarray, texts: list[np.ndarray], window: int, period: int, cover: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, id) of all anchors of some texts, each pair once."""
+def _anchors(refs: np.ndarray, texts: list[np.ndarray], window: int, period: int, cover: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, ref, position) of all anchors of some texts."""
     sizes = np.array([len(t) for t in texts])
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     chars = np.concatenate(texts)
@@ -70,203 +82,304 @@ def _anchors(ids: np.ndarray, texts: list[np.ndarray], window: int, period: int,
     on_cover[cover] = True
     fits = np.repeat(sizes, sizes) - place >= window
     at = np.flatnonzero(on_cover[place % period] & fits)
-    return window_hashes(chars, at, window), np.repeat(ids, sizes)[at]
+    return window_hashes(chars, at, window), np.repeat(refs, sizes)[at], place[at]
+
+
+def _planes(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of 64-bit numbers, the first sorted, as differences from it or from their least, by byte planes, compressed."""
+    first = np.concatenate([columns[0][:1], np.diff(columns[0])])
+    lows = [int(c.min()) for c in columns[1:]]
+    body = b"".join([_planes(first), *[_planes(c.astype(np.int64) - low) for c, low in zip(columns[1:], lows, strict=True)]])
+    head = np.array([len(first), *lows], np.int64).tobytes()
+    return head + pa.compress(body, codec="zstd", asbytes=True)
 
 
-def _pack(h: np.ndarray, ids: np.ndarray) -> bytes:
-    """Sorted hashes as differences and ids from their least, both by byte planes, compressed."""
-    low = int(ids.min())
-    parts = np.concatenate([[h[0]], np.diff(h)]).astype(np.uint64), (ids - low).astype(np.uint64)
-    planes = b"".join(np.ascontiguousarray(p.view(np.uint8).reshape(-1, 8).T).tobytes() for p in parts)
-    body = pa.compress(planes, codec="zstd", asbytes=True)
-    return len(h).to_bytes(8, "little") + low.to_bytes(8, "little", signed=True) + body
+def _unpack(data: bytes, columns: int) -> list[np.ndarray]:
+    head = np.frombuffer(data[: 8 * columns], np.int64)
+    n = int(head[0])
+    body = np.frombuffer(pa.decompress(data[8 * columns :], 8 * columns * n, codec="zstd", asbytes=True), np.uint8).reshape(columns, 8, n)
+    raw = [np.ascontiguousarray(p.T).view(np.uint64).ravel() for p in body]
+    return [np.cumsum(raw[0], dtype=np.uint64), *[c.astype(np.int64) + low for c, low in zip(raw[1:], head[1:], strict=True)]]
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, low = int.from_bytes(data[:8], "little"), int.from_bytes(data[8:16], "little", signed=True)
-    planes = np.frombuffer(pa.decompress(data[16:], 16 * n, codec="zstd", asbytes=True), np.uint8)
-    h, ids = (np.ascontiguousarray(p.reshape(8, n).T).view(np.uint64).ravel() for p in (planes[: 8 * n], planes[8 * n :]))
-    return np.cumsum(h, dtype=np.uint64), ids.astype(np.int64) + low
+def _shared_runs(h: np.ndarray, refs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted hashes: (whether an entry's hash is of two texts or more, whether it is the first of its hash)."""
+    first = np.append(True, h[1:] != h[:-1])
+    starts = np.flatnonzero(first)
+    many = np.maximum.reduceat(refs, starts) != np.minimum.reduceat(refs, starts)
+    return np.repeat(many, np.diff(np.append(starts, len(h)))), first
 
 
-def anchor_parts(docs: DataFrame, key: str, text: str, parts: int, length: int, period: int, cover: tuple[int, ...]) -> DataFrame:
+def _places(refs: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(refs, pa.int64()), pa.array(at, pa.int32())], names=["ref", "pos"])
+
+
+def anchor_parts(texts: DataFrame, parts: int, length: int, period: int, cover: tuple[int, ...], flush_at: int = _ANCHORS_IN_FLUSH) -> DataFrame:
+    """(part, anchors) of ``texts`` (ref, text): packed anchors by the part of their hash.
+
+    Parts from ``parts`` on hold places already proven, dealt out evenly.
+    """
     window, where = length - period + 1, np.array(cover)
 
-    def flush(hs: list[np.ndarray], ids: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        h, i = np.concatenate(hs), np.concatenate(ids)
+    def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+        h, refs, at = (np.concatenate(c) for c in zip(*held, strict=True))
         part = (h % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((h, part))
-        h, i, part = h[order], i[order], part[order]
-        cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
-        ends = np.append(cuts[1:], len(part))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(part[cuts].astype(np.int32)), pa.array([_pack(h[a:b], i[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary())],
-            names=["part", "anchors"],
-        )
+        h, refs, at, part = h[order], refs[order], at[order], part[order]
+        proven, first = _shared_runs(h, refs)
+        blobs: list[bytes] = []
+        numbers: list[int] = []
+        for chosen, base in ((~proven | first, 0), (proven, parts)):
+            hs, rs, ps, own = h[chosen], refs[chosen], at[chosen], part[chosen]
+            if not len(hs):
+                continue
+            cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            for a, b in zip(cuts, np.append(cuts[1:], len(own)), strict=True):
+                blobs.append(_pack(hs[a:b], rs[a:b], ps[a:b]))
+                numbers.append(int(own[a]) + base)
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "anchors"])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hs: list[np.ndarray] = []
-        ids: list[np.ndarray] = []
-        held = 0
+        held: list[tuple[np.ndarray, ...]] = []
+        count = 0
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             at, rows = 0, batch.num_rows
-            texts = batch.column(1)
+            own_texts = batch.column(1)
             while at < rows:
                 some: list[np.ndarray] = []
                 own: list[int] = []
                 size = 0
                 while at < rows and (not some or size < _CHARS_AT_ONCE):
-                    chars = code_points(texts[at].as_py())
-                    if len(chars) >= length:
-                        some.append(chars)
-                        own.append(keys[at])
-                        size += len(chars)
+                    chars = code_points(own_texts[at].as_py())
+                    some.append(chars)
+                    own.append(keys[at])
+                    size += len(chars)
                     at += 1
-                if not some:
-                    continue
-                h, i = _anchors(np.array(own, np.int64), some, window, period, where)
-                hs.append(h)
-                ids.append(i)
-                held += len(h)
-                if held >= _ANCHORS_IN_FLUSH:
-                    yield from flush(hs, ids)
-                    hs, ids, held = [], [], 0
-        if held:
-            yield from flush(hs, ids)
-
-    rows = docs.where(F.length(text) >= length).select(F.col(key).cast("long"), text)
-    return rows.mapInArrow(work, "part int, anchors binary")
-
-
-def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hs, ids = [], []
-    for batch in batches:
-        for data in batch.column(1):
-            h, i = _unpack(data.as_py())
-            hs.append(h)
-            ids.append(i)
-    if not hs:
-        return
-    h, i = np.concatenate(hs), np.concatenate(ids)
-    del hs, ids
-    order = np.lexsort((i, h))
-    h, i = h[order], i[order]
-    new = np.append(True, (h[1:] != h[:-1]) | (i[1:] != i[:-1]))  # a record counts once a hash
-    h, i = h[new], i[new]
-    starts = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
-    sizes = np.diff(np.append(starts, len(h)))
-    seen: set[bytes] = set()
-
-    def batch_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    out_a: list[np.ndarray] = []
-    out_b: list[np.ndarray] = []
-    held = 0
-    for s, k in zip(starts[sizes > 1], sizes[sizes > 1], strict=True):
-        group = i[s : s + k]
-        digest = hashlib.blake2b(group.tobytes(), digest_size=16).digest()
-        if digest in seen:  # neighbouring anchors mostly have the same records
-            continue
-        seen.add(digest)
-        for x in range(k - 1):
-            out_a.append(np.full(k - 1 - x, group[x]))
-            out_b.append(group[x + 1 :])
-            held += k - 1 - x
-            if held >= 200_000:
-                yield batch_of(np.concatenate(out_a), np.concatenate(out_b))
-                out_a, out_b, held = [], [], 0
-    if held:
-        yield batch_of(np.concatenate(out_a), np.concatenate(out_b))
-
-
-def candidate_pairs(docs: DataFrame, key: str, text: str, length: int = LENGTH, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> DataFrame:
-    """(a, b): each pair of records that share an anchor, a < b, once."""
+                held.append(_anchors(np.array(own, np.int64), some, window, period, where))
+                count += len(held[-1][0])
+                if count >= flush_at:
+                    yield from flush(held)
+                    held, count = [], 0
+        if count:
+            yield from flush(held)
+
+    return texts.mapInArrow(work, "part int, anchors binary")
+
+
+def shared_anchors(texts: DataFrame, length: int, period: int, cover: tuple[int, ...], flush_at: int = _ANCHORS_IN_FLUSH) -> DataFrame:
+    """(ref, pos): the places of anchors that at least two texts have; a place may come twice."""
     if length < period or not is_cover(period, cover):
         raise ValueError("the cover has to be a difference cover of a period no longer than the spans")
-    chars = docs.agg(F.sum(F.length(text)).alias("n")).first()["n"] or 0
+    chars = texts.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
     tasks = max(4, math.ceil(chars * len(cover) / period / _ANCHORS_IN_TASK))
-    parts = anchor_parts(docs, key, text, 4 * tasks, length, period, cover)
-    return parts.repartition(tasks, "part").mapInArrow(_pairs, "a long, b long").distinct()
-
-
-def common_runs(a: np.ndarray, b: np.ndarray, length: int = LENGTH) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """The parts of ``a`` and of ``b`` covered by runs of at least ``length`` characters that both have."""
-    if len(a) < length or len(b) < length:
-        return [], []
-    ha = window_hashes(a, np.arange(len(a) - length + 1), length)
-    hb = window_hashes(b, np.arange(len(b) - length + 1), length)
-    at_a = np.flatnonzero(np.isin(ha, hb))
-    if not len(at_a):
-        return [], []
-    order = np.argsort(hb, kind="stable")
-    place = order[np.searchsorted(hb, ha[at_a], sorter=order)]
-    # Compare the characters themselves: first positions of a window and, by overlap, all others.
-    same = np.fromiter((np.array_equal(a[x : x + length], b[y : y + length]) for x, y in zip(at_a, place, strict=True)), bool, len(at_a))
-    at_a = at_a[same]
-    at_b = np.flatnonzero(np.isin(hb, ha[at_a]))
-    return _union(at_a, length), _union(at_b, length)
-
-
-def _union(starts: np.ndarray, length: int) -> list[tuple[int, int]]:
-    if not len(starts):
-        return []
-    cut = np.flatnonzero(np.diff(starts) > length)
-    first = np.concatenate([starts[:1], starts[cut + 1]])
-    last = np.concatenate([starts[cut], starts[-1:]]) + length
-    return [(int(x), int(y)) for x, y in zip(first, last, strict=True)]
-
-
-def extended_pairs(docs: DataFrame, key: str, text: str, length: int = LENGTH) -> DataFrame:
-    """(a, b, runs_a, runs_b): the candidate pairs that do share a run, with the parts it covers.
-
-    Runs are array<struct<start, stop>> in code points. Null and short texts share
-    nothing; copies of one text pair up like any other records.
+    parts = 4 * tasks
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                columns = _unpack(data.as_py(), 3)
+                if part >= parts:
+                    yield _places(columns[1], columns[2])
+                else:
+                    held.append(columns)
+        if held:
+            h, refs, at = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.argsort(h, kind="stable")
+            h, refs, at = h[order], refs[order], at[order]
+            many, _ = _shared_runs(h, refs)
+            yield _places(refs[many], at[many])
+
+    return anchor_parts(texts, parts, length, period, cover, flush_at).repartition(tasks, "part").mapInArrow(meet, "ref long, pos int")
+
+
+def extended_windows(texts: DataFrame, anchors: DataFrame, length: int, period: int) -> DataFrame:
+    """(w1, w2, ref, pos, new): every window of ``length`` characters that holds a shared anchor.
+
+    w1 and w2 are its hash; new tells the first place of a window in its text.
     """
-    pairs = candidate_pairs(docs, key, text, length)
-    texts = docs.where(F.length(text) >= length).select(F.col(key).cast("long").alias("id"), F.col(text).alias("t"))
-    left = pairs.join(texts.withColumnsRenamed({"id": "a", "t": "ta"}), "a")
-    both = left.join(texts.withColumnsRenamed({"id": "b", "t": "tb"}), "b").select("a", "b", "ta", "tb")
-    run = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+    by_text = anchors.groupBy("ref").agg(F.collect_set("pos").alias("at"))  # as many as the text has anchors at most
+    rows = texts.join(by_text, "ref").select("ref", "text", "at")
+    names = ["w1", "w2", "ref", "pos", "new"]
+
+    def rows_of(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)], names=names)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        count = 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                keep, runs_a, runs_b = [], [], []
-                for k in range(part.num_rows):
-                    ra, rb = common_runs(code_points(part.column(2)[k].as_py()), code_points(part.column(3)[k].as_py()), length)
-                    if ra:
-                        keep.append(k)
-                        runs_a.append([{"start": x, "stop": y} for x, y in ra])
-                        runs_b.append([{"start": x, "stop": y} for x, y in rb])
-                rows = pa.array(keep, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(rows), part.column(1).take(rows), pa.array(runs_a, run), pa.array(runs_b, run)], names=["a", "b", "runs_a", "runs_b"]
-                )
-
-    runs = "array<struct<start int, stop int>>"
-    return both.mapInArrow(work, f"a long, b long, runs_a {runs}, runs_b {runs}")
-
-
-def shared_parts(docs: DataFrame, key: str, text: str, length: int = LENGTH) -> DataFrame:
-    """(key, n_chars, shared_chars, shared_rate, n_links) of every record, those without text included."""
-    pairs = extended_pairs(docs, key, text, length)
-    sides = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("runs_a").alias("runs")), F.struct(F.col("b").alias("id"), F.col("runs_b").alias("runs")))).alias("s"))
-    runs = sides.select("s.id", F.explode("s.runs").alias("r")).select("id", "r.start", "r.stop")
-    by_start = Window.partitionBy("id").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.distinct().withColumn("reach", F.coalesce(F.max("stop").over(by_start), F.lit(0)))
-    covered = runs.groupBy("id").agg(F.sum(F.greatest(F.lit(0), F.col("stop") - F.greatest("start", "reach"))).alias("shared"))
-    links = sides.groupBy("s.id").agg(F.count(F.lit(1)).alias("n_links"))
-    base = docs.select(key, F.coalesce(F.length(text), F.lit(0)).cast("long").alias("n_chars"))
-    out = base.join(covered, F.col(key) == covered["id"], "left").drop("id")
-    out = out.join(links, F.col(key) == links["id"], "left").drop("id")
-    shared = F.coalesce("shared", F.lit(0)).cast("long")
-    return out.select(
-        key,
-        "n_chars",
-        shared.alias("shared_chars"),
-        F.when(F.col("n_chars") > 0, F.round(shared / F.col("n_chars"), 6)).otherwise(F.lit(0.0)).alias("shared_rate"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+            for ref, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+                chars = code_points(text.as_py())
+                n = len(chars) - length + 1
+                anchored = np.zeros(len(chars) + period, np.int64)
+                at = places.values.to_numpy(zero_copy_only=False)
+                # A window that starts up to period - 1 characters before an anchor holds it.
+                low = np.maximum(at - (period - 1), 0)
+                np.add.at(anchored, low, 1)
+                np.add.at(anchored, at + 1, -1)
+                starts = np.flatnonzero(np.cumsum(anchored)[:n] > 0)
+                if not len(starts):
+                    continue
+                w1, w2 = (window_hashes(chars, starts, length, b).view(np.int64) for b in _BASES)
+                _, firsts = np.unique(w1, return_index=True)
+                new = np.zeros(len(starts), bool)
+                new[firsts] = True
+                held.append((w1, w2, np.full(len(starts), ref, np.int64), starts.astype(np.int32), new))
+                count += len(starts)
+                if count >= _ROWS_AT_ONCE:
+                    yield rows_of(held)
+                    held, count = [], 0
+        if held:
+            yield rows_of(held)
+
+    return rows.mapInArrow(work, "w1 long, w2 long, ref long, pos int, new boolean")
+
+
+def _join_skewed(many: DataFrame, few: DataFrame, on: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
+    """``many`` joined to ``few``, whose keys are unique and tell by ``size`` how many rows of ``many`` have them.
+
+    Keys with a large part of all rows are broadcast; they are at most ``HOT_PARTS``, since
+    their sizes add up to the total. No other key can fill a task.
+    """
+    hot = F.col(size) * HOT_PARTS >= F.lit(max(total, 1))
+    big = many.join(F.broadcast(few.where(hot)), on)
+    return big.unionByName(many.join(few.where(~hot), on))
+
+
+def text_classes(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
+    """(key, ref, rep, copies) of the records long enough: rep is the least key of the class of equal texts.
+
+    ref is the representative's number: the key itself where that is a whole number.
+    Keys are unique; a key that comes with two texts stands for both of them.
+    """
+    digests = docs.where(F.length(text) >= length).select(F.col(key).alias("key"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    groups = digests.groupBy("digest").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    if isinstance(docs.schema[key].dataType, T.IntegralType):
+        groups = groups.withColumn("ref", F.col("rep").cast("long"))
+    else:
+        groups = groups.withColumn("ref", F.monotonically_increasing_id())
+    groups = cut(groups, "text-classes")
+    total = groups.agg(F.sum("copies")).first()[0] or 0
+    return cut(_join_skewed(digests, groups, ["digest"], "copies", total).select("key", "ref", "rep", "copies"), "members")
+
+
+class SharedSpans:
+    """The runs that the records of a collection share, found once; its tables are written ones."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, length: int = LENGTH, period: int = PERIOD, cover: tuple[int, ...] = COVER, flush_at: int = _ANCHORS_IN_FLUSH, block: int = BLOCK):
+        self.docs, self.key, self.text, self.length, self.block = docs, key, text, length, block
+        self.members = text_classes(docs, key, text, length)
+        own = docs.where(F.length(text) >= length).select(F.col(key).alias("key"), F.col(text).alias("text"))
+        if isinstance(docs.schema[key].dataType, T.IntegralType):
+            copies = self.members.where("key <> ref").select("key")
+            texts = own.join(copies, "key", "left_anti").select(F.col("key").cast("long").alias("ref"), "text")
+        else:
+            texts = own.join(self.members.where("key = rep").select("key", "ref"), "key").select("ref", "text")
+        anchors = shared_anchors(texts, length, period, cover, flush_at)
+        self.windows = cut(extended_windows(texts, anchors, length, period), "windows")
+        one = F.xxhash64(F.lit(1), "ref").cast("decimal(20,0)")
+        two = F.xxhash64(F.lit(2), "ref").cast("decimal(20,0)")
+        counted = self.windows.groupBy("w1", "w2").agg(
+            F.min("ref").alias("low"),
+            F.max("ref").alias("high"),
+            F.count(F.lit(1)).alias("places"),
+            F.count_if("new").alias("texts"),
+            F.sum(F.when(F.col("new"), one)).alias("s1"),
+            F.sum(F.when(F.col("new"), two)).alias("s2"),
+        )
+        self.shared = cut(counted.where("low <> high").drop("low", "high"), "shared")
+
+    def _at_shared(self, few: DataFrame) -> DataFrame:
+        total = self.windows.count()
+        return _join_skewed(self.windows, few, ["w1", "w2"], "places", total)
+
+    def coverage(self) -> DataFrame:
+        """(ref, shared_chars): characters of a text that lie in runs which another text has."""
+        starts = self._at_shared(self.shared.select("w1", "w2", "places")).groupBy("ref").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+        # Each window adds what the next one doesn't cover.
+        nexts = F.slice("at", F.lit(2), F.size("at"))
+        added = F.zip_with("at", nexts, lambda a, b: F.least(F.coalesce(b - a, F.lit(self.length)), F.lit(self.length)))
+        return starts.select("ref", F.aggregate(added, F.lit(0), lambda s, x: s + x).cast("long").alias("shared_chars"))
+
+    def links(self) -> DataFrame:
+        """(ref_a, ref_b): each pair of classes that share a run, ref_a < ref_b, once."""
+        sets = self.shared.groupBy("texts", "s1", "s2").agg(F.min(F.struct("w1", "w2", "places")).alias("w")).select("w.w1", "w.w2", "w.places", "texts")
+        inside = self._at_shared(sets).where("new").select(F.struct("w1", "w2").alias("set"), F.col("ref").alias("member"), F.col("texts").alias("size"))
+        return pairs_of_sets(inside, self.block).distinct().withColumnsRenamed({"a": "ref_a", "b": "ref_b"})
+
+    def pairs(self) -> DataFrame:
+        """(a, b): every pair of records that share a run, copies of one text among them; a < b, once."""
+        names = self.members.select("key", "ref")
+        left = self.links().join(names.withColumnsRenamed({"key": "x", "ref": "ref_a"}), "ref_a")
+        both = left.join(names.withColumnsRenamed({"key": "y", "ref": "ref_b"}), "ref_b")
+        apart = both.where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        copies = pairs_of_sets(self.members.where("copies > 1").select(F.col("ref").alias("set"), F.col("key").alias("member"), F.col("copies").alias("size")).distinct(), self.block)
+        return apart.unionByName(copies).distinct()
+
+    def classes(self) -> DataFrame:
+        """(key, class, copies, n_links) of every record: its class of equal texts and how many other classes that shares a run with.
+
+        Records too short to share anything are left with a null class.
+        """
+        ends = self.links().select(F.explode(F.array("ref_a", "ref_b")).alias("ref"))
+        linked = ends.groupBy("ref").agg(F.count(F.lit(1)).alias("n_links"))
+        known = self.members.join(linked, "ref", "left").select(F.col("key").alias("__key"), F.col("rep").alias("class"), "copies", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        out = self.docs.select(self.key).join(known.distinct(), F.col(self.key) == F.col("__key"), "left")
+        return out.select(self.key, "class", F.coalesce("copies", F.lit(1)).alias("copies"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+    def report(self) -> DataFrame:
+        """(key, n_chars, shared_chars, shared_rate) of every record, those without text included. No pairs are made."""
+        whole = self.members.join(self.coverage(), "ref", "left").select(F.col("key").alias("__key"), (F.col("copies") > 1).alias("__copied"), "shared_chars")
+        known = whole.groupBy("__key").agg(F.max("__copied").alias("__copied"), F.max("shared_chars").alias("__shared"))
+        base = self.docs.select(self.key, F.coalesce(F.length(self.text), F.lit(0)).cast("long").alias("n_chars"))
+        out = base.join(known, F.col(self.key) == F.col("__key"), "left")
+        shared = F.when(F.col("__copied"), F.col("n_chars")).otherwise(F.coalesce("__shared", F.lit(0))).cast("long")
+        return out.select(
+            self.key,
+            "n_chars",
+            shared.alias("shared_chars"),
+            F.when(F.col("n_chars") > 0, F.round(shared / F.col("n_chars"), 6)).otherwise(F.lit(0.0)).alias("shared_rate"),
+        )
+
+
+def pairs_of_sets(members: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b), a < b: the pairs within each set of ``members`` (set, member, size); pairs of several sets come several times.
+
+    A set of more than ``block`` members is dealt into blocks, and each pair of blocks is a
+    row of its own: rows have about two blocks of members however large the set is.
+    """
+    blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
+    own = F.pmod(F.xxhash64("member"), blocks).cast("int")
+    others = F.sequence(F.lit(0), blocks - 1)
+    met = members.withColumn("own", own).select(
+        "set", "member", "own", F.explode(F.transform(others, lambda x: F.struct(F.least("own", x).alias("i"), F.greatest("own", x).alias("j")))).alias("p")
     )
+    rows = met.groupBy("set", "p.i", "p.j").agg(F.sort_array(F.collect_set(F.struct("own", "member"))).alias("m"), F.first("p.i").alias("low"))
+    rows = rows.select((F.col("i") == F.col("j")).alias("same"), F.transform("m", lambda m: m["member"]).alias("m"), F.size(F.filter("m", lambda m: m["own"] == F.col("low"))).alias("n"))
+    kind = members.schema["member"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[pa.Array, pa.Array]] = []
+        count = 0
+        for batch in batches:
+            for same, m, n in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                values = m.values
+                for x in range(n):
+                    partners = values.slice(x + 1) if same else values.slice(n)
+                    if len(partners):
+                        held.append((values.take(pa.array(np.full(len(partners), x))), partners))
+                        count += len(partners)
+                    if count >= _ROWS_AT_ONCE:
+                        yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*held, strict=True)], names=["x", "y"])
+                        held, count = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in zip(*held, strict=True)], names=["x", "y"])
+
+    made = rows.mapInArrow(work, f"x {kind}, y {kind}")
+    return made.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))

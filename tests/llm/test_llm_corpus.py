@@ -185,18 +185,28 @@ def test_cover_moves_any_two_positions_onto_it():
 
 @pytest.mark.parametrize("seed", range(3))
 def test_shared_spans_against_all_pairs(spark, seed):
+    """Whatever is proven within a task, and however sets are dealt into blocks."""
     rng = random.Random(seed)
     word = lambda n: "".join(rng.choice("甲乙丙丁abc ，\n😀") for _ in range(n))
     shared = [word(n) for n in (59, 60, 61, 90)]
     rows = [(i, word(rng.randint(0, 150)) + rng.choice([*shared, "", ""]) + word(rng.randint(0, 50))) for i in range(40)]
     rows += [(100, None), (101, ""), (102, "x" * 500), (103, "y" + "x" * 70), (104, rows[0][1]), (105, rows[0][1]), (106, "ab" * 300), (107, "ba" * 40)]
-    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, id int").repartition(3)
-    pairs = spans.extended_pairs(df, "doc_id", "text").cache()
-    assert {(r["a"], r["b"]) for r in pairs.collect()} == brute(rows, 60)
-    for r in pairs.limit(20).collect():
-        ta, tb = dict(rows)[r["a"]], dict(rows)[r["b"]]
-        assert all(x["stop"] - x["start"] >= 60 and any(ta[k : k + 60] in tb for k in range(x["start"], x["stop"] - 59)) for x in r["runs_a"])
-    parts = {r["doc_id"]: r for r in spans.shared_parts(df.drop("id"), "doc_id", "text").collect()}
+    df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, key int").repartition(3)
+    found = spans.SharedSpans(df, "doc_id", "text", flush_at=(100, 3000, 10**6)[seed], block=(2, 1000, 7)[seed])
+    whole = brute(rows, 60)
+    pairs = [(r["a"], r["b"]) for r in found.pairs().collect()]
+    assert len(pairs) == len(set(pairs)) and set(pairs) == whole
+    first = {}
+    for k, t in rows:
+        first.setdefault(t, k)
+    rep = {k: first[t] for k, t in rows}
+    between = {(min(x, y), max(x, y)) for x, y in ((rep[a], rep[b]) for a, b in whole) if x != y}
+    assert {(r["ref_a"], r["ref_b"]) for r in found.links().collect()} == between
+    classes = {r["doc_id"]: r for r in found.classes().collect()}
+    for k, t in rows:
+        assert classes[k]["n_links"] == sum(rep[k] in p for p in between)
+        assert classes[k]["class"] == (rep[k] if t and len(t) >= 60 else None)
+    parts = {r["doc_id"]: r for r in found.report().collect()}
     assert len(parts) == len(rows) and parts[100]["shared_rate"] == 0.0
     for k, t in rows:
         covered = set()
@@ -206,11 +216,33 @@ def test_shared_spans_against_all_pairs(spark, seed):
         assert parts[k]["shared_chars"] == len(covered)
 
 
+def test_spans_of_records_with_text_keys_and_repeats(spark):
+    body = "".join(random.Random(9).choice("abcdefgh ") for _ in range(80))
+    df = spark.createDataFrame([("p", "1" + body), ("q", body + "2"), ("r", body + "2"), ("r", body + "2"), ("s", "x" * 100)], "name string, text string")
+    found = spans.SharedSpans(df, "name", "text")
+    assert {(r["a"], r["b"]) for r in found.pairs().collect()} == {("p", "q"), ("p", "r"), ("q", "r")}
+    assert {r["name"]: r["shared_chars"] for r in found.report().collect()} == {"p": 80, "q": 81, "r": 81, "s": 0}
+
+
+def test_a_text_or_passage_that_many_have_stays_in_small_pieces(spark):
+    """A third of all records are copies of one text, a third have one passage: links are few, rows of blocks small."""
+    rng = random.Random(2)
+    word = lambda n: "".join(rng.choice("甲乙丙丁戊己庚辛") for _ in range(n))
+    copy, passage = word(200), word(70)
+    rows = [(i, copy) for i in range(300)] + [(i, word(40) + passage + word(40)) for i in range(300, 400)] + [(i, word(120)) for i in range(400, 600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = spans.SharedSpans(df, "doc_id", "text", flush_at=500, block=16)
+    assert found.links().count() == 100 * 99 // 2
+    assert found.pairs().count() == 100 * 99 // 2 + 300 * 299 // 2
+    assert sorted((r["copies"], r["n"]) for r in found.classes().groupBy("copies").agg(F.count(F.lit(1)).alias("n")).collect()) == [(1, 300), (300, 300)]
+
+
 def test_spans_of_empty_tables_and_bad_covers(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
-    assert spans.extended_pairs(df, "doc_id", "text").count() == 0
+    found = spans.SharedSpans(df, "doc_id", "text")
+    assert found.pairs().count() == 0 and found.report().count() == 0
     with pytest.raises(ValueError):
-        spans.candidate_pairs(df, "doc_id", "text", 60, 21, (0, 1))
+        spans.SharedSpans(df, "doc_id", "text", 60, 21, (0, 1))
 
 
 def test_token_counts(spark):
