@@ -6,9 +6,9 @@ two records that share a run of at least ``length`` characters share an aligned
 (an anchor) of length - v + 1 characters: no match is lost, at |cover| / v hashes a character.
 
 1. Copies are one class; what follows is done once for each class, on its representative.
-2. Anchors are sorted, packed and compressed by each task before they are shuffled (about 10
+2. Anchors are sorted, packed and compressed by each task before they are shuffled (about 9
    bytes an anchor). An anchor that a task has of two texts is proven shared there, and only
-   one of its places goes on to meet other tasks', so no common anchor gathers anywhere.
+   one text goes on to meet other tasks', so no common anchor gathers anywhere.
 3. Shared anchors are extended, on their own texts, by up to v - 1 characters to the left and
    right to every window of ``length`` characters that holds them. Windows are known by 128
    bits of hash and counted; those of two texts are the shared runs.
@@ -36,6 +36,8 @@ PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 BLOCK = 1000
 #: Keys with at least this part of all rows are joined by broadcast: there can be no more than as many.
 HOT_PARTS = 1000
+#: Tables of at most this many 64-bit numbers, counted before, are joined by broadcast; larger ones by exchange.
+BROADCAST_NUMBERS = 1_000_000
 
 _CHARS_AT_ONCE = 500_000
 _ANCHORS_IN_FLUSH = 1_000_000
@@ -73,7 +75,7 @@ def window_hashes(chars: np.ndarray, at: np.ndarray, size: int, base: int = _BAS
 
 
 def _anchors(refs: np.ndarray, texts: list[np.ndarray], window: int, period: int, cover: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, ref, position) of all anchors of some texts."""
+    """(hash, ref, position in the text) of all anchors of some texts."""
     sizes = np.array([len(t) for t in texts])
     first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
     chars = np.concatenate(texts)
@@ -114,32 +116,32 @@ def _shared_runs(h: np.ndarray, refs: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return np.repeat(many, np.diff(np.append(starts, len(h)))), first
 
 
-def _places(refs: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(refs, pa.int64()), pa.array(at, pa.int32())], names=["ref", "pos"])
+def _found(refs: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(refs, pa.int64()), pa.array(h.view(np.int64))], names=["ref", "anchor"])
 
 
 def anchor_parts(texts: DataFrame, parts: int, length: int, period: int, cover: tuple[int, ...], flush_at: int = _ANCHORS_IN_FLUSH) -> DataFrame:
     """(part, anchors) of ``texts`` (ref, text): packed anchors by the part of their hash.
 
-    Parts from ``parts`` on hold places already proven, dealt out evenly.
+    Parts from ``parts`` on hold anchors already proven shared.
     """
     window, where = length - period + 1, np.array(cover)
 
     def flush(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        h, refs, at = (np.concatenate(c) for c in zip(*held, strict=True))
+        h, refs = (np.concatenate(c) for c in zip(*held, strict=True))
         part = (h % np.uint64(parts)).astype(np.int64)
         order = np.lexsort((h, part))
-        h, refs, at, part = h[order], refs[order], at[order], part[order]
+        h, refs, part = h[order], refs[order], part[order]
         proven, first = _shared_runs(h, refs)
         blobs: list[bytes] = []
         numbers: list[int] = []
         for chosen, base in ((~proven | first, 0), (proven, parts)):
-            hs, rs, ps, own = h[chosen], refs[chosen], at[chosen], part[chosen]
+            hs, rs, own = h[chosen], refs[chosen], part[chosen]
             if not len(hs):
                 continue
             cuts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
             for a, b in zip(cuts, np.append(cuts[1:], len(own)), strict=True):
-                blobs.append(_pack(hs[a:b], rs[a:b], ps[a:b]))
+                blobs.append(_pack(hs[a:b], rs[a:b]))
                 numbers.append(int(own[a]) + base)
         yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(blobs, pa.binary())], names=["part", "anchors"])
 
@@ -160,7 +162,7 @@ def anchor_parts(texts: DataFrame, parts: int, length: int, period: int, cover:
                     own.append(keys[at])
                     size += len(chars)
                     at += 1
-                held.append(_anchors(np.array(own, np.int64), some, window, period, where))
+                held.append(_anchors(np.array(own, np.int64), some, window, period, where)[:2])
                 count += len(held[-1][0])
                 if count >= flush_at:
                     yield from flush(held)
@@ -172,7 +174,7 @@ def anchor_parts(texts: DataFrame, parts: int, length: int, period: int, cover:
 
 
 def shared_anchors(texts: DataFrame, length: int, period: int, cover: tuple[int, ...], flush_at: int = _ANCHORS_IN_FLUSH) -> DataFrame:
-    """(ref, pos): the places of anchors that at least two texts have; a place may come twice."""
+    """(ref, anchor): the anchors that at least two texts have, by their hash; one may come twice."""
     if length < period or not is_cover(period, cover):
         raise ValueError("the cover has to be a difference cover of a period no longer than the spans")
     chars = texts.agg(F.sum(F.length("text")).alias("n")).first()["n"] or 0
@@ -183,28 +185,32 @@ def shared_anchors(texts: DataFrame, length: int, period: int, cover: tuple[int,
         held: list[list[np.ndarray]] = []
         for batch in batches:
             for part, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                columns = _unpack(data.as_py(), 3)
+                columns = _unpack(data.as_py(), 2)
                 if part >= parts:
-                    yield _places(columns[1], columns[2])
+                    yield _found(columns[1], columns[0])
                 else:
                     held.append(columns)
         if held:
-            h, refs, at = (np.concatenate(c) for c in zip(*held, strict=True))
+            h, refs = (np.concatenate(c) for c in zip(*held, strict=True))
             order = np.argsort(h, kind="stable")
-            h, refs, at = h[order], refs[order], at[order]
+            h, refs = h[order], refs[order]
             many, _ = _shared_runs(h, refs)
-            yield _places(refs[many], at[many])
+            yield _found(refs[many], h[many])
 
-    return anchor_parts(texts, parts, length, period, cover, flush_at).repartition(tasks, "part").mapInArrow(meet, "ref long, pos int")
+    return anchor_parts(texts, parts, length, period, cover, flush_at).repartition(tasks, "part").mapInArrow(meet, "ref long, anchor long")
 
 
-def extended_windows(texts: DataFrame, anchors: DataFrame, length: int, period: int) -> DataFrame:
+def extended_windows(texts: DataFrame, anchors: DataFrame, length: int, period: int, cover: tuple[int, ...]) -> DataFrame:
     """(w1, w2, ref, pos, new): every window of ``length`` characters that holds a shared anchor.
 
     w1 and w2 are its hash; new tells the first place of a window in its text.
     """
-    by_text = anchors.groupBy("ref").agg(F.collect_set("pos").alias("at"))  # as many as the text has anchors at most
-    rows = texts.join(by_text, "ref").select("ref", "text", "at")
+    by_text = anchors.groupBy("ref").agg(F.collect_set("anchor").alias("shared"))  # as many as the text has anchors at most
+    by_text = cut(by_text, "anchors")
+    if (by_text.agg(F.sum(F.size("shared") + 2)).first()[0] or 0) <= BROADCAST_NUMBERS:
+        by_text = F.broadcast(by_text)
+    rows = texts.join(by_text, "ref").select("ref", "text", "shared")
+    window, where = length - period + 1, np.array(cover)
     names = ["w1", "w2", "ref", "pos", "new"]
 
     def rows_of(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
@@ -217,8 +223,11 @@ def extended_windows(texts: DataFrame, anchors: DataFrame, length: int, period:
             for ref, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 chars = code_points(text.as_py())
                 n = len(chars) - length + 1
+                if n < 1:
+                    continue
                 anchored = np.zeros(len(chars) + period, np.int64)
-                at = places.values.to_numpy(zero_copy_only=False)
+                h, _, places_of = _anchors(np.array([ref]), [chars], window, period, where)
+                at = places_of[np.isin(h, places.values.to_numpy(zero_copy_only=False).view(np.uint64))]
                 # A window that starts up to period - 1 characters before an anchor holds it.
                 low = np.maximum(at - (period - 1), 0)
                 np.add.at(anchored, low, 1)
@@ -278,11 +287,14 @@ class SharedSpans:
         own = docs.where(F.length(text) >= length).select(F.col(key).alias("key"), F.col(text).alias("text"))
         if isinstance(docs.schema[key].dataType, T.IntegralType):
             copies = self.members.where("key <> ref").select("key")
-            texts = own.join(copies, "key", "left_anti").select(F.col("key").cast("long").alias("ref"), "text")
+            if copies.count() <= BROADCAST_NUMBERS:
+                copies = F.broadcast(copies)
+            once = own.join(copies, "key", "left_anti").select(F.col("key").cast("long").alias("ref"), "text")
+            texts = own.select(F.col("key").cast("long").alias("ref"), "text")  # copies have no anchors, so they drop out by themselves
         else:
-            texts = own.join(self.members.where("key = rep").select("key", "ref"), "key").select("ref", "text")
-        anchors = shared_anchors(texts, length, period, cover, flush_at)
-        self.windows = cut(extended_windows(texts, anchors, length, period), "windows")
+            once = texts = own.join(self.members.where("key = rep").select("key", "ref"), "key").select("ref", "text")
+        anchors = shared_anchors(once, length, period, cover, flush_at)
+        self.windows = cut(extended_windows(texts, anchors, length, period, cover), "windows")
         one = F.xxhash64(F.lit(1), "ref").cast("decimal(20,0)")
         two = F.xxhash64(F.lit(2), "ref").cast("decimal(20,0)")
         counted = self.windows.groupBy("w1", "w2").agg(
