@@ -27,19 +27,23 @@ def p1_scores(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("run_id", "phrase", "n", F.round("posterior", 6).alias("posterior"), F.round("lift", 6).alias("lift"), F.col("recorded").alias("style_keyness"))
 
 
+def _abuse(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    messages = table(spark, folder, "messages")
+    weights = moderation.learned_weights(messages, table(spark, folder, "moderation_labels"))
+    return moderation.score_texts(messages.select(*columns, "text"), weights=weights)
+
+
 def p5_found(spark: SparkSession, folder: str) -> DataFrame:
-    rows = moderation.score_texts(table(spark, folder, "messages").select("row_id", "text"))
-    return rows.where(F.col("abuse_score") >= moderation.THRESHOLD - 1e-9).select("row_id")
+    return _abuse(spark, folder, "row_id").where(F.col("abuse_score") >= moderation.THRESHOLD - 1e-9).select("row_id")
 
 
 def p5_scores(spark: SparkSession, folder: str) -> DataFrame:
-    rows = moderation.score_texts(table(spark, folder, "messages").select("row_id", "text"))
-    return rows.select("row_id", "abuse_score", "abuse_kind")
+    return _abuse(spark, folder, "row_id").select("row_id", "abuse_score", "abuse_kind")
 
 
 def p5_rates(spark: SparkSession, folder: str) -> DataFrame:
     """Rate of each source file."""
-    return moderation.rates(moderation.score_texts(table(spark, folder, "messages").select("source_file", "text")), "source_file")
+    return moderation.rates(_abuse(spark, folder, "source_file"), "source_file")
 
 
 def _turns(spark: SparkSession, folder: str, *keep: str) -> tuple[DataFrame, DataFrame]:

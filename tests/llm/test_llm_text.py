@@ -74,16 +74,46 @@ def test_scores_and_rates(spark):
     assert moderation.score_texts(df.limit(0)).count() == 0
 
 
-def test_weights_follow_the_labels(spark):
-    """Held-out accuracy on the reviewers' labels, where that table is here; they err at times themselves."""
+def test_weights_are_fitted_to_one_part_of_the_labels_and_hold_on_the_other(spark):
+    """Agreement with the reviewers, who err at times themselves, where their table is here."""
     import os
 
-    d = "/root/testdata/sf0.01"
+    d = "/root/testdata/sf0.1"
     if not os.path.exists(f"{d}/moderation_labels.parquet"):
         pytest.skip("no labels")
-    m = spark.read.parquet(f"{d}/messages.parquet").join(spark.read.parquet(f"{d}/moderation_labels.parquet"), "row_id").select("text", "abusive").collect()
-    right = sum((G(r["text"])[0] >= 1) == bool(r["abusive"]) for r in m)
-    assert right / len(m) > 0.95
+    messages, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("messages", "moderation_labels"))
+    weights = moderation.learned_weights(messages, labels)
+    assert any(abs(weights[k] - w) > 0.01 for k, (w, _) in moderation.WORDS.items())
+    held = labels.where("pmod(xxhash64(row_id), 2) = 0")
+    scored = moderation.score_texts(messages.select("row_id", "text").join(held, "row_id"), weights=weights).select("abusive", "abuse_score").collect()
+    right = sum((r["abuse_score"] >= 1) == bool(r["abusive"]) for r in scored)
+    assert len(scored) > 500 and right / len(scored) > 0.95, right / len(scored)
+
+
+def test_weights_without_labels_are_those_listed():
+    assert moderation.fit_weights([]) == moderation.fit_weights([(-1, 0.0, 1, 9)]) == {k: w for k, (w, _) in moderation.WORDS.items()}
+    # Reviewers who never call a path abusive make it lighter; seldom seen ones hardly move it.
+    path = next(i for i, p in enumerate(moderation.PATHS) if p[1] == ("body", "lewd"))
+    often, once = (moderation.fit_weights([(path, 0.0, 0, n)]) for n in (5000, 1))
+    assert often["body"] + often["lewd"] < 1.0 < once["body"] + once["lewd"] + 0.03
+
+
+@pytest.mark.parametrize("text", ["你是个笨蛋", "你真是个蠢材", "you are an imbecile", "你这个狗娘养的", "我要打断他的腿", "You absolute d1ps#it, you dipshit", "im gonna kill them"])
+def test_other_wording_than_the_tables(text):
+    assert G(text)[0] >= moderation.THRESHOLD, G(text)
+
+
+@pytest.mark.parametrize("text", ["你就是个废物", "骂我废物，", "“废物”", "废物不是", "a1 b2 ", "白痴这本小说"])
+def test_cost_is_linear(text):
+    import time
+
+    took = []
+    for n in (50_000, 100_000):
+        whole, began = "骂我" + text * (n // len(text)), time.perf_counter()
+        G(whole)
+        G(text * (n // len(text)))
+        took.append(time.perf_counter() - began)
+    assert took[1] < 2.0 and took[1] < 4 * took[0] + 0.1
 
 
 MESSAGES = """row_id long, source_file string, conv_id long, msg_id string, seq string, timestamp_ms long, time_text string, uid string,
