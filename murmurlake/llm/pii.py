@@ -4,17 +4,20 @@ Labelers of three kinds – patterns, gazetteers and context – vote on candida
 Nobody tells which labeler is right: expectation-maximisation over the vote patterns of
 all candidates estimates each labeler's reliability and each pattern's probability
 (a naive Bayes model of votes with hidden truth, per type), and these soft labels train
-the final span classifier, a logistic regression on votes and pairs of votes. Spans it
-accepts become typed placeholders; the rest of the text is untouched.
+the final span classifier: a logistic regression on votes, pairs of votes and what the
+span and its surroundings look like. Spans it accepts become typed placeholders; the rest
+of the text is untouched.
 
-Candidates are found in one pass over all texts and written as a table; what reaches the
-driver are counts of vote patterns, at most 3^labelers a type, whatever the data.
+Candidates are found in one pass over all texts and written as a table. Reliabilities are
+estimated on all of them, by counts of vote patterns (at most 3^labelers a type, whatever
+the data); the classifier is trained on at most about ``SAMPLE`` candidates a type.
 Positions count code points; look-alike digits are mapped one to one, so they hold.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from datetime import date
 
@@ -27,7 +30,10 @@ from murmurlake.session import cut
 
 TYPES = ("email", "phone", "id_number", "address", "person")
 ACCEPT = 0.5
-DENIAL = 5
+#: Candidates of a type that the classifier is trained on, chosen by hash, and buckets of its hashed features.
+SAMPLE, BUCKETS = 50_000, 256
+#: The first labelers read the span itself, the others what stands next to it.
+PATTERNS = 3
 
 # Look-alikes of digits and signs, one character for one.
 _WIDE = {i + 0xFEE0: chr(i) for i in range(0x21, 0x7F)}
@@ -65,21 +71,29 @@ _ADDRESS = re.compile(
     rf"|(?:(?:Flat|Apt|Unit|Suite|Room) \d+[A-Z]?, )?\d{{1,5}}[A-Z]? (?:[A-Z][a-z]+ ){{1,3}}(?:{_ROAD_EN})(?![A-Za-z])(?:, (?:Apt|Flat|Unit|Suite|Room) \d+[A-Z]?)?"
 )
 # Words that come right before an address and could pass for the start of its first part.
-_BEFORE_ADDRESS = "寄到 送到 寄往 搬到 住在 现在住 住 导航搜 搜 地址是 地址 在 到 去 是 了 往".split()
+_BEFORE_ADDRESS = "寄到 送到 寄往 搬到 住在 现在住 住 导航搜 搜 送 放到 交到 位于 地址是 地址 在 到 去 是 了 往".split()
 _NAME_CONTEXT = re.compile(
-    r"(?:我叫|我是|联系人[:：]?\s*|收件人写|收件人[:：]?\s*|主讲是|找|跟|和|给|叫做|名叫|姓名[:：]?\s*|teacher is |name is |ask for |I am |this is )$"
+    r"(?:我叫|我是|叫|姓名|名叫|联系人|收件人|负责人|主讲|老师|同事|朋友|领导|客户|找|跟|和|给|陪|帮|替|等|问|约|请|见到|碰到|遇到|认识|is|name|for|am|Mr\.|Ms\.|Mrs\.|Dr\.|with|from|by|and|met|call|ask|dear)"
+    r"(?:写|是|为)?[:：]?\s*$",
+    re.I,
 )
-_NAME_AFTER = re.compile(r"^(?:[,，。.;；!！?？\n]|$|吧|说|请|你听过| by the way|一声|的|是|来|\s)")
-_NAME_STRONG_AFTER = re.compile(r"^(?:说一声|说明天|吧|[，,]请多关照|[，,]你听过| by the way)")
+# What may follow a name: the end of a run of characters, or verbs, particles and words of time.
+_NAME_AFTER = re.compile(f"^(?:[^{_H}]|$|[说问讲答喊请叫托来去走到回打发写做住家是的了吧呢吗啊在把被也都就还又才要会能想让给和跟与同对从将已刚正昨今明前后没不有一两])")
+_SPEAKS = re.compile("^(?:[说问讲答喊叫托]|让我|请我)")
 _NAME_EN = re.compile(r"(?<![A-Za-z])[A-Z][a-z]{1,15} (?:[A-Z]\. )?[A-Z][a-z]{1,15}(?:-[A-Z][a-z]+)?(?![A-Za-z])")
 _NAME_ZH = re.compile(f"(?:{'|'.join(_FAMILY2)}|[{_FAMILY1}])[{_H}]{{1,2}}")
-_ANCHOR_ZH = re.compile(
-    "(?P<pre>我叫|联系人：|联系人:|收件人写|收件人：|收件人:|主讲是|帮我跟|姓名：|名叫|teacher is |name is |ask for )|(?P<post>说一声|说明天|[，,]请多关照|[，,]你听过没| by the way)"
-)
-_ANCHORED = re.compile(r"(?:我叫|联系人:|收件人写|收件人:|主讲是|帮我跟|姓名:|名叫|teacher is |name is |ask for )$")
-_ANCHORING = re.compile("说一声|说明天|[，,]请多关照|[，,]你听过没| by the way")
 # Any place where a name may start: a text's or word's edge, or a context that names follow.
-_START_ZH = re.compile(f"(?<![{_H}])(?=[{_H}])|我叫|我是|联系人|收件人|主讲是|找|跟|和|给|叫做|名叫|姓名")
+_START_ZH = re.compile(f"(?<![{_H}])(?=[{_H}])|我叫|我是|联系人|收件人写?|负责人|主讲是?|找|跟|和|给|叫做|名叫|姓名|陪|帮|替|等|问|约|请|同事|朋友|领导|客户")
+# English words that begin sentences, greetings and titles of things, and look like names there.
+_NOT_NAME_EN = frozenset(
+    "Good Happy Dear Best Kind Many Thank Thanks Please Hello Hi The This That These Those What When Where Which Who Why How Yes No Not New Merry Have Has Had Let See Are Is Was Will Can May Morning Evening Night "
+    "Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April June July August September October November December".split()
+)
+# Family names that are everyday words too; what they begin is a name only where something says so.
+_FAMILY_WORDS = "石姜方高金江万黄毛田段汤马常文武史龙雷钱孔白夏康易乔于何余任程范叶钟林梁"
+_INTRODUCES = re.compile(r"(?:叫|我是|姓名|联系人|收件人|负责人|主讲|老师|同事|朋友|领导|客户|见到|碰到|遇到|认识)(?:写|是|为)?[:：]?\s*$|(?:\b(?:is|name|for|am|Mr\.|Ms\.|Mrs\.|Dr\.|with|met|call|ask|dear)) $", re.I)
+# Inside a run of characters only full names of three and more count, between words that names stand between.
+_INSIDE_ZH = re.compile(f"(?<=[见到了过是的天后前对把被有为向由从比像当选说])(?=(?P<name>(?:{'|'.join(_FAMILY2)}|[{_FAMILY1}])[{_H}]{{2}}))")
 # Characters that hardly stand in a given name, and words of everyday use that start with a family name.
 _NOT_GIVEN = re.compile("[的了吗呢吧啊呀哦嘛啦么着过们不是在有去来我你他她它这那就都也还很没到说要会能可看吃喝买给跟和找被把让对从几个些点又再先才只太最]")
 _NOT_NAME = re.compile(
@@ -87,20 +101,18 @@ _NOT_NAME = re.compile(
     "江[边湖]|黄[色瓜昏]|何[必时况]|段[子落]|雷雨|汤圆|武[器术]|范围|田[里野]|余[额下]|叶子|钟[头表]|毛[病巾衣]|孔雀|史上|董事|陆续|龙[虾头]|康复|顾[客虑]|张[开望]|李子|王[国者]|曾经|戴[着上]|"
     "罗[列嗦]|贺[卡年]|文[件章字档化具科学本明艺案]|苏[打州]|郑重|严[重格肃]|邹巴|宋体|唐诗|杨[树梅]|林荫|沈阳|乔迁|..[屋店馆册果]$"
 )
-_NEGATIVE = re.compile(r"(?:流水号|订单号?|单号|快递单|会议号|版本|编号|tracking|order|YT)\s*[:：#]?\s*$", re.I)
+# Words of context, wherever they stand in the characters before a span.
+_GAP = re.compile(r"[:： ]*")
+_TITLED = re.compile(f"(?:{'|'.join(_FAMILY2)}|[{_FAMILY1}])(?:{'|'.join(_TITLE[:5])})")
+_NEGATIVE = re.compile(
+    r"流水|订单|单号|运单|快递单|会议号?|房间号|版本|编号|型号|批次|病历|卡号|航班|车次|价格|tracking|order|invoice|version|meeting|ticket|build|serial|(?<![A-Za-z])(?:no|v)\.?\s*$", re.I
+)
 _POSITIVE = {
-    "email": re.compile(r"(?:邮箱|邮件|传到|简历投|发我|send it to|mail|e-mail)\s*[:：]?\s*$", re.I),
-    "phone": re.compile(r"(?:电话|手机号?|联系|新的是|加我|call me at|phone|tel)\s*[:：]?\s*$", re.I),
-    "id_number": re.compile(r"(?:身份证号?|证件(?:号码?)?|认证要填|my id is|填一下|passport|ssn)\s*[:：]?\s*$", re.I),
-    "address": re.compile(r"(?:寄到|寄往|住|地址是?|导航搜|搬家了[，,]|ship it to|送到)\s*[:：]?\s*$", re.I),
-}
-_POSITIVE_AFTER = {
-    "email": re.compile(r"^(?: 这个邮箱| 就行|，别发错|了| please)"),
-    "phone": re.compile(r"^(?: 这个是快递的电话|，微信同号|，没接就| tonight)"),
-    "id_number": re.compile(r"^(?:这一串| 名字你知道|，订票用|，谢谢)"),
-    "address": re.compile(r"^(?:就能找到|，有空来玩|，离地铁近|，谢谢|，别走错| thanks)"),
+    "email": re.compile(r"邮箱|邮件|信箱|传到|发到|发给|发我|投|抄送|mail|send|write|contact|reach", re.I),
+    "phone": re.compile(r"电话|手机|联系|号码|拨|打给|打我|加我|新的是|微信|call|phone|tel|mobile|text me|reach", re.I),
+    "id_number": re.compile(r"身份证|证件|认证|护照|实名|填一下|passport|ssn|social security|licen[cs]e|(?<![A-Za-z])id(?![A-Za-z])", re.I),
+    "address": re.compile(r"寄|住|地址|导航|搬|送到|送货|位于|收货|ship|address|live|located|deliver|meet", re.I),
 }
-_NEGATIVE_AFTER = re.compile(r"^(?:到了没|查一下|已退款|，已退款| 两点开始|等你| 装饰器)")
 
 
 def plain_digits(text: str) -> str:
@@ -143,7 +155,7 @@ def _trim_address(text: str, start: int, end: int) -> int:
 class Labelers:
     """Candidates of a text with votes: (type, start, end, votes); a vote is +, - or 0."""
 
-    names = ("shape", "structure", "gazetteer", "before", "after", "negative")  # DENIAL is the last
+    names = ("shape", "structure", "gazetteer", "before", "after", "negative")
 
     def __call__(self, raw: str) -> list[tuple[str, int, int, str]]:
         text = plain_digits(raw)
@@ -167,37 +179,31 @@ class Labelers:
         out += self._names(text)
         return out
 
+    @staticmethod
+    def _end(text: str, start: int, longest: int) -> int:
+        """Where a Chinese name that starts here ends: the longest reading that the text goes on from; else 0."""
+        family = 2 if text[start : start + 2] in _FAMILY2 else 1
+        for end in range(longest, start + family, -1):
+            if not _NOT_GIVEN.search(text, start + family, end) and _NAME_AFTER.match(text[end : end + 1]):
+                return end
+        return 0
+
     def _names(self, text: str) -> list[tuple[str, int, int, str]]:
         found: dict[tuple[int, int], None] = {}
-        for m in _ANCHOR_ZH.finditer(text):
-            if m["pre"]:
-                n = _NAME_ZH.match(text, m.end())
-                if n:
-                    # The shortest reading that the text goes on from; else the whole match.
-                    ends = [e for e in range(n.end(), n.start() + 1, -1) if _NAME_AFTER.match(text[e:]) and _NAME_ZH.fullmatch(text, n.start(), e)]
-                    if ends:
-                        strong = [e for e in ends if _NAME_STRONG_AFTER.match(text[e:])]
-                        found[(n.start(), (strong or ends)[0])] = None
-            elif m["post"]:
-                for size in (4, 3, 2):
-                    a = m.start() - size
-                    if a < 0 or not _NAME_ZH.fullmatch(text, a, m.start()):
-                        continue
-                    if size == 4 and text[a : a + 2] not in _FAMILY2:
-                        continue
-                    before = text[:a]
-                    if a == 0 or not re.match(f"[{_H}]", text[a - 1]) or _NAME_CONTEXT.search(before[-12:]):
-                        found[(a, m.start())] = None
-                        break
         for m in _START_ZH.finditer(text):
-            at = re.compile(r"[:： ]*").match(text, m.end()).end()
+            at = _GAP.match(text, m.end()).end()
             n = _NAME_ZH.match(text, at)
-            if n and not any(a <= n.start() < b or a < n.end() <= b for a, b in found):
-                ends = [e for e in range(n.end(), n.start() + 1, -1) if _NAME_AFTER.match(text[e:]) and _NAME_ZH.fullmatch(text, n.start(), e)]
-                if ends:
-                    found[(n.start(), ends[0])] = None
+            end = n and self._end(text, at, n.end())
+            if end and not any(a <= at < b for a, b in found):
+                found[(at, end)] = None
+        for m in _INSIDE_ZH.finditer(text):
+            at = m.start()
+            double = text[at : at + 2] in _FAMILY2
+            end = self._end(text, at, min(at + (4 if double else 3), len(text)))
+            if end - at >= 3 and not any(a < end and at < b for a, b in found):
+                found[(at, end)] = None
         if "老师" in text or "同学" in text or "先生" in text or "女士" in text:
-            for m in re.finditer(f"(?:{'|'.join(_FAMILY2)}|[{_FAMILY1}])(?:{'|'.join(_TITLE[:5])})", text):
+            for m in _TITLED.finditer(text):
                 found[(m.start(), m.end())] = None
         spans = [self._votes("person", text, a, b) for a, b in found]
         if not text.islower():
@@ -234,32 +240,52 @@ class Labelers:
             road = english and bool(re.search(rf"\b(?:{_ROAD_EN})$", s) or re.match(rf" (?:{_ROAD_EN})(?![A-Za-z])", after) or re.search(r"\d ?\Z", before))
             v["shape"] = "-" if titled or road else "+"
             v["structure"] = "-" if titled or len(s) < 2 or road else "+"
-            v["gazetteer"] = "+" if family or (english and not road) else "-"
+            common = english and not _NOT_NAME_EN.isdisjoint(s.split())
+            v["gazetteer"] = "+" if not common and (family or (english and not road)) else "-"
             v["before"] = "+" if _NAME_CONTEXT.search(before) else "0"
-            v["after"] = "+" if _NAME_STRONG_AFTER.match(after) else ("-" if re.match(f"[{_H}A-Za-z]", after) else "0")
+            v["after"] = "+" if _SPEAKS.match(after) else ("-" if re.match(f"[{_H}A-Za-z]", after) else "0")
             # Without any context, two characters are a word rather than a name.
             given = s[2 if s[:2] in _FAMILY2 else 1 :]
-            alone = v["before"] != "+" and v["after"] != "+"
-            word = not english and (_NAME_ZH.fullmatch(s) is None or (not _ANCHORED.search(before) and not _ANCHORING.match(after) and (_NOT_GIVEN.search(given) or _NOT_NAME.match(s) or alone and len(s) < 3)))
+            alone = v["before"] != "+" and v["after"] != "+" and len(s) < 3
+            alone |= s[0] in _FAMILY_WORDS and s[:2] not in _FAMILY2 and v["after"] != "+" and not _INTRODUCES.search(before)
+            word = not english and (_NAME_ZH.fullmatch(s) is None or bool(_NOT_GIVEN.search(given) or _NOT_NAME.match(s)) or alone)
             if word:
                 v["gazetteer"] = "-"
-            v["negative"] = "-" if titled or road or word or before.endswith("@") else "0"
+            v["negative"] = "-" if titled or road or word or common or before.endswith("@") else "0"
             return kind, start, end, "".join(v[n] for n in self.names)
-        v["before"] = "+" if _POSITIVE[kind].search(before) else "0"
-        v["after"] = "+" if _POSITIVE_AFTER[kind].match(after) else "0"
-        if _NEGATIVE.search(before) or _NEGATIVE_AFTER.match(after):
+        denied = [m.end() for m in _NEGATIVE.finditer(before[-_NEAR:])]
+        named = [m.end() for m in _POSITIVE[kind].finditer(before[-_NEAR:])]
+        # The nearer word of context counts.
+        v["before"] = "0" if not denied and not named else "+" if max(named, default=-1) > max(denied, default=-1) else "-"
+        # A span that runs on into letters or digits of its own kind is part of something else.
+        v["after"] = "-" if re.match(r"[A-Za-z0-9_/.]" if kind != "address" else r"[A-Za-z0-9]", after) and not re.match(r"\.(?:\s|$)", after) else "0"
+        if denied:
             v["negative"] = "-"
         return kind, start, end, "".join(v[n] for n in self.names)
 
 
+_NEAR = 10
+
+
+def surroundings(text: str, kind: str, start: int, end: int) -> list[int]:
+    """Hashed features of a span and what is next to it: characters on both sides, length and classes of its own."""
+    s = text[start:end]
+    shape = re.sub(r"(.)\1+", r"\1", "".join("9" if c.isdigit() else "a" if c.isascii() and c.isalpha() else "字" if c.isalpha() else c for c in s))
+    named = (
+        f"<{text[max(0, start - 1) : start]}", f"<<{text[max(0, start - 2) : start]}", f">{text[end : end + 1]}", f">>{text[end : end + 2]}",
+        f"#{min(len(s), 30)}", f"={shape[:12]}", f"|{start == 0}{end == len(text)}",
+    )
+    return sorted({zlib.crc32(f"{kind}{n}".encode("utf-8", "surrogatepass")) % BUCKETS for n in named})
+
+
 def find_candidates(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, spans): the rows with candidates; spans is array<struct<kind, start, stop, votes>>.
+    """(key, spans): the rows with candidates; spans is array<struct<kind, start, stop, votes, near>>.
 
     Null and empty texts have none. ``key`` may repeat: rows keep to themselves.
     """
     kind = df.schema[key].dataType.simpleString()
     rows = df.where(F.length(text) > 0).select(F.col(key).alias("k"), F.col(text).alias("t"))
-    span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("votes", pa.string())])
+    span = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("stop", pa.int32()), ("votes", pa.string()), ("near", pa.list_(pa.int32()))])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         label = Labelers()
@@ -269,10 +295,10 @@ def find_candidates(df: DataFrame, key: str, text: str) -> DataFrame:
                 found = label(t)
                 if found:
                     hits.append(i)
-                    spans.append([{"kind": a, "start": b, "stop": c, "votes": v} for a, b, c, v in found])
+                    spans.append([{"kind": a, "start": b, "stop": c, "votes": v, "near": surroundings(t, a, b, c)} for a, b, c, v in found])
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(hits, pa.int64())), pa.array(spans, pa.list_(span))], names=["k", "spans"])
 
-    return rows.mapInArrow(work, f"k {kind}, spans array<struct<kind string, start int, stop int, votes string>>").withColumnRenamed("k", key)
+    return rows.mapInArrow(work, f"k {kind}, spans array<struct<kind string, start int, stop int, votes string, near array<int>>>").withColumnRenamed("k", key)
 
 
 def _votes_matrix(patterns: list[str]) -> np.ndarray:
@@ -282,30 +308,24 @@ def _votes_matrix(patterns: list[str]) -> np.ndarray:
 def reliabilities(patterns: list[str], counts: np.ndarray, steps: int = 200) -> tuple[np.ndarray, np.ndarray, float]:
     """EM over vote patterns: (posterior of each pattern, P(vote | truth) of each labeler, prior).
 
-    The hidden truth starts at the majority vote; a labeler's three outcomes (+, 0, -)
-    have their own probabilities for true and false spans, smoothed by one count each.
-    The labeler of denials ("order number", "meeting number") starts as a reliable one:
-    in a small corpus a handful of denials couldn't earn that.
+    The hidden truth starts at the majority vote, in which the labelers that read the same
+    characters – those of the span itself, ``PATTERNS`` – have one vote together; a labeler's three outcomes (+, 0, -)
+    have their own probabilities for true and false spans, smoothed alike for all labelers:
+    by one count each and one more for what the vote says.
     """
     votes = _votes_matrix(patterns)
-    start = votes.sum(axis=1)
-    if votes.shape[1] > DENIAL:
-        start = start + 4 * votes[:, DENIAL]
-    post = 1 / (1 + np.exp(-start))
+    own, others = votes[:, :PATTERNS], votes[:, PATTERNS:]
+    post = 1 / (1 + np.exp(-(own.mean(axis=1) + others.sum(axis=1))))
     table = np.zeros((2, votes.shape[1], 3))
     prior = 0.5
+    index = votes.astype(int) + 1
     for _ in range(steps):
         prior = float(np.clip((counts * post).sum() / counts.sum(), 1e-3, 1 - 1e-3))
         for truth, w in ((0, counts * (1 - post)), (1, counts * post)):
             for j in range(votes.shape[1]):
                 for o, value in enumerate((-1, 0, 1)):
-                    # A vote for a truth may be rare but not impossible, and votes lean to what they say.
-                    lean = 2.0 if (value > 0) == bool(truth) and value else 1.0
-                    if value < 0 and j == DENIAL:
-                        lean = 0.01 if truth else 10.0
-                    table[truth, j, o] = (w * (votes[:, j] == value)).sum() + lean
+                    table[truth, j, o] = (w * (votes[:, j] == value)).sum() + 1.0 + float(value != 0 and (value > 0) == bool(truth))
                 table[truth, j] /= table[truth, j].sum()
-        index = votes.astype(int) + 1
         log = [np.log(table[t][np.arange(votes.shape[1]), index]).sum(axis=1) for t in (0, 1)]
         new = 1 / (1 + np.exp(-np.clip(log[1] - log[0] + np.log(prior / (1 - prior)), -50, 50)))
         if np.abs(new - post).max() < 1e-6:
@@ -315,24 +335,32 @@ def reliabilities(patterns: list[str], counts: np.ndarray, steps: int = 200) ->
     return post, table, prior
 
 
-def _features(patterns: list[str]) -> np.ndarray:
+def _features(patterns: list[str], near: list[list[int]]) -> np.ndarray:
     votes = _votes_matrix(patterns)
     n = votes.shape[1]
     pairs = [votes[:, i] * votes[:, j] for i in range(n) for j in range(i + 1, n)]
-    return np.column_stack([np.ones(len(votes)), votes, *pairs])
+    around = np.zeros((len(patterns), BUCKETS))
+    for i, of in enumerate(near):
+        around[i, list(of)] = 1.0
+    return np.column_stack([np.ones(len(votes)), votes, *pairs, around])
 
 
-def train_classifier(patterns: list[str], counts: np.ndarray, soft: np.ndarray, steps: int = 300, ridge: float = 1.0) -> np.ndarray:
-    """Weights of a logistic regression on votes and pairs of votes, from soft labels (Newton steps)."""
-    x, w = _features(patterns), np.zeros(_features(patterns[:1]).shape[1])
-    c = np.minimum(counts, 1e6) ** 0.5  # frequent patterns shall not drown rare ones
+def train_classifier(patterns: list[str], near: list[list[int]], counts: np.ndarray, soft: np.ndarray, steps: int = 50) -> np.ndarray:
+    """Weights of a logistic regression on votes, pairs of votes and surroundings, from soft labels (Newton steps).
+
+    Spans of one pattern count by the root of their number, so that frequent ones don't drown rare ones.
+    """
+    x = _features(patterns, near)
+    w, c = np.zeros(x.shape[1]), counts**0.5
+    ridge = np.full(x.shape[1], 0.05)
+    ridge[-BUCKETS:] = 0.5  # surroundings add to what votes say
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (c * (p - soft)) + ridge * 0.01 * w
-        hess = (x * (c * p * (1 - p) + 1e-6)[:, None]).T @ x + ridge * 0.01 * np.eye(len(w))
+        grad = x.T @ (c * (p - soft)) + ridge * w
+        hess = (x * (c * p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge)
         step = np.linalg.solve(hess, grad)
         w -= step
-        if np.abs(step).max() < 1e-6:
+        if np.abs(step).max() < 1e-5:
             break
     return w
 
@@ -344,18 +372,20 @@ class SpanModel:
         self.weights, self.tables = weights, tables
         self.known: dict[tuple[str, str], float] = {}
 
-    def probability(self, kind: str, votes: str) -> float:
-        p = self.known.get((kind, votes))
-        if p is None:
-            w = self.weights.get(kind)
-            p = 0.0 if w is None else float(1 / (1 + np.exp(-np.clip(_features([votes]) @ w, -30, 30)))[0])
-            self.known[(kind, votes)] = p
-        return p
-
-    def choose(self, spans: list[tuple[str, int, int, str]]) -> list[tuple[str, int, int, float]]:
+    def probability(self, kind: str, votes: str, near: list[int]) -> float:
+        w = self.weights.get(kind)
+        if w is None:
+            return 0.0
+        own = self.known.get((kind, votes))
+        if own is None:
+            own = self.known[(kind, votes)] = float((_features([votes], [[]]) @ w)[0])
+        first = len(w) - BUCKETS
+        return float(1 / (1 + np.exp(-np.clip(own + sum(w[first + i] for i in near), -30, 30))))
+
+    def choose(self, spans: list[tuple[str, int, int, str, list[int]]]) -> list[tuple[str, int, int, float]]:
         """The accepted spans; of overlapping ones the likeliest, then the longest."""
-        rated = [(kind, a, b, self.probability(kind, v)) for kind, a, b, v in spans]
-        rated = sorted((r for r in rated if r[3] >= ACCEPT), key=lambda r: (-round(r[3], 3), r[1] - r[2], r[1]))
+        rated = [(kind, a, b, self.probability(kind, v, near)) for kind, a, b, v, near in spans]
+        rated = sorted((r for r in rated if r[3] >= ACCEPT), key=lambda r: (-round(r[3], 1), r[1] - r[2], r[1]))
         kept: list[tuple[str, int, int, float]] = []
         for r in rated:
             if all(r[2] <= k[1] or k[2] <= r[1] for k in kept):
@@ -363,23 +393,26 @@ class SpanModel:
         return sorted(kept, key=lambda r: r[1])
 
 
-def train(candidates: DataFrame) -> SpanModel:
-    """Fit reliabilities and classifiers on the vote patterns of all candidates."""
-    counted = (
-        candidates.select(F.explode("spans").alias("s"))
-        .groupBy("s.kind", "s.votes")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy("kind", "votes")
-        .collect()  # at most 3^6 rows for each of five types
-    )
+def train(candidates: DataFrame, sample: int = SAMPLE) -> SpanModel:
+    """Fit reliabilities on the vote patterns of all candidates and classifiers on at most about ``sample`` of each type."""
+    spans = candidates.select(F.explode("spans").alias("s"), F.xxhash64(*candidates.columns).alias("h")).select("s.kind", "s.votes", "s.near", F.xxhash64("h", "s.start").alias("h"))
+    counted = spans.groupBy("kind", "votes").agg(F.count(F.lit(1)).alias("n")).orderBy("kind", "votes").collect()  # at most 3^6 rows for each of five types
+    soft: dict[tuple[str, str], float] = {}
     weights, tables = {}, {}
+    total = {kind: sum(r["n"] for r in counted if r["kind"] == kind) for kind in TYPES}
     for kind in TYPES:
         rows = [r for r in counted if r["kind"] == kind]
-        if not rows:
-            continue
-        patterns, counts = [r["votes"] for r in rows], np.array([r["n"] for r in rows], float)
-        soft, tables[kind], _ = reliabilities(patterns, counts)
-        weights[kind] = train_classifier(patterns, counts, soft)
+        if rows:
+            post, tables[kind], _ = reliabilities([r["votes"] for r in rows], np.array([r["n"] for r in rows], float))
+            soft |= {(kind, r["votes"]): float(p) for r, p in zip(rows, post, strict=True)}
+    chosen = F.coalesce(*[F.when(F.col("kind") == kind, F.pmod("h", F.lit(1_000_000)) < int(1_000_000 * min(1.0, sample / n))) for kind, n in total.items() if n], F.lit(False))
+    looks = spans.where(chosen).groupBy("kind", "votes", "near").agg(F.count(F.lit(1)).alias("n")).orderBy("kind", "votes", "near").collect()
+    for kind in TYPES:
+        rows = [r for r in looks if r["kind"] == kind]
+        if rows:
+            patterns = [r["votes"] for r in rows]
+            labels = np.array([soft[(kind, v)] for v in patterns])
+            weights[kind] = train_classifier(patterns, [r["near"] for r in rows], np.array([r["n"] for r in rows], float), labels)
     return SpanModel(weights, tables)
 
 
@@ -391,7 +424,7 @@ def found_spans(candidates: DataFrame, model: SpanModel, key: str) -> DataFrame:
         for batch in batches:
             rows: list[tuple[int, str, int, int, float]] = []
             for i, spans in enumerate(batch.column(1).to_pylist()):
-                rows += [(i, *s) for s in model.choose([(s["kind"], s["start"], s["stop"], s["votes"]) for s in spans])]
+                rows += [(i, *s) for s in model.choose([(s["kind"], s["start"], s["stop"], s["votes"], s["near"]) for s in spans])]
             c = list(zip(*rows, strict=True)) if rows else [[], [], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(c[0], pa.int64())), pa.array(c[1], pa.string()), pa.array(c[2], pa.int32()), pa.array(c[3], pa.int32()), pa.array(c[4], pa.float64())],
@@ -421,7 +454,7 @@ def redact(df: DataFrame, model: SpanModel, text: str, masked: str = "masked_tex
         for batch in batches:
             out = []
             for t in batch.column(at).to_pylist():
-                spans = label(t) if t else []
+                spans = [(k, a, b, v, surroundings(t, k, a, b)) for k, a, b, v in label(t)] if t else []
                 out.append(mask(t, model.choose(spans)) if spans else t)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], names=[*batch.schema.names, masked])
 

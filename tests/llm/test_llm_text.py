@@ -250,10 +250,19 @@ def test_reliabilities_recover_hidden_truth():
     patterns = sorted(counts)
     soft, table, prior = pii.reliabilities(patterns, np.array([counts[p] for p in patterns], float))
     assert abs(prior - 0.4) < 0.05 and table[1, 0, 2] > table[1, 3, 2] > 0.5
-    w = pii.train_classifier(patterns, np.array([counts[p] for p in patterns], float), soft)
+    w = pii.train_classifier(patterns, [[1]] * len(patterns), np.array([counts[p] for p in patterns], float), soft)
     model = pii.SpanModel({"email": w}, {})
-    assert model.probability("email", "++++") > 0.9 and model.probability("email", "----") < 0.1
-    assert model.probability("phone", "++++") == 0.0
+    assert model.probability("email", "++++", [1]) > 0.9 and model.probability("email", "----", [1]) < 0.1
+    assert model.probability("phone", "++++", []) == 0.0
+
+
+def test_surroundings_speak_where_votes_don_t():
+    import numpy as np
+
+    votes, near = ["+0", "-0", "00", "00"], [[1], [2], [1], [2]]
+    w = pii.train_classifier(votes, near, np.full(4, 100.0), np.array([0.99, 0.01, 0.9, 0.1]))
+    model = pii.SpanModel({"person": w}, {})
+    assert model.probability("person", "00", [1]) > 0.8 > 0.2 > model.probability("person", "00", [2])
 
 
 def test_empty_table_fits_nothing(spark):
@@ -264,7 +273,7 @@ def test_empty_table_fits_nothing(spark):
 
 def test_names_stand_anywhere(spark):
     named = {
-        "我是卢听宁，你好": 2, "明天去找卢听宁吧": 4, "和欧阳听舟一起": None, "书要还给陈雨桐。": 4, "卢听宁": 0, "到了\n陈雨桐\n好": 3, "陈雨桐，请多关照": 0, "我和卢听宁": 2,
+        "我是卢听宁，你好": 2, "明天去找卢听宁吧": 4, "和欧阳听舟一起": 1, "书要还给陈雨桐。": 4, "卢听宁": 0, "到了\n陈雨桐\n好": 3, "陈雨桐，请多关照": 0, "我和卢听宁": 2,
     }
     plain = ["谢谢", "马上来", "周末，见", "高兴吗", "于是吵", "白痴少说", "和平", "找时间", "方便的话给我", "金色"]
     texts = [*named, *plain, *["我叫卢听宁，请多关照", "帮我跟陈雨桐说一声"] * 20, *plain * 5]
@@ -272,3 +281,65 @@ def test_names_stand_anywhere(spark):
     candidates, model = pii.fit(df, "row_id", "text")
     got = {r["row_id"]: r["start_pos"] for r in pii.found_spans(candidates, model, "row_id").where("pii_type = 'person'").collect()}
     assert {i: got.get(i) for i in range(len(named) + len(plain))} == dict(enumerate([*named.values(), *[None] * len(plain)]))
+
+
+# Sentences of other wording than those of the test tables, with what stands in them.
+HELD = [
+    ("王小明昨天来过我家", [("person", 0)]),
+    ("昨天见到李建国了", [("person", 4)]),
+    ("王小明的电话打不通", [("person", 0)]),
+    ("陈晓东 提交了报告", [("person", 0)]),
+    ("负责人：赵雅琴", [("person", 4)]),
+    ("请把材料交给周文博", [("person", 6)]),
+    ("我同事徐静怡下周结婚", [("person", 3)]),
+    ("听说欧阳明月要出国了", [("person", 2)]),
+    ("please ask Martha Kellerman about the invoice", [("person", 11)]),
+    ("I met Oliver Brandt yesterday", [("person", 6)]),
+    ("有问题请拨 13900001234", [("phone", 6)]),
+    ("我的号码换成18655554321了", [("phone", 6)]),
+    ("text me on +44 7700 900123 if late", [("phone", 11)]),
+    ("the office line is (415) 555-0199", [("phone", 19)]),
+    ("短信发到159 1234 5678", [("phone", 4)]),
+    ("合同扫描件请抄送 finance.dept@corp.example 谢谢", [("email", 9)]),
+    ("reach me: jo_k+news@mail.test", [("email", 10)]),
+    ("他的邮箱好像是 lee.wang (at) post.example", [("email", 8)]),
+    ("办护照填的是 110101199003074514", [("id_number", 7)]),
+    ("her SSN was 219-09-9999, keep it safe", [("id_number", 12)]),
+    ("passport EA1234567 expires soon", [("id_number", 9)]),
+    ("快递放到杭州市西湖区文三路138号就行", [("address", 4)]),
+    ("货送南京东路二十号", [("address", 2)]),
+    ("we now live at 221 Baker Street", [("address", 15)]),
+    ("the parcel went to 15 Old Mill Lane, Apt 3", [("address", 19)]),
+    ("病历号 13812345678", []),
+    ("订单 202311051234 已发货", []),
+    ("航班号 CA1234 晚点了", []),
+    ("升级到版本 10.0.19045 再试", []),
+    ("会议号 512-334-908，晚上八点", []),
+    ("高兴得跳起来", []),
+    ("谢谢老师", []),
+    ("方便的话明天来", []),
+    ("人民路有点堵", []),
+    ("浦东新区今天下雨", []),
+    ("Good Morning everyone", []),
+    ("马上就到", []),
+    ("何必这么认真", []),
+    ("白天太热了", []),
+    ("这个 @foo 装饰器不错", []),
+]
+
+
+def test_other_wording_than_the_training_texts(spark):
+    """Trained on the tables' texts, where they are here, and held against sentences that are none of theirs."""
+    import os
+
+    d = "/root/testdata/sf0.01"
+    if not os.path.exists(f"{d}/messages.parquet"):
+        pytest.skip("no messages")
+    _, model = pii.fit(spark.read.parquet(f"{d}/messages.parquet"), "row_id", "text")
+    label = pii.Labelers()
+    hit = extra = missed = 0
+    for text, gold in HELD:
+        spans = [(k, a, b, v, pii.surroundings(text, k, a, b)) for k, a, b, v in label(text)]
+        got = {(k, a) for k, a, _, _ in model.choose(spans)}
+        hit, extra, missed = hit + len(got & set(gold)), extra + len(got - set(gold)), missed + len(set(gold) - got)
+    assert hit / (hit + missed) >= 0.9 and hit / (hit + extra) >= 0.9, (hit, extra, missed)
