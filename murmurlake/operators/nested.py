@@ -111,6 +111,25 @@ def emit_objects(df: DataFrame, key: str, roots: dict[str, tuple[str, ...]], pay
     )
 
 
+def table_names(source: DataFrame, roots: dict[str, tuple[str, ...]]) -> list[str]:
+    """The names of all flat tables, as the schema has them, whether they have rows or not."""
+
+    def below(struct: T.StructType, tag: str) -> list[str]:
+        return [tag, *[t for name, s in _arrays(struct, tag) for t in below(s, name)]]
+
+    return [t for name, columns in roots.items() for t in below(_type_at(source.schema, columns[0]).elementType, name)]  # type: ignore[attr-defined]
+
+
+def _arrays(struct: T.StructType, tag: str) -> list[tuple[str, T.StructType]]:
+    found = []
+    for f in struct.fields:
+        if _object_array(f.dataType):
+            found.append((f"{tag}.{f.name}", f.dataType.elementType))
+        elif isinstance(f.dataType, T.StructType):
+            found += _arrays(f.dataType, f"{tag}.{f.name}")
+    return found
+
+
 def write_tables(tagged: DataFrame, path: str) -> None:
     """Write the tagged rows partitioned by table."""
     tagged.write.mode("overwrite").partitionBy("table").parquet(path)

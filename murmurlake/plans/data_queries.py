@@ -10,20 +10,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmurlake.operators import drift, nested
-from murmurlake.session import shared_dir
+from murmurlake.session import cut_folder
 from murmurlake.sources.tables import account, message_time, table
 from murmurlake.streaming.session_timers import timer_sessions
 
 
+def _flat_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """(messages, tagged rows of all flat tables, written partitioned by table and read back)."""
+    messages = table(spark, folder, "messages")
+    path = f"{cut_folder(spark)}/flat-{uuid.uuid4().hex}"
+    nested.write_tables(nested.emit_objects(messages, "row_id", nested.MESSAGE_ROOTS), path)
+    return messages, spark.read.schema("row_id long, node_path string, parent_path string, position int, payload string, table string").parquet(path)
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    rows = nested.emit_objects(table(spark, folder, "messages"), "row_id", nested.MESSAGE_ROOTS, payload=False)
-    return rows.select("row_id", "node_path")
+    return _flat_tables(spark, folder)[1].select("row_id", "node_path")
 
 
 def p2_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Rows, first-level rows and last position of each flat table."""
-    rows = nested.emit_objects(table(spark, folder, "messages"), "row_id", nested.MESSAGE_ROOTS)
-    return rows.groupBy("table").agg(
+    return _flat_tables(spark, folder)[1].groupBy("table").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(F.col("parent_path") == "").alias("n_first_level"),
         F.max("position").cast("long").alias("max_position"),
@@ -32,20 +38,16 @@ def p2_tables(spark: SparkSession, folder: str) -> DataFrame:
 
 def p2_face_elements(spark: SparkSession, folder: str) -> DataFrame:
     """One flat table with its schema applied: face elements with their parent link."""
-    messages = table(spark, folder, "messages")
-    tagged = nested.emit_objects(messages, "row_id", nested.MESSAGE_ROOTS)
-    flat = nested.apply_schema(tagged, messages, "row_id", "elements", nested.MESSAGE_ROOTS)
+    messages, stored = _flat_tables(spark, folder)
+    flat = nested.apply_schema(stored, messages, "row_id", "elements", nested.MESSAGE_ROOTS)
     return flat.where(F.col("data.face_id").isNotNull()).select(
         "row_id", "node_path", "parent_path", "kind", F.col("data.face_id").cast("long").alias("face_id")
     )
 
 
 def p2_flat(spark: SparkSession, folder: str) -> DataFrame:
-    """All flat tables, written partitioned, each read back with its schema: data is the object's own fields."""
-    messages = table(spark, folder, "messages")
-    path = f"{shared_dir(spark)}/murmurlake/flat-{uuid.uuid4().hex}"
-    nested.write_tables(nested.emit_objects(messages, "row_id", nested.MESSAGE_ROOTS), path)
-    stored = spark.read.schema("row_id long, node_path string, parent_path string, position int, payload string, table string").parquet(path)
+    """All flat tables, each with its schema applied: data is the object's own fields."""
+    messages, stored = _flat_tables(spark, folder)
     links = ("row_id", "node_path", "parent_path", "position")
 
     def flat(tag: str) -> DataFrame:
@@ -53,8 +55,7 @@ def p2_flat(spark: SparkSession, folder: str) -> DataFrame:
         own = F.to_json(F.struct(*[c for c in rows.columns if c not in links]))
         return rows.select("row_id", F.lit(tag).alias("table"), "node_path", "parent_path", "position", own.alias("data"))
 
-    tags = sorted(r["table"] for r in stored.select("table").distinct().collect())  # the schema's object arrays
-    return reduce(DataFrame.union, map(flat, tags)) if tags else stored.select("row_id", "table", "node_path", "parent_path", "position", F.col("payload").alias("data"))
+    return reduce(DataFrame.union, map(flat, nested.table_names(messages, nested.MESSAGE_ROOTS)))
 
 
 def p3_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,23 +46,44 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIR[app]
 
 
-def cut(df: DataFrame, name: str = "cut", partition_by: list[str] | None = None) -> DataFrame:
+def cut_folder(spark: SparkSession) -> str:
+    """Where this application's cut tables lie; other applications that share the folder have their own."""
+    return f"{shared_dir(spark)}/murmurlake/{spark.sparkContext.applicationId}"
+
+
+def cut(df: DataFrame, name: str = "cut", partition_by: list[str] | None = None, replaces: DataFrame | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table into the shared folder and read it back.
 
     Later stages then depend on files, not on executors: neither a lost executor nor
-    a second action repeats the work before the cut.
+    a second action repeats the work before the cut. ``replaces`` is an earlier cut that is
+    no longer read, say the last round of an iteration; it is deleted once the new one is there.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/murmurlake/{name}-{uuid.uuid4().hex}"
+    path = f"{cut_folder(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    _PATHS[id(out)] = (weakref.ref(out, lambda _, key=id(out): _PATHS.pop(key, None)), path)
+    if replaces is not None and id(replaces) in _PATHS:
+        _delete(spark, _PATHS[id(replaces)][1])
+    return out
+
+
+_PATHS: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def _delete(spark: SparkSession, path: str, recursive: bool = True) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, recursive)
 
 
 def clear_cuts(spark: SparkSession) -> None:
-    """Delete the tables that ``cut`` has written; call it once no result is read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/murmurlake")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    """Delete the tables that ``cut`` has written in this application; call it once no result is read any more."""
+    _delete(spark, cut_folder(spark))
+    above = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/murmurlake")
+    files = above.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(above) and not len(files.listStatus(above)):
+        files.delete(above, False)

@@ -5,7 +5,8 @@ event + gap. An ordered event that comes no later than the timer updates the ses
 and resets the timer; a later event means the timer expired first, which emits the
 session and opens the next one.
 
-``timer_sessions`` runs this state machine over stored rows. A hot key isn't one task:
+``timers`` and ``expired`` are the machine; both ways of running it go through them.
+``timer_sessions`` runs it over stored rows. A hot key isn't one task:
 rows are split by (key, time bucket), each part is run through the machine, and only the
 sessions that come within one gap of a bucket's edge – at most two for each key and
 bucket – go through the machine once more, keyed by key alone, to be joined across
@@ -28,6 +29,23 @@ GAP_MS = 20 * 60 * 1000
 BUCKET_MS = 24 * 3600 * 1000
 
 
+def timers(ends: np.ndarray, bounds: np.ndarray, gap_ms: int) -> np.ndarray:
+    """Where each event sets its key's timer: a gap after the latest end so far.
+
+    ``bounds`` are the keys' first rows and the number of rows. Intervals may lie inside
+    earlier ones, which leave the timer where it is.
+    """
+    reach = ends.astype(np.int64) + gap_ms
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        np.maximum.accumulate(reach[a:b], out=reach[a:b])
+    return reach
+
+
+def expired(starts: np.ndarray, timer: np.ndarray) -> np.ndarray:
+    """Whether the timer that the row before has set fires before the row's event; never for the first row."""
+    return np.append(False, starts[1:] > timer[:-1])
+
+
 def run_timers(batches: Iterator[pa.RecordBatch], gap_ms: int, key_columns: list[str]) -> Iterator[pa.RecordBatch]:
     """The state machine over intervals (start_ms, end_ms, events) that come ordered by key and start.
 
@@ -50,20 +68,16 @@ def run_timers(batches: Iterator[pa.RecordBatch], gap_ms: int, key_columns: list
             codes = k.dictionary_encode().indices.to_numpy(zero_copy_only=False)
             new_key[1:] |= codes[1:] != codes[:-1]
         new_key[0] = True
-        # Running maximum of the ends within each key: intervals may lie inside earlier ones.
-        reach = e.astype(np.int64).copy()
         bounds = np.append(np.flatnonzero(new_key), rows)
-        if (s != e).any():
-            for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-                np.maximum.accumulate(reach[a:b], out=reach[a:b])
+        timer = timers(e, bounds, gap_ms) if (s != e).any() else e.astype(np.int64) + gap_ms
         first_key = tuple(k[0].as_py() for k in keys)
         if first_key == open_key:
-            reach[: bounds[1]] = np.maximum(reach[: bounds[1]], end)
-        expired = new_key.copy()
-        expired[1:] |= s[1:] - reach[:-1] > gap_ms  # the timer of the session so far ran out before this event
-        if first_key == open_key and s[0] - end <= gap_ms:
-            expired[0] = False
-        cuts = np.flatnonzero(expired)
+            timer[: bounds[1]] = np.maximum(timer[: bounds[1]], end + gap_ms)
+        over = new_key | expired(s, timer)
+        if first_key == open_key and s[0] <= end + gap_ms:
+            over[0] = False
+        reach = timer - gap_ms
+        cuts = np.flatnonzero(over)
         heads = np.append(cuts, rows)
         counted = np.concatenate([[0], np.cumsum(n)])
         out_keys: list[list[Any]] = [[] for _ in keys]
@@ -160,26 +174,19 @@ class SessionTimer(StatefulProcessor):
         spans = [tuple(map(int, r)) for r in self.open.get()] if self.open.exists() else []
         for pdf in rows:
             spans += [(int(t), int(t), 1) for t in pdf["time_ms"]]
-        spans.sort()
-        merged: list[list[int]] = []
-        for s, e, n in spans:
-            if merged and s - merged[-1][1] <= self.gap_ms:
-                merged[-1][1] = max(merged[-1][1], e)
-                merged[-1][2] += n
-            else:
-                merged.append([s, e, n])
-        self._keep(merged)
-        yield from ()
-
-    def _keep(self, merged: list[list[int]]) -> None:
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
-        if merged:
-            self.open.put([tuple(m) for m in merged])
-            for m in merged:
-                self.handle.registerTimer(m[1] + self.gap_ms + 1)
+        if spans:
+            s, e, n = np.array(sorted(spans), np.int64).T
+            timer = timers(e, np.array([0, len(s)]), self.gap_ms)
+            heads = np.flatnonzero(expired(s, timer) | (np.arange(len(s)) == 0))
+            last = np.append(heads[1:], len(s)) - 1
+            self.open.put(list(zip(s[heads].tolist(), (timer[last] - self.gap_ms).tolist(), np.add.reduceat(n, heads).tolist(), strict=True)))
+            for t in timer[last].tolist():
+                self.handle.registerTimer(t + 1)
         else:
             self.open.clear()
+        yield from ()
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         at = expiredTimerInfo.getExpiryTimeInMs()
