@@ -17,7 +17,7 @@ def test_cuts_are_tables_that_can_be_cleared(spark):
 
 
 def test_a_round_that_is_replaced_is_deleted(spark):
-    first = cut(spark.range(3).toDF(), "round")
+    first = cut(spark.range(3), "round")
     folder = os.path.dirname(first.inputFiles()[0].removeprefix("file://"))
     second = cut(first.selectExpr("id + 1 AS id"), "round", replaces=first)
     assert not os.path.exists(folder) and [r[0] for r in second.orderBy("id").collect()] == [1, 2, 3]
