@@ -1,8 +1,10 @@
 """Phrase mining: n-grams of script runs with PMI, neighbour entropy and keyness.
 
-Counting is one explode and one two-step aggregation. PMI needs the counts of the inner
-pairs of a few thousand leading phrases, a join on the pair. Entropies are counted only for
-those phrases, in a second pass in which they are small: at most 3 · top_k for each length.
+Texts are cut into windows twice. The first pass counts all phrases, and with them pairs and
+characters, in hash tables; PMI is a join on the inner pairs of a few thousand leading
+phrases. The second pass keeps only the windows of phrases that may lead and sums them up by
+phrase and neighbours, before anything is shuffled; first sight and entropies both come from
+these sums.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import functions as F
 
 from murmurlake.config import MINED_BUCKETS, Settings
 from murmurlake.functions import text as tx
+from murmurlake.session import cut
 
 REVIEW_LIMIT = 100
 
@@ -69,13 +72,13 @@ def _ranked(texts: DataFrame, buckets: Sequence[str]) -> DataFrame:
     return texts.where(F.col("bucket").isin(*buckets)).withColumn("rank", rank)
 
 
-def count_phrases(texts: DataFrame, s: Settings, buckets: Sequence[str] = MINED_BUCKETS) -> DataFrame:
-    """(n, phrase, freq, bucket_freq): counts of all phrases.
+def count_phrases(texts: DataFrame, s: Settings, buckets: Sequence[str] = MINED_BUCKETS, characters: bool = False) -> DataFrame:
+    """(n, phrase, freq, bucket_freq): counts of all phrases, with ``characters`` of single ones too.
 
     ``texts`` has bucket, ord, part and text; texts of other buckets are left out. Only
     numbers are aggregated, so the counts stay in hash tables.
     """
-    lengths = sorted({2, *range(s.min_n, s.max_n + 1)})
+    lengths = sorted({2, *range(s.min_n, s.max_n + 1), *([1] if characters else [])})
     grams = ngrams(texts.where(F.col("bucket").isin(*buckets)).select("bucket", "text"), "text", lengths)
     by_bucket = [F.count_if(F.col("bucket") == b).alias(b) for b in buckets]
     counted = grams.groupBy("n", "phrase").agg(F.count(F.lit(1)).alias("freq"), *by_bucket)
@@ -83,22 +86,14 @@ def count_phrases(texts: DataFrame, s: Settings, buckets: Sequence[str] = MINED_
     return counted.select("n", "phrase", "freq", freq.alias("bucket_freq"))
 
 
-def first_sight(texts: DataFrame, phrases: DataFrame, buckets: Sequence[str] = MINED_BUCKETS) -> DataFrame:
-    """(n, phrase, seen) of some phrases: where each was seen first, by bucket, text and place."""
+def neighbours(texts: DataFrame, phrases: DataFrame, buckets: Sequence[str] = MINED_BUCKETS) -> DataFrame:
+    """(n, phrase, l, r, k, seen): how often some phrases stand between which characters, and where first.
+
+    Characters outside the run are null; seen is (bucket, text, place).
+    """
     lengths = [r["n"] for r in phrases.select("n").distinct().collect()]  # a few lengths
-    if not lengths:
-        return phrases.select("n", "phrase", F.lit(None).alias("seen"))
-    grams = ngrams(_ranked(texts, buckets), "text", sorted(lengths)).join(phrases.select("n", "phrase"), ["n", "phrase"], "left_semi")
-    return grams.groupBy("n", "phrase").agg(F.min(F.struct("rank", "ord", "part", "at", "pos")).alias("seen"))
-
-
-def count_characters(texts: DataFrame, buckets: Sequence[str] = MINED_BUCKETS, script: str = tx.CJK) -> DataFrame:
-    return (
-        runs(texts.where(F.col("bucket").isin(*buckets)).select("text"), "text", script)
-        .select(F.explode("chars").alias("ch"))
-        .groupBy("ch")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    grams = ngrams(_ranked(texts, buckets), "text", sorted(lengths) or [2], around=True).join(phrases.select("n", "phrase"), ["n", "phrase"], "left_semi")
+    return grams.groupBy("n", "phrase", "l", "r").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct("rank", "ord", "part", "at", "pos")).alias("seen"))
 
 
 def pair_information(pairs: DataFrame, characters: DataFrame) -> DataFrame:
@@ -116,39 +111,37 @@ def pair_information(pairs: DataFrame, characters: DataFrame) -> DataFrame:
     return joined.select("pair", F.when(F.col("freq") >= 2, pmi).otherwise(F.lit(0.0)).alias("pmi"))
 
 
-def leading_phrases(counts: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """The 3 · top_k most frequent phrases of each length, ties by first sight, that reach min_freq; with their place.
+def leading_phrases(counts: DataFrame, texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """(phrases, their neighbours): the 3 · top_k most frequent phrases of each length, ties by first sight, that reach min_freq.
 
-    First sight is looked up only for phrases that are frequent enough, ties included.
+    First sight and neighbours are looked up only for phrases that are frequent enough, ties included.
     """
-    from murmurlake.session import cut
-
     by_freq = Window.partitionBy("n").orderBy(F.desc("freq"))
     wanted = counts.where(F.col("n").between(s.min_n, s.max_n) & (F.col("freq") >= s.min_freq))
     near = cut(wanted.withColumn("__r", F.rank().over(by_freq)).where(F.col("__r") <= 3 * s.top_k_each_length).drop("__r"), "near")
-    seen = near.join(first_sight(texts, near), ["n", "phrase"])
+    around = cut(neighbours(texts, near), "around")
+    seen = near.join(around.groupBy("n", "phrase").agg(F.min("seen").alias("seen")), ["n", "phrase"])
     w = Window.partitionBy("n").orderBy(F.desc("freq"), "seen")
-    return seen.withColumn("place", F.row_number().over(w)).where(F.col("place") <= 3 * s.top_k_each_length)
+    return seen.withColumn("place", F.row_number().over(w)).where(F.col("place") <= 3 * s.top_k_each_length), around
+
 
+def phrase_information(phrases: DataFrame, counts: DataFrame) -> DataFrame:
+    """(phrase, pmi): the mean information of a phrase's inner pairs; pairs themselves have their own.
 
-def phrase_information(phrases: DataFrame, counts: DataFrame, characters: DataFrame) -> DataFrame:
-    """(phrase, pmi): the mean information of a phrase's inner pairs; pairs themselves have their own."""
+    ``counts`` holds all phrases, pairs and characters among them.
+    """
     inner = F.transform(F.sequence(F.lit(1), F.length("phrase") - 1), lambda i: F.substring(F.col("phrase"), i, F.lit(2)))
     cells = phrases.select("phrase", F.posexplode(inner).alias("i", "pair"))
+    characters = counts.where("n = 1").select(F.col("phrase").alias("ch"), F.col("freq").alias("n"))
     info = pair_information(counts.where("n = 2").select(F.col("phrase").alias("pair"), "freq"), characters)
     return cells.join(info, "pair", "left").groupBy("phrase").agg(F.avg(F.coalesce("pmi", F.lit(0.0))).alias("pmi"))
 
 
-def neighbour_entropy(texts: DataFrame, phrases: DataFrame, buckets: Sequence[str] = MINED_BUCKETS) -> DataFrame:
-    """(phrase, left_entropy, right_entropy) in bits, over all occurrences; ``phrases`` is a short list."""
-    lengths = [r["n"] for r in phrases.select(F.length("phrase").alias("n")).distinct().collect()]  # a few lengths
-    if not lengths:
-        return phrases.select("phrase", F.lit(0.0).alias("left_entropy"), F.lit(0.0).alias("right_entropy"))
-    grams = ngrams(texts.where(F.col("bucket").isin(*buckets)).select("text"), "text", sorted(lengths), around=True)
-    # At most 3 · top_k phrases a length: a bound from the settings, not from the data.
-    kept = grams.select("phrase", "l", "r").join(F.broadcast(phrases.select("phrase")), "phrase")
-    sides = kept.select("phrase", F.explode(F.array(F.struct(F.lit("l").alias("side"), F.col("l").alias("c")), F.struct(F.lit("r").alias("side"), F.col("r").alias("c")))).alias("x"))
-    counted = sides.where("x.c is not null").groupBy("phrase", "x.side", "x.c").agg(F.count(F.lit(1)).alias("k"))
+def neighbour_entropy(phrases: DataFrame, around: DataFrame) -> DataFrame:
+    """(phrase, left_entropy, right_entropy) in bits, over all occurrences, from the sums of ``neighbours``."""
+    kept = around.join(phrases.select("phrase"), "phrase", "left_semi")
+    sides = kept.select("phrase", "k", F.explode(F.array(F.struct(F.lit("l").alias("side"), F.col("l").alias("c")), F.struct(F.lit("r").alias("side"), F.col("r").alias("c")))).alias("x"))
+    counted = sides.where("x.c is not null").groupBy("phrase", "x.side", "x.c").agg(F.sum("k").alias("k"))
     bits = F.greatest(F.lit(0.0), F.log2(F.sum("k")) - F.sum(F.col("k") * F.log2("k")) / F.sum("k"))
     by_side = counted.groupBy("phrase", "side").agg(bits.alias("h")).groupBy("phrase").agg(
         F.max(F.when(F.col("side") == "l", F.col("h"))).alias("left_entropy"), F.max(F.when(F.col("side") == "r", F.col("h"))).alias("right_entropy")
@@ -157,6 +150,11 @@ def neighbour_entropy(texts: DataFrame, phrases: DataFrame, buckets: Sequence[st
     return phrases.select("phrase").join(by_side, "phrase", "left").select("phrase", zero("left_entropy"), zero("right_entropy"))
 
 
+def _rounded(c: Column, digits: int) -> Column:
+    """Of the number itself, not of its decimal text, whose halves may be none."""
+    return F.floor(c * 10**digits + 0.5) / 10**digits
+
+
 def judge_phrases(rows: DataFrame, s: Settings) -> DataFrame:
     """Adds keyness, rates, label, action and reasons to phrases with n, freq, bucket_freq, pmi, entropies and manual_keep."""
     b = lambda k: F.coalesce(F.try_element_at("bucket_freq", F.lit(k)), F.lit(0))
@@ -198,13 +196,13 @@ def judge_phrases(rows: DataFrame, s: Settings) -> DataFrame:
         F.col("n").alias("length"),
         "freq",
         "bucket_freq",
-        F.round("pmi", 2).alias("min_pmi"),
-        F.round("left_entropy", 4).alias("left_entropy"),
-        F.round("right_entropy", 4).alias("right_entropy"),
-        F.round("__ent", 4).alias("min_entropy"),
-        F.round("__k", 2).alias("style_keyness"),
-        F.round("__chaos", 4).alias("chaos_rate"),
-        F.round("__priv", 4).alias("privacy_bucket_rate"),
+        _rounded(F.col("pmi"), 2).alias("min_pmi"),
+        _rounded(F.col("left_entropy"), 4).alias("left_entropy"),
+        _rounded(F.col("right_entropy"), 4).alias("right_entropy"),
+        _rounded(F.col("__ent"), 4).alias("min_entropy"),
+        _rounded(F.col("__k"), 2).alias("style_keyness"),
+        _rounded(F.col("__chaos"), 4).alias("chaos_rate"),
+        _rounded(F.col("__priv"), 4).alias("privacy_bucket_rate"),
         label.alias("suggested_label"),
         action.alias("suggested_action"),
         F.lit("auto_candidate").alias("status"),
@@ -218,18 +216,16 @@ def mine(texts: DataFrame, s: Settings, stoplist: DataFrame, keep: DataFrame, dr
     """The mined phrases of each length, at most top_k, with their rank by keyness and frequency.
 
     ``stoplist``, ``keep`` and ``drop`` have one column, phrase; phrases on the first and
-    the last are left out, phrases of ``keep`` are marked. ``texts`` is read four times
+    the last are left out, phrases of ``keep`` are marked. ``texts`` is read twice
     and should be cheap to read. Empty texts give an empty result.
     """
-    from murmurlake.session import cut
-
-    counts = cut(count_phrases(texts, s), "counts")
-    lead = leading_phrases(counts, texts, s)
+    counts = cut(count_phrases(texts, s, characters=True), "counts")
+    lead, around = leading_phrases(counts, texts, s)
     lead = lead.join(stoplist.select("phrase").distinct(), "phrase", "left_anti").join(drop.select("phrase").distinct(), "phrase", "left_anti")
-    info = phrase_information(lead, counts, count_characters(texts))
+    info = phrase_information(lead, counts)
     least = F.when(F.col("n") == 2, s.min_pmi_2gram).when(F.col("n") == 3, s.min_pmi_3gram).when(F.col("n") == 4, s.min_pmi_4gram).otherwise(2.0)
-    kept = cut(lead.join(info, "phrase").where(F.col("pmi") >= least), "phrases")
-    entropy = neighbour_entropy(texts, kept)
+    kept = cut(lead.join(info, "phrase").where(F.col("pmi") >= least), "phrases", replaces=counts)
+    entropy = neighbour_entropy(kept, around)
     marked = kept.join(keep.select("phrase").distinct().withColumn("__keep", F.lit(True)), "phrase", "left").withColumn("manual_keep", F.coalesce("__keep", F.lit(False)))
     rows = judge_phrases(marked.join(entropy, "phrase").where(F.least("left_entropy", "right_entropy") >= s.min_entropy), s)
     order = Window.partitionBy("length").orderBy(F.desc("style_keyness"), F.desc("freq"), "place")

@@ -6,7 +6,7 @@ Not given: the whole pipeline run, which is tested on small fixtures instead.
 from __future__ import annotations
 
 from murmurlake.config import BUCKETS, MINED_BUCKETS, TUNED
-from murmurlake.plans.core_queries import MINE
+from murmurlake.plans.core_queries import PROMOTING
 from murmurlake.plans.data_queries import CLOCK
 from murmurlake.sources.messages import TYPES
 
@@ -290,8 +290,8 @@ cnt AS (SELECT n, phrase, count(*) AS freq, min((br, doc_id, ak, p)) AS seen, {"
 
 LEAD = f"""
 {GRAMS},
-led AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY freq DESC, seen) AS place FROM cnt WHERE freq >= {MINE.min_freq})
-  WHERE place <= {3 * MINE.top_k_each_length}),
+led AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY freq DESC, seen) AS place FROM cnt WHERE freq >= {S.min_freq})
+  WHERE place <= {3 * S.top_k_each_length}),
 ch AS (SELECT c, count(*) AS k FROM (SELECT unnest(string_split(run, '')) AS c FROM ru) GROUP BY c),
 pi AS (SELECT phrase, CASE WHEN freq < 2 THEN 0.0 ELSE greatest(0.0, log2((freq / (SELECT sum(freq) FROM cnt WHERE n = 2)) /
     ((coalesce(x.k, 1) / (SELECT sum(k) FROM ch)) * (coalesce(y.k, 1) / (SELECT sum(k) FROM ch))))) END AS pmi
@@ -309,10 +309,11 @@ MANUAL = f"""{LEX}, {DECISIONS},
 mp AS (SELECT DISTINCT coalesce(a.phrase, b.key) AS phrase, coalesce(b.decision, a.listed) AS decision
   FROM {_LISTED} a FULL JOIN (SELECT key, decision FROM rd WHERE kind = 'phrase') b ON a.phrase = b.key)"""
 
-_W = dict(MINE.bucket_weight)
+# Weights as doubles: a plain 1.2 would be a decimal, and halves would round otherwise than in the operator.
+_W = {k: f"{abs(v)}::DOUBLE" for k, v in dict(S.bucket_weight).items()}
 _KEY = (
     f"((candidates * {_W['candidates']} + micro_style * {_W['micro_style']} + 0.5) / "
-    f"(chaos_style * {_W['chaos_style']} + need_anonymize * {_W['need_anonymize']} + rejected * {abs(_W['rejected'])} + 0.5))"
+    f"(chaos_style * {_W['chaos_style']} + need_anonymize * {_W['need_anonymize']} + rejected * {_W['rejected']} + 0.5))"
 )
 _ALL = "greatest(1, candidates + micro_style + chaos_style + need_anonymize + rejected)"
 
@@ -322,15 +323,15 @@ mk AS (SELECT led.*, pmi, le, re, least(le, re) AS me, CAST({_KEY} AS DOUBLE) AS
     led.phrase IN (SELECT phrase FROM mp WHERE decision = 'keep') AS mk
   FROM led JOIN inf USING (phrase) JOIN ent USING (phrase)
   WHERE led.phrase NOT IN (SELECT phrase FROM lex WHERE kind = 'phrase_stoplist') AND led.phrase NOT IN (SELECT phrase FROM mp WHERE decision = 'drop')
-    AND pmi >= CASE n WHEN 2 THEN {MINE.min_pmi_2gram} WHEN 3 THEN {MINE.min_pmi_3gram} ELSE {MINE.min_pmi_4gram} END AND least(le, re) >= {MINE.min_entropy}),
-mj AS (SELECT *, CASE WHEN cr > 0.5 AND kn < 2 THEN 'chaos_phrase' WHEN pr > 0.3 THEN 'privacy_phrase' WHEN kn >= {MINE.min_keyness} THEN 'candidate_style_phrase'
+    AND pmi >= CASE n WHEN 2 THEN {S.min_pmi_2gram} WHEN 3 THEN {S.min_pmi_3gram} ELSE {S.min_pmi_4gram} END AND least(le, re) >= {S.min_entropy}),
+mj AS (SELECT *, CASE WHEN cr > 0.5 AND kn < 2 THEN 'chaos_phrase' WHEN pr > 0.3 THEN 'privacy_phrase' WHEN kn >= {S.min_keyness} THEN 'candidate_style_phrase'
       ELSE 'ambiguous_phrase' END AS suggested_label,
     CASE WHEN mk THEN 'manual_keep' WHEN cr > 0.7 OR (rejected > candidates AND freq < 10) THEN 'skip' WHEN pr > 0.4 THEN 'privacy_review'
-      WHEN kn >= {MINE.min_keyness} AND cr < 0.3 THEN 'review' ELSE 'review_low_keyness' END AS suggested_action,
+      WHEN kn >= {S.min_keyness} AND cr < 0.3 THEN 'review' ELSE 'review_low_keyness' END AS suggested_action,
     concat_ws('|', CASE WHEN mk THEN 'manual_phrase_keep' END, CASE WHEN candidates > 0 AND rejected = 0 THEN 'high_candidate_frequency' END,
-      CASE WHEN candidates > rejected * 2 AND rejected > 0 THEN 'low_rejected_frequency' END, CASE WHEN pmi > {MINE.min_pmi_2gram * 2} THEN 'stable_ngram' END,
+      CASE WHEN candidates > rejected * 2 AND rejected > 0 THEN 'low_rejected_frequency' END, CASE WHEN pmi > {S.min_pmi_2gram * 2} THEN 'stable_ngram' END,
       CASE WHEN me > 1.5 THEN 'high_entropy' END, CASE WHEN cr < 0.1 THEN 'low_chaos' END) AS reasons FROM mk),
-mined AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY round(kn, 2) DESC, freq DESC, place) AS rank FROM mj) WHERE rank <= {MINE.top_k_each_length})
+mined AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY round(kn, 2) DESC, freq DESC, place) AS rank FROM mj) WHERE rank <= {S.top_k_each_length})
 """
 
 _CATEGORY = """CASE kind WHEN 'phrase_bank' THEN 'style_markers.' || coalesce(label, 'unknown') WHEN 'chaos_lexicon' THEN 'chaos.' || coalesce(severity, 'unknown')
@@ -399,7 +400,7 @@ _LISTS = (
     ("review_privacy_terms", "suggested_action = 'privacy_review'", "round(pr, 4)"),
     ("review_chaos_terms", "suggested_action <> 'privacy_review' AND round(cr, 4) > 0.5", "round(cr, 4)"),
     ("review_phrases_top", "suggested_action <> 'privacy_review' AND round(cr, 4) <= 0.5", "round(kn, 2)"),
-    ("review_stopword_candidates", f"freq > {MINE.min_freq * 5} AND round(pmi, 2) < {MINE.min_pmi_2gram * 0.6} AND round(me, 4) < 0.8", "freq"),
+    ("review_stopword_candidates", f"freq > {S.min_freq * 5} AND round(pmi, 2) < {S.min_pmi_2gram * 0.6} AND round(me, 4) < 0.8", "freq"),
 )
 _NORM = (
     "(SELECT string_agg(c, '' ORDER BY i) FROM (SELECT i, string_split(phrase, '')[i] AS c, CASE WHEN i > 1 THEN string_split(phrase, '')[i - 1] END AS b "
@@ -491,8 +492,8 @@ ORACLES: dict[str, str] = {
           concat_ws('|', CASE WHEN dup THEN 'exact_duplicate:kept_1_already' END, CASE WHEN decision = 'drop' THEN 'manual_review_drop'
             WHEN decision = 'keep' AND dup THEN 'manual_review_keep_blocked_by_prior_filter' WHEN decision = 'keep' THEN 'manual_review_keep_requested' END) AS reasons
         FROM j WHERE dup OR decision IS NOT NULL""",
-    "ngram_freq": f"WITH {GRAMS} SELECT n, phrase, freq FROM cnt WHERE freq >= 5",
-    "ngram_bucket_freq": f"WITH {GRAMS} SELECT n, phrase, {', '.join(MINED_BUCKETS)} FROM cnt WHERE freq >= 20",
+    "ngram_freq": f"WITH {GRAMS} SELECT n, phrase, freq FROM cnt WHERE n >= 2",
+    "ngram_bucket_freq": f"WITH {GRAMS} SELECT n, phrase, {', '.join(MINED_BUCKETS)} FROM cnt WHERE n >= 2",
     "ngram_pmi": f"WITH {LEAD} SELECT phrase, round(pmi, 4) AS pmi FROM inf",
     "ngram_entropy": f"WITH {LEAD} SELECT phrase, round(le, 4) AS left_entropy, round(re, 4) AS right_entropy FROM ent",
     "ngram_mined": f"WITH {MINED} SELECT phrase, n AS length, freq, suggested_label, suggested_action, reasons, round(round(kn, 2), 1) AS style_keyness FROM mined",
@@ -501,8 +502,8 @@ ORACLES: dict[str, str] = {
     + " UNION ALL ".join(f"SELECT '{n}' AS list, row_number() OVER (ORDER BY {by} DESC, n, rank) AS place, phrase FROM mined WHERE {c}" for n, c, by in _LISTS)
     + ") SELECT list, place, phrase FROM rv WHERE place <= 100",
     "auto_promote": f"""WITH {MINED} SELECT n AS length, rank, phrase FROM mined WHERE suggested_action IN ('review', 'manual_keep') AND round(kn, 2) >= 1.0 AND round(pmi, 2) >= 2.0
-        AND round(me, 4) >= {MINE.promote_min_entropy} AND freq >= {MINE.promote_min_freq} AND round(cr, 4) <= {MINE.promote_max_chaos_rate} AND round(pr, 4) <= {MINE.promote_max_privacy_rate}
-        AND phrase NOT IN (SELECT phrase FROM bank WHERE label IN ('analysis_marker', 'tone_marker')) ORDER BY n, rank LIMIT {MINE.promote_max_per_run}""",
+        AND round(me, 4) >= {PROMOTING.promote_min_entropy} AND freq >= {PROMOTING.promote_min_freq} AND round(cr, 4) <= {PROMOTING.promote_max_chaos_rate} AND round(pr, 4) <= {PROMOTING.promote_max_privacy_rate}
+        AND phrase NOT IN (SELECT phrase FROM bank WHERE label IN ('analysis_marker', 'tone_marker')) ORDER BY n, rank LIMIT {PROMOTING.promote_max_per_run}""",
     "candidate_append": f"""WITH {MINED} SELECT phrase, n AS length FROM mined WHERE suggested_action IN ('review', 'manual_keep') AND phrase NOT IN (SELECT trim(phrase) FROM ngram_stats WHERE phrase IS NOT NULL)""",
     "phrase_links": f"""WITH {_links("SELECT DISTINCT trim(phrase) AS phrase FROM ngram_stats WHERE length(trim(phrase)) >= 2")} SELECT a, b, link FROM li WHERE link IS NOT NULL""",
     "phrase_clusters": f"""WITH RECURSIVE {MINED}, {_links("SELECT phrase FROM mined WHERE suggested_action IN ('review', 'manual_keep')")},

@@ -2,15 +2,11 @@
 
 Two inputs: ``documents`` as blocks of one speaker, and ``messages``, whose blocks are
 extracted. Word lists come from the stored lexicon; thresholds are the tuned preset.
-
-The mining queries come twice: under their plain names cut to MINE, as their SQL is, and as
-NAME_whole with the preset's own thresholds and without SQL.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +21,8 @@ from murmurlake.sources import messages as src
 from murmurlake.sources.tables import spread, table
 
 S = TUNED
-#: A cut that SQL can follow: fewer and more frequent phrases than the preset mines.
-MINE = S.with_(min_freq=20, min_pmi_2gram=1.0, min_pmi_3gram=1.5, min_pmi_4gram=2.0, top_k_each_length=100)
+#: Promotion is off in the preset; here it is on, with thresholds that some phrases reach.
+PROMOTING = S.with_(auto_promote_enabled=True, promote_min_style_keyness=1.0, promote_min_pmi=2.0)
 
 
 def _lexicon(spark: SparkSession, d: str) -> DataFrame:
@@ -83,7 +79,7 @@ def _manual(spark: SparkSession, d: str) -> DataFrame:
     return lexicon.manual_phrases(_lexicon(spark, d), filters.latest_decisions(table(spark, d, "review_decisions")))
 
 
-def _mined(spark: SparkSession, d: str, s: Settings = MINE) -> DataFrame:
+def _mined(spark: SparkSession, d: str, s: Settings = S) -> DataFrame:
     listed = _manual(spark, d)
     pick = lambda decision: listed.where(F.col("decision") == decision).select("phrase")
     stop = _lexicon(spark, d).where("kind = 'phrase_stoplist'").select("phrase")
@@ -253,51 +249,51 @@ def stratified_sample(spark, d):
     return review.stratified_sample(rows, 20, S.sample_seed).groupBy("stratum", "review_id").agg(F.count(F.lit(1)).alias("n"))
 
 
-def ngram_freq(spark, d, s=MINE, least=5):
-    return mining.count_phrases(_texts(spark, d), s).where(F.col("freq") >= least).select("n", "phrase", "freq")
+def ngram_freq(spark, d):
+    return mining.count_phrases(_texts(spark, d), S).select("n", "phrase", "freq")
 
 
-def ngram_bucket_freq(spark, d, s=MINE, least=20):
-    rows = mining.count_phrases(_texts(spark, d), s).where(F.col("freq") >= least)
+def ngram_bucket_freq(spark, d):
+    rows = mining.count_phrases(_texts(spark, d), S)
     return rows.select("n", "phrase", *[F.element_at("bucket_freq", b).alias(b) for b in MINED_BUCKETS])
 
 
-def ngram_pmi(spark, d, s=MINE):
+def ngram_pmi(spark, d, s=S):
     texts = _texts(spark, d)
-    counts = cut(mining.count_phrases(texts, s), "counts")
-    lead = mining.leading_phrases(counts, texts, s)
-    return mining.phrase_information(lead, counts, mining.count_characters(texts)).select("phrase", F.round("pmi", 4).alias("pmi"))
+    counts = cut(mining.count_phrases(texts, s, characters=True), "counts")
+    lead, _ = mining.leading_phrases(counts, texts, s)
+    return mining.phrase_information(lead, counts).select("phrase", F.round("pmi", 4).alias("pmi"))
 
 
-def ngram_entropy(spark, d, s=MINE):
+def ngram_entropy(spark, d, s=S):
     texts = _texts(spark, d)
-    lead = cut(mining.leading_phrases(mining.count_phrases(texts, s), texts, s), "lead")
-    rows = mining.neighbour_entropy(texts, lead)
+    lead, around = mining.leading_phrases(mining.count_phrases(texts, s), texts, s)
+    rows = mining.neighbour_entropy(cut(lead, "lead"), around)
     return rows.select("phrase", F.round("left_entropy", 4).alias("left_entropy"), F.round("right_entropy", 4).alias("right_entropy"))
 
 
-def ngram_mined(spark, d, s=MINE):
+def ngram_mined(spark, d, s=S):
     return _mined(spark, d, s).select("phrase", "length", "freq", "suggested_label", "suggested_action", _joined("reasons"), F.round("style_keyness", 1).alias("style_keyness"))
 
 
-def ngram_candidates(spark, d, s=MINE):
+def ngram_candidates(spark, d, s=S):
     return mining.candidates(_mined(spark, d, s)).select("length", "rank", "phrase")
 
 
-def review_lists(spark, d, s=MINE):
+def review_lists(spark, d, s=S):
     return mining.review_lists(cut(_mined(spark, d, s), "mined"), s)
 
 
-def auto_promote(spark, d, s=MINE.with_(auto_promote_enabled=True, promote_min_style_keyness=1.0, promote_min_pmi=2.0)):
+def auto_promote(spark, d, s=PROMOTING):
     w = _words(spark, d)
     return mining.promote(_mined(spark, d, s), s, [*w.analysis, *w.tone]).select("length", "rank", "phrase")
 
 
-def candidate_append(spark, d, s=MINE):
+def candidate_append(spark, d, s=S):
     return mining.new_candidates(_mined(spark, d, s), table(spark, d, "ngram_stats").select(F.trim("phrase").alias("phrase"))).select("phrase", "length")
 
 
-def phrase_clusters(spark, d, s=MINE):
+def phrase_clusters(spark, d, s=S):
     rows = mining.candidates(_mined(spark, d, s)).select("phrase", "freq", "style_keyness")
     return cl.clusters(cut(rows, "candidates"), 0.5).select("cluster_id", "canonical_phrase", "size", _joined("link_types"))
 
@@ -338,7 +334,7 @@ def audit_summary(spark, d):
     return lexicon.audit_summary(cut(_audit(spark, d), "audit"))
 
 
-def active_lexicon(spark, d, s=MINE):
+def active_lexicon(spark, d, s=S):
     return lexicon.next_active(cut(_audit(spark, d), "audit"), lexicon.archive(table(spark, d, "lexicon")), cut(_mined(spark, d, s), "mined"))
 
 
@@ -379,7 +375,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         tuning_ratios, pipeline_run, event_sessions, event_types_map,
     )
 }
-
-WHOLE = {f: {"s": S} for f in (ngram_pmi, ngram_entropy, ngram_mined, ngram_candidates, review_lists, candidate_append, phrase_clusters, active_lexicon)}
-WHOLE |= {f: {"s": S, "least": 1} for f in (ngram_freq, ngram_bucket_freq)} | {auto_promote: {"s": S.with_(auto_promote_enabled=True)}}
-QUERIES |= {f"{f.__name__}_whole": partial(f, **given) for f, given in WHOLE.items()}

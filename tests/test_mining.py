@@ -174,13 +174,13 @@ def test_identity(spark):
     assert {r["uid"]: r["is_me"] for r in many.collect()} == {"u1": False, "u2": True, "": False}
 
 
-def test_whole_queries_mine_what_the_preset_does(spark, tmp_path):
+def test_queries_mine_what_the_preset_does(spark, tmp_path):
     from collections import Counter
 
     from murmurlake.config import TUNED
     from murmurlake.plans.core_queries import QUERIES
 
-    # Each of 120 pairs is seen 6 times: at least min_freq, fewer than the cut of the plain queries.
+    # Each of 120 pairs is seen 6 times: just above min_freq.
     pairs = [chr(0x5000 + 2 * i) + chr(0x5001 + 2 * i) for i in range(120)]
     texts = [f"{chr(0x6000 + k)}{p}{chr(0x6100 + k)}" for p in pairs for k in range(6)]
     # And one longer phrase, which makes its pair frequent enough for promotion.
@@ -193,19 +193,18 @@ def test_whole_queries_mine_what_the_preset_does(spark, tmp_path):
     spark.createDataFrame([], "phrase string").write.parquet(f"{tmp_path}/ngram_stats.parquet")
     run = lambda name: QUERIES[name](spark, str(tmp_path)).collect()
     brute = Counter(t[i : i + n] for t in texts for n in (2, 3, 4) for i in range(len(t) - n + 1))
-    assert {r["phrase"]: r["freq"] for r in run("ngram_freq_whole")} == brute
-    assert {r["phrase"]: r["candidates"] for r in run("ngram_bucket_freq_whole")} == brute
+    assert {r["phrase"]: r["freq"] for r in run("ngram_freq")} == brute
+    assert {r["phrase"]: r["candidates"] for r in run("ngram_bucket_freq")} == brute
     led = {p for p, n in brute.items() if n >= TUNED.min_freq}
     assert led >= set(pairs)
-    for name in ("ngram_pmi_whole", "ngram_entropy_whole"):
+    for name in ("ngram_pmi", "ngram_entropy"):
         assert {r["phrase"] for r in run(name)} == led
-    for name in ("ngram_mined_whole", "ngram_candidates_whole", "candidate_append_whole"):
+    for name in ("ngram_mined", "ngram_candidates", "candidate_append"):
         assert {r["phrase"] for r in run(name)} == {*pairs, longer}, name
-    assert not run("ngram_mined")
-    assert [r["phrase"] for r in run("review_lists_whole") if r["list"] == "review_phrases_top"] == pairs[:100]
-    assert [(r["canonical_phrase"], r["size"]) for r in run("phrase_clusters_whole")] == [(pairs[0], 2)]
-    assert {r["phrase"] for r in run("active_lexicon_whole")} >= {*pairs, longer}
-    assert [r["phrase"] for r in run("auto_promote_whole")] == [pairs[0]]
+    assert [r["phrase"] for r in run("review_lists") if r["list"] == "review_phrases_top"] == pairs[:100]
+    assert [(r["canonical_phrase"], r["size"]) for r in run("phrase_clusters")] == [(pairs[0], 2)]
+    assert {r["phrase"] for r in run("active_lexicon")} >= {*pairs, longer}
+    assert [r["phrase"] for r in run("auto_promote")][0] == pairs[0]
 
 
 def test_links_are_those_of_all_pairs(spark):
