@@ -93,6 +93,9 @@ class Settings:
     candidate_ratio_target_max: float = 0.12
     chaos_style_ratio_max: float = 0.10
     writer_name: str = ""
+    scan_sources: tuple[str, ...] = ("my_text",)
+    update_candidates: bool = False
+    update_phrase_bank: bool = False
     mask_nested: bool = False
 
     def weight(self, bucket: str) -> float:
@@ -135,12 +138,17 @@ _RENAMED = {
     ("phrase_mining.keyness", "compare_candidates_against_rejected"): "compare_against_rejected",
     ("phrase_mining.clustering", "enabled"): "clustering_enabled",
     ("phrase_mining.auto_promote", "enabled"): "auto_promote_enabled",
-    ("tuning_advice", "enable"): None,
+    ("debatable", "max_per_run"): "debatable_max_per_run",
+    ("phrase_mining.output", "update_auto_phrase_candidates"): "update_candidates",
+    ("phrase_mining.output", "update_phrase_bank"): "update_phrase_bank",
     ("phrase_mining.bucket_weight", "*"): "bucket_weight",
 } | {
     ("phrase_mining.auto_promote", k): f"promote_{k}"
     for k in ("min_style_keyness", "min_pmi", "min_entropy", "min_freq", "max_chaos_rate", "max_privacy_rate", "max_per_run")
 }
+# What a settings file may hold besides thresholds: paths and word lists, read by the commands, and switches of output files.
+_ELSEWHERE = ("meta", "path", "message", "lexicon", "output", "style_markers", "light_interruption", "chaos")
+_BESIDES = {("review", "decisions_path"), ("tuning_advice", "enable"), ("style_tags", "argument_markers"), ("style_tags", "analysis_markers"), ("phrase_mining.output", "*")}
 _POSITIVE = ("session_gap_minutes", "turn_gap_seconds", "my_block_continue_seconds", "short_fragment_chars", "max_block_chars", "max_fragment_count")
 _SHARES = (
     "min_my_char_ratio",
@@ -187,6 +195,7 @@ def from_mapping(tree: dict[str, Any], base: Settings = CODE_DEFAULTS) -> Settin
     """Overlay a parsed TOML tree on ``base``."""
     known = {f.name for f in fields(Settings)}
     changes: dict[str, Any] = {}
+    unknown: list[str] = []
 
     def walk(section: str, node: dict[str, Any]) -> None:
         if section == "phrase_mining.bucket_weight":
@@ -199,8 +208,12 @@ def from_mapping(tree: dict[str, Any], base: Settings = CODE_DEFAULTS) -> Settin
             name = _RENAMED.get((section, key), key)
             if name in known:
                 changes[name] = tuple(value) if isinstance(value, list) else value
+            elif section.split(".")[0] not in _ELSEWHERE and not {(section, key), (section, "*")} & _BESIDES:
+                unknown.append(f"{section}.{key}" if section else key)
 
     walk("", tree)
+    if unknown:
+        raise ValueError("unknown settings: " + ", ".join(unknown))
     return check(replace(base, **changes))
 
 
@@ -209,6 +222,19 @@ def from_toml(path: str | Path, base: Settings = CODE_DEFAULTS) -> Settings:
         return from_mapping(tomllib.load(f), base)
 
 
+def paths(tree: dict[str, Any], writer_name: str, root: str | Path) -> dict[str, str]:
+    """Folders and files that a settings file names, templates filled in: input, output, decisions, lexicons, archive."""
+    lexicons = tree.get("lexicon", {})
+    named = {
+        "input": tree.get("path", {}).get("input_dir"),
+        "output": tree.get("path", {}).get("output_dir"),
+        "decisions": tree.get("review", {}).get("decisions_path"),
+        "lexicons": lexicons.get("phrase_bank_path", "").rpartition("/")[0],
+        "archive": lexicons.get("archive", {}).get("phrase_bank_path", "").rpartition("/")[0],
+    }
+    return {k: expand(v, writer_name, root) for k, v in named.items() if v}
+
+
 def snapshot(s: Settings) -> str:
     """The settings as TOML text, for the run folder."""
 
@@ -228,8 +254,8 @@ def expand(path: str, writer_name: str, root: str | Path) -> str:
     """A templated path with ``{writer_name}`` filled in, relative to ``root`` unless absolute."""
     if "{writer_name}" in path and not writer_name:
         raise ValueError(f"{path}: needs a writer name")
-    full = Path(path.replace("{writer_name}", writer_name))
-    return str(full if full.is_absolute() else Path(root) / full)
+    full = path.replace("{writer_name}", writer_name)
+    return full if full.startswith("/") or "://" in full else f"{str(root).rstrip('/')}/{full}"
 
 
 @dataclass(frozen=True)

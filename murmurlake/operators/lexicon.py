@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from murmurlake.config import MINED_BUCKETS, Words
 from murmurlake.functions import text as tx
 from murmurlake.functions.jsons import document
+from murmurlake.sources import files
 
 #: One row of a lexicon in any form: files become this, the stored table is it.
 SCHEMA = "entry_no int, kind string, phrase string, label string, severity string, risk string, status string"
@@ -24,17 +27,24 @@ CANDIDATE_RATE, REJECTED_RATE, DEMOTE_RATE = 0.4, 0.2, 0.35
 ACTIVE_FREQ, ACTIVE_RATE = 3, 0.15
 
 
-def read_jsonl(spark: SparkSession, path: str, kind: str) -> DataFrame:
+def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(entry_no, line) of a lexicon file or folder, numbered in order over all its splits."""
+    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", "^\ufeff", "").alias("line"))
+    # A lexicon has at most MOST_ENTRIES lines, so one window over all of them is small.
+    return lines.select((F.row_number().over(Window.orderBy("id")) - 1).cast("int").alias("entry_no"), "line")
+
+
+def read_jsonl(spark: SparkSession, path: str, kind: str, with_category: bool = False) -> DataFrame:
     """A JSON-lines lexicon: byte-order marks, blank lines and lines that don't parse are passed over."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().alias("entry_no"), F.regexp_replace("value", "^﻿", "").alias("line"))
-    schema = "struct<phrase:string,label:string,severity:string,risk:string,status:string>"
-    parsed = lines.select(F.col("entry_no").cast("int").alias("entry_no"), F.from_json("line", schema).alias("e"), document("line").alias("v"))
-    return parsed.where(F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))).select("entry_no", F.lit(kind).alias("kind"), "e.*")
+    schema = "struct<phrase:string,label:string,severity:string,risk:string,status:string,old_category:string>"
+    parsed = _numbered_lines(spark, path).select("entry_no", F.from_json("line", schema).alias("e"), document("line").alias("v"))
+    own = parsed.where(F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))).select("entry_no", F.lit(kind).alias("kind"), "e.*")
+    return own if with_category else own.drop("old_category")
 
 
 def read_stoplist(spark: SparkSession, path: str) -> DataFrame:
     """A stoplist: # starts a comment line, " #" a comment after a phrase; repeats are kept for diagnosis."""
-    lines = spark.read.text(path).select(F.monotonically_increasing_id().cast("int").alias("entry_no"), tx.strip(F.regexp_replace("value", "^﻿", "")).alias("line"))
+    lines = _numbered_lines(spark, path).select("entry_no", tx.strip(F.col("line")).alias("line"))
     phrase = tx.strip(F.split("line", " #")[0])
     return lines.where(~F.col("line").startswith("#")).select("entry_no", F.lit("phrase_stoplist").alias("kind"), phrase.alias("phrase")).where("phrase <> ''").select(
         "entry_no", "kind", "phrase", *[F.lit(None).cast("string").alias(c) for c in ("label", "severity", "risk", "status")]
@@ -318,20 +328,90 @@ def next_active(audited: DataFrame, archived: DataFrame, mined: DataFrame) -> Da
     return last.select("file", "phrase", "x.*").select(*_ACTIVE)
 
 
+def _file(kind: str, suffix: str = "") -> str:
+    return f"{kind}{suffix}.{'txt' if kind == 'phrase_stoplist' else 'jsonl'}"
+
+
+def read_folder(spark: SparkSession, folder: str, suffix: str = "") -> DataFrame:
+    """The lexicon files of a folder, which has to be there; of its files any may be missing."""
+    files.required(spark, folder)
+    parts = [spark.createDataFrame([], SCHEMA)]
+    for kind in KINDS:
+        path = f"{folder.rstrip('/')}/{_file(kind, suffix)}"
+        if files.exists(spark, path):
+            parts.append(read_stoplist(spark, path) if kind == "phrase_stoplist" else read_jsonl(spark, path, kind))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_archive(spark: SparkSession, folder: str) -> DataFrame:
+    """The terms of an archive's own files: what an entry doesn't say of its origin is filled in."""
+    files.required(spark, folder)
+    parts = []
+    for kind in KINDS:
+        path = f"{folder.rstrip('/')}/{_file(kind, '_archive')}"
+        if files.exists(spark, path):
+            own = read_stoplist(spark, path).withColumn("old_category", F.lit("phrase_mining.stoplist")) if kind == "phrase_stoplist" else read_jsonl(spark, path, kind, with_category=True)
+            parts.append(own)
+    rows = reduce(DataFrame.unionByName, parts) if parts else spark.createDataFrame([], SCHEMA + ", old_category string")
+    return archive(rows.withColumnRenamed("old_category", "__own")).withColumn("old_category", F.coalesce("__own", F.lit("unknown"))).drop("__own")
+
+
 def write_archive(entries: DataFrame, folder: str, force: bool = False) -> str:
-    """Write the archive, one file per kind; without ``force`` an archive that is there stays. Returns what was done."""
+    """Write the archive, one file of JSON lines a kind and a README; without ``force`` an archive that is there stays. Returns what was done."""
     spark = entries.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    there = path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+    there = files.exists(spark, folder)
     if there and not force:
         return "skipped"
-    archive(entries).coalesce(1).write.mode("overwrite").partitionBy("kind").json(folder)
+    rows = archive(entries)
+    counts = _write_files(rows.withColumnRenamed("kind", "file"), folder, "_archive")
+    listed = "".join(f"| `{_file(k, '_archive')}` | {n} |\n" for k, n in sorted(counts.items()))
+    files.write_text(
+        spark, f"{folder.rstrip('/')}/README.md",
+        f"# Archived lexicons\n\nEntries as they were; they take no part in matching. {sum(counts.values())} in all.\n\n| file | entries |\n|-|-|\n{listed}",
+    )
     return "overwritten" if there else "written"
 
 
+def _write_files(rows: DataFrame, folder: str, suffix: str = "") -> dict[str, int]:
+    """Write rows with the column file, each file by itself: a stoplist as text, others as JSON lines. Returns rows of each."""
+    counts = {r["file"]: r["n"] for r in rows.groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a file
+    for name in counts:
+        own = rows.where(F.col("file") == name).drop("file").coalesce(1)
+        path = f"{folder.rstrip('/')}/{_file(name, suffix)}"
+        if name == "phrase_stoplist":
+            own.select("phrase").orderBy("phrase").coalesce(1).write.mode("overwrite").text(path)
+        else:
+            (own.orderBy("entry_no").coalesce(1) if "entry_no" in own.columns else own).write.mode("overwrite").json(path)
+    return counts
+
+
 def write_active(active_rows: DataFrame, folder: str, dry_run: bool = False) -> dict[str, int]:
-    """Write the next active lexicon, one file per kind, unless it is a dry run; returns rows of each file."""
-    counts = {r["file"]: r["n"] for r in active_rows.groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a file
-    if not dry_run:
-        active_rows.coalesce(1).write.mode("overwrite").partitionBy("file").json(folder)
+    """Write the next active lexicon, one file per kind, and a report, unless it is a dry run; returns rows of each file."""
+    if dry_run:
+        return {r["file"]: r["n"] for r in active_rows.groupBy("file").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a file
+    counts = _write_files(active_rows, folder)
+    by = active_rows.groupBy("file", "source", "status").agg(F.count(F.lit(1)).alias("n")).orderBy("file", "source", "status").limit(200).collect()
+    report = "# Next active lexicon\n\n| file | source | status | entries |\n|-|-|-|-|\n" + "".join(f"| {r['file']} | {r['source']} | {r['status']} | {r['n']} |\n" for r in by)
+    files.write_text(active_rows.sparkSession, f"{folder.rstrip('/')}/active_lexicon_report.md", report)
     return counts
+
+
+def append_candidates(mined: DataFrame, path: str) -> int:
+    """Add the mined candidates that a candidate file lacks to its end; returns how many.
+
+    What is mined is bounded by the settings (top_k a length), so it may pass the driver.
+    """
+    from murmurlake.operators.mining import new_candidates
+
+    spark = mined.sparkSession
+    there = files.exists(spark, path)
+    known = read_jsonl(spark, path, "phrase_candidates").select("phrase") if there else spark.createDataFrame([], "phrase string")
+    fresh = new_candidates(mined, known).withColumn("status", F.lit("auto_candidate"))
+    if there and files.is_folder(spark, path):
+        count = fresh.count()
+        fresh.coalesce(1).write.mode("append").json(path)
+        return count
+    lines = [r["line"] for r in fresh.orderBy("length", "rank").select(F.to_json(F.struct(*fresh.columns)).alias("line")).collect()]
+    if lines:
+        files.append_text(spark, path, "".join(f"{x}\n" for x in lines))
+    return len(lines)

@@ -34,9 +34,9 @@ class Result:
     warnings: list[str] = field(default_factory=list)
 
 
-def scan_rows(blocks: DataFrame) -> DataFrame:
-    """Blocks as texts to mine, with their rough buckets."""
-    return mining.scan_texts(blocks)
+def scan_rows(blocks: DataFrame, s: Settings) -> DataFrame:
+    """Blocks as texts to mine, from the sources of the settings, with their rough buckets."""
+    return mining.scan_texts(blocks, s.scan_sources)
 
 
 def finish_blocks(blocks: DataFrame, words: Words, s: Settings, decisions: DataFrame | None, key: list[str], copies_bucket: F.Column) -> DataFrame:
@@ -72,10 +72,10 @@ def run(
     promoted: list[str] = []
     if s.mining_enabled:
         phrases = lambda listed: spark.createDataFrame([(w,) for w in listed], "phrase string")
-        rough = extracted.select("my_text", F.struct(*key).alias("ord"), scoring.structural_bucket(F.col("metrics"), s).alias("bucket"))
+        rough = extracted.select("my_text", "fragments", "my_turns", F.struct(*key).alias("ord"), scoring.structural_bucket(F.col("metrics"), s).alias("bucket"))
         mined = cut(
             mining.mine(
-                scan_rows(rough),
+                scan_rows(rough, s),
                 s,
                 stoplist if stoplist is not None else phrases(words.stoplist),
                 keep if keep is not None else phrases(words.manual_keep),
@@ -84,7 +84,7 @@ def run(
             "mined",
         )
         if s.clustering_enabled:
-            groups = clusters(mining.candidates(mined), s.min_surface_overlap)
+            groups = cut(clusters(mining.candidates(mined), s.min_surface_overlap), "clusters")
         promoted = [r["phrase"] for r in mining.promote(mined, s, [*words.analysis, *words.tone]).collect()]
         words = words.promoted(promoted)
     final = cut(finish_blocks(extracted, words, s, decisions, key, F.col("source_file")), "final")
@@ -109,6 +109,10 @@ def stats(r: Result, files_found: int, files_parsed: int) -> dict:
     m = r.messages.agg(F.count(F.lit(1)).alias("n"), F.count_if("is_me").alias("own")).first()
     t = r.sessions.agg(F.count(F.lit(1)).alias("turns"), F.countDistinct("source_file", "session_no").alias("sessions")).first()
     outputs = {x["bucket"]: x["n"] for x in bucket_counts(r.blocks).collect()}
+    copies = lambda start: F.count_if(F.exists("reasons", lambda x: x.startswith(start)))
+    d = r.blocks.agg(copies("exact_duplicate").alias("exact"), copies("near_duplicate").alias("near")).first()
+    tags = r.blocks.select(F.explode("style_tags").alias("tag")).groupBy("tag").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "tag").limit(50).collect()
+    mined = {} if r.mined is None else {x["length"]: x["n"] for x in r.mined.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a length
     return {
         "total_files_found": files_found,
         "total_files_parsed": files_parsed,
@@ -119,6 +123,12 @@ def stats(r: Result, files_found: int, files_parsed: int) -> dict:
         "my_blocks": sum(outputs.values()),
         "outputs": {b: outputs[b] for b in BUCKETS},
         "top_reject_reasons": [{"reason": x["reason"], "count": x["n"]} for x in top_reasons(r.blocks).collect()],
+        "exact_duplicates": d["exact"],
+        "near_duplicates": d["near"],
+        "style_tags": {x["tag"]: x["n"] for x in tags},
+        "phrases_mined": {f"{n}gram": mined[n] for n in sorted(mined)},
+        "phrase_clusters": 0 if r.phrase_clusters is None else r.phrase_clusters.count(),
+        "phrases_promoted": len(r.promoted),
         "warnings": r.warnings[:50],
         "warnings_truncated": len(r.warnings) > 50,
     }

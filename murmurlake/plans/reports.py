@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import time
 from datetime import UTC, datetime
-from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,10 +12,11 @@ from pyspark.sql import functions as F
 from murmurlake import config
 from murmurlake.operators import mining, review
 from murmurlake.plans import pipeline
+from murmurlake.sources import files
 
 
-def run_folder(base: str | Path) -> Path:
-    return Path(base) / f"run_{datetime.now(UTC):%Y%m%d_%H%M%S}"
+def run_folder(base: str) -> str:
+    return f"{str(base).rstrip('/')}/run_{datetime.now(UTC):%Y%m%d_%H%M%S}"
 
 
 def output_record(blocks: DataFrame) -> DataFrame:
@@ -87,12 +87,28 @@ def tuning_notes(stats: dict, s: config.Settings) -> list[str]:
     return notes or ["the output ratios are within the expected ranges"]
 
 
-def write_run(r: pipeline.Result, folder: str | Path, files_found: int, files_parsed: int, started: float) -> dict:
+def stages(s: dict) -> list[dict]:
+    """What each stage of a run took in and gave, in order."""
+    named = (
+        ("parse_files", ("total_files_found", "total_files_parsed")),
+        ("read_messages", ("total_messages", "own_messages")),
+        ("build_turns", ("turns",)),
+        ("split_sessions", ("sessions",)),
+        ("extract_blocks", ("my_blocks",)),
+        ("mine_phrases", ("phrases_mined", "phrase_clusters", "phrases_promoted")),
+        ("dedup", ("exact_duplicates", "near_duplicates")),
+        ("decide_buckets", ("outputs",)),
+        ("tag_blocks", ("style_tags",)),
+    )
+    return [{"name": name, "counts": {k: s[k] for k in keys}} for name, keys in named]
+
+
+def write_run(r: pipeline.Result, folder: str, files_found: int, files_parsed: int, started: float) -> dict:
     """Everything a run writes, below ``folder``; large outputs stay distributed, reports are small files."""
     from murmurlake.operators import lexicon
 
-    folder = Path(folder)
-    folder.mkdir(parents=True, exist_ok=True)
+    spark = r.blocks.sparkSession
+    text = lambda name, content: files.write_text(spark, f"{folder}/{name}", content)
     rows = output_record(r.blocks)
     if not r.settings.keep_rejected:
         rows = rows.where(F.col("bucket") != "rejected")
@@ -101,21 +117,24 @@ def write_run(r: pipeline.Result, folder: str | Path, files_found: int, files_pa
     samples = pipeline.cut(r.samples, "samples")
     output_record(samples).write.mode("overwrite").partitionBy("stratum").json(f"{folder}/review_samples")
     review.decision_template(samples).coalesce(1).write.mode("overwrite").json(f"{folder}/review_decisions_template")
+    s = pipeline.stats(r, files_found, files_parsed)
     if r.mined is not None:
         r.mined.write.mode("overwrite").partitionBy("length").json(f"{folder}/phrases")
+        for n in range(r.settings.min_n, r.settings.max_n + 1):
+            r.mined.where(F.col("length") == n).orderBy("rank").coalesce(1).write.mode("overwrite").json(f"{folder}/phrase_freq_{n}gram")
         mining.candidates(r.mined).write.mode("overwrite").json(f"{folder}/phrase_candidates")
         mining.review_lists(r.mined, r.settings).write.mode("overwrite").partitionBy("list").json(f"{folder}/phrase_reviews")
-        (folder / "phrase_report.md").write_text(phrase_report(r.mined, r.settings), encoding="utf-8")
+        text("phrase_report.md", phrase_report(r.mined, r.settings))
+        text("phrase_mining_stats.json", json.dumps({k: s[k] for k in ("phrases_mined", "phrase_clusters", "phrases_promoted")}, ensure_ascii=False, indent=2))
     if r.phrase_clusters is not None:
         r.phrase_clusters.coalesce(1).write.mode("overwrite").json(f"{folder}/phrase_clusters")
     if r.audit is not None:
         audited = pipeline.cut(r.audit, "audit")
         audited.write.mode("overwrite").json(f"{folder}/lexicon_audit")
-        (folder / "lexicon_audit_report.md").write_text(audit_report(audited, lexicon.audit_summary(audited)), encoding="utf-8")
-    s = pipeline.stats(r, files_found, files_parsed)
-    (folder / "stats.json").write_text(json.dumps(s, ensure_ascii=False, indent=2), encoding="utf-8")
-    (folder / "settings.toml").write_text(config.snapshot(r.settings), encoding="utf-8")
-    (folder / "tuning_advice.md").write_text("# Tuning advice\n\n" + "".join(f"- {n}\n" for n in tuning_notes(s, r.settings)), encoding="utf-8")
-    trace = {"counts": s["outputs"], "promoted": r.promoted, "warnings": r.warnings[:20], "elapsed_seconds": round(time.time() - started, 2)}
-    (folder / "trace.json").write_text(json.dumps(trace, ensure_ascii=False, indent=2), encoding="utf-8")
+        text("lexicon_audit_report.md", audit_report(audited, lexicon.audit_summary(audited)))
+    text("stats.json", json.dumps(s, ensure_ascii=False, indent=2))
+    text("settings.toml", config.snapshot(r.settings))
+    text("tuning_advice.md", "# Tuning advice\n\n" + "".join(f"- {n}\n" for n in tuning_notes(s, r.settings)))
+    trace = {"stages": stages(s), "outputs": s["outputs"], "total_blocks": s["my_blocks"], "promoted": r.promoted, "warnings": r.warnings[:20], "elapsed_seconds": round(time.time() - started, 2)}
+    text("trace.json", json.dumps(trace, ensure_ascii=False, indent=2))
     return s

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from murmurlake.functions.jsons import document
 from murmurlake.functions.text import strip
 from murmurlake.functions.time import text_millis, usable_millis
+from murmurlake.operators.ranking import bucketed_prefix
 
 # Field names that carry one meaning in different export versions, first present wins.
 TEXT_FIELDS = ("text", "content", "message", "msg", "raw_message", "msgContent", "message_content", "plain", "plain_text")
@@ -115,6 +116,20 @@ def scan_folder(spark: SparkSession, folder: str, limit_files: int | None = None
     return files
 
 
+def file_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """(source_file, line_no, line) of the .jsonl files below ``folder``; lines count from 0 over all splits of a file."""
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.jsonl")
+    lines = reader.text(folder).select(
+        F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("id"), F.regexp_replace("value", "^\ufeff", "").alias("line")
+    )
+    return bucketed_prefix(lines, ["source_file"], F.col("split"), ["id"], rank="line_no").select("source_file", "line_no", "line")
+
+
+def in_file_order(rows: DataFrame) -> list[Column]:
+    """The order in which files are read: .json by path, then .jsonl by path, and their messages in place."""
+    return [F.col("source_file").endswith(".jsonl"), F.col("source_file"), F.col("msg_idx")]
+
+
 def _field(v: Column, *names: str) -> Column:
     """First of the top-level values that is there: text of scalars, "" of objects and arrays."""
     return first_present(*[F.when(~F.coalesce(F.schema_of_variant(F.try_variant_get(v, f"$.{n}", "variant")), F.lit("VOID")).rlike("^(OBJECT|ARRAY|VOID)"), F.try_variant_get(v, f"$.{n}", "string")) for n in names])
@@ -130,9 +145,13 @@ def read_exports(spark: SparkSession, folder: str, limit_files: int | None = Non
     A file is one JSON document with its messages under ``messages``, ``data`` or ``list``.
     Files that don't parse, top-level arrays and message fields that are no array
     give a warning and no messages; array entries that are no objects are skipped.
-    With ``json_lines`` each line of a .jsonl file is a message.
+    With ``json_lines`` each line of a .jsonl file is a message; such files are read line
+    by line and may be split.
     """
     files = scan_folder(spark, folder, limit_files)
+    every = files
+    if json_lines:
+        files = files.where(~F.col("source_file").endswith(".jsonl"))
     docs = files.withColumn("v", document("doc"))
     kind = F.schema_of_variant("v")
     is_object = F.coalesce(kind.startswith("OBJECT"), F.lit(False))
@@ -149,13 +168,13 @@ def read_exports(spark: SparkSession, folder: str, limit_files: int | None = Non
     bad = F.when(~F.col("ok") & F.col("v").isNotNull(), F.lit("the document is no object")).when(~F.col("ok"), F.lit("cannot be parsed")).when(
         F.col("list").isNotNull() & ~F.col("is_list"), F.lit("messages is not a list")
     )
-    if json_lines:
-        bad = F.when(F.col("source_file").endswith(".jsonl"), F.lit(None)).otherwise(bad)
     warnings = docs.select("source_file", bad.alias("warning")).where("warning is not null")
     entries = docs.where("is_list").select("source_file", F.posexplode(F.try_variant_get("list", "$", "array<variant>")).alias("msg_idx", "m"))
     if json_lines:
-        lines = files.where(F.col("source_file").endswith(".jsonl")).select("source_file", F.posexplode(F.split("doc", "\n")).alias("msg_idx", "line"))
-        entries = entries.union(lines.select("source_file", "msg_idx", document("line").alias("m")))
+        lines = file_lines(spark, folder)
+        if limit_files and limit_files > 0:
+            lines = lines.join(every.select("source_file"), "source_file", "left_semi")
+        entries = entries.union(lines.select("source_file", F.col("line_no").cast("int").alias("msg_idx"), document("line").alias("m")))
     entries = entries.where(F.coalesce(F.schema_of_variant("m").startswith("OBJECT"), F.lit(False)))
     m = F.col("m")
     sender, content = _object(m, "sender", "fromUser", "from"), _object(m, "content", "message", "msgContent")

@@ -160,7 +160,61 @@ def test_export_reader_and_commands(spark, tmp_path, capsys):
     assert main([*args, "--dry-run"]) == 0
     assert main(["run", "--input", "x", "--output", "y"]) == 1
     assert main(["archive", "--lexicons", str(lex), "--output", str(tmp_path / "arch")]) == 0
-    assert spark.read.json(str(tmp_path / "arch")).where(F.col("old_category") == "style_markers.analysis_marker").count() == 1
+    assert spark.read.json(str(tmp_path / "arch" / "phrase_bank_archive.jsonl")).where(F.col("old_category") == "style_markers.analysis_marker").count() == 1
+    assert "phrase_bank_archive.jsonl" in (tmp_path / "arch" / "README.md").read_text()
+    kept = lexicon.read_archive(spark, str(tmp_path / "arch")).collect()
+    assert [(r["phrase"], r["old_category"], r["source_file"]) for r in kept] == [("其实", "style_markers.analysis_marker", "phrase_bank.jsonl")]
+    trace = json.loads((run / "trace.json").read_text())
+    assert [x["name"] for x in trace["stages"]][:2] == ["parse_files", "read_messages"] and (run / "phrase_mining_stats.json").exists()
+    with pytest.raises(FileNotFoundError):
+        main([*args[:-4], "--me-id", "me", "--decisions", str(tmp_path / "nowhere.jsonl")])
+
+
+def test_commands_take_folders_and_switches_from_settings(spark, tmp_path, capsys):
+    from murmurlake.__main__ import main
+
+    base = tmp_path / "w_ann"
+    (base / "in").mkdir(parents=True)
+    (base / "lex").mkdir()
+    say = [f"{c}我们今天去吃火锅吧{c}真的太好吃了我们下次再去吃火锅" for c in "一二三四五六七八"]
+    lines = [json.dumps({"id": str(i), "timestamp": 1710000000000 + i * 3_600_000, "sender": {"uid": "me"}, "text": t}, ensure_ascii=False) for i, t in enumerate(say)]
+    (base / "in" / "b.jsonl").write_text("\ufeff" + "\r\n".join(lines) + "\n\n", encoding="utf-8")
+    (base / "in" / "z.json").write_text(json.dumps({"messages": [{"id": "first", "timestamp": 1700000000, "sender": {"uid": "x"}, "content": "嗯"}]}), encoding="utf-8")
+    (base / "lex" / "phrase_bank.jsonl").write_text("", encoding="utf-8")
+    (base / "lex" / "phrase_candidates.jsonl").write_text('{"phrase": "已有"}', encoding="utf-8")
+    toml = tmp_path / "s.toml"
+    toml.write_text(
+        '[path]\ninput_dir = "w_{writer_name}/in"\noutput_dir = "w_{writer_name}/out"\n[lexicon]\nphrase_bank_path = "w_{writer_name}/lex/phrase_bank.jsonl"\n'
+        "[my_block]\nmin_my_block_chars = 5\nmin_my_msg_count = 1\n[phrase_mining]\nmin_pmi_2gram = 0.0\nmin_pmi_3gram = 0.0\nmin_pmi_4gram = 0.0\nmin_entropy = 0.0\n[phrase_mining.keyness]\nmin_keyness = 0.1\n",
+        encoding="utf-8",
+    )
+    args = ["run", "--config", str(toml), "--root", str(tmp_path), "--me-id", "me", "--json-lines"]
+    assert main(args) == 1  # the templates need a name
+    args += ["--writer-name", "ann"]
+    assert main([*args, "--max-messages", "1", "--dry-run", "--skip-phrase-mining"]) == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (stats["total_messages"], stats["own_messages"], stats["phrases_mined"]) == (1, 0, {})  # .json comes before .jsonl
+    assert main([*args, "--update-lexicon", "--mine-phrases"]) == 0
+    stats = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert stats["total_messages"] == 9 and stats["new_candidates_appended"] > 0
+    after = [json.loads(x) for x in (base / "lex" / "phrase_candidates.jsonl").read_text(encoding="utf-8").splitlines()]
+    assert after[0] == {"phrase": "已有"} and {x["status"] for x in after[1:]} == {"auto_candidate"}
+    assert len(after) == 1 + stats["new_candidates_appended"] == len({x["phrase"] for x in after})
+    assert main([*args, "--update-lexicon"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["new_candidates_appended"] == 0
+    toml.write_text("[time]\nsession_gap_minute = 3\n", encoding="utf-8")
+    assert main(["run", "--config", str(toml), "--input", "x", "--output", "y", "--me-id", "m"]) == 1
+
+
+def test_lexicon_lines_are_numbered_over_splits(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text("".join(json.dumps({"phrase": f"p{i}"}) + "\n" for i in range(500)), encoding="utf-8")
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000b")
+    try:
+        rows = lexicon.read_jsonl(spark, str(tmp_path / "a.jsonl"), "phrase_bank").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert sorted((r["entry_no"], r["phrase"]) for r in rows) == [(i, f"p{i}") for i in range(500)]
 
 
 def test_identity(spark):
