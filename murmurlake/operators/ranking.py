@@ -51,6 +51,15 @@ def bucketed_prefix(
     return out.select(*df.columns, rank, *names[: len(values)])
 
 
-def salt(columns: list[str], buckets: int = 256) -> Column:
-    """A bucket from the hash of columns that tell a key's rows apart."""
-    return F.pmod(F.xxhash64(*columns), F.lit(buckets)).cast("int")
+#: Rows of one key that a bucket shall hold at most, on average.
+ROWS_IN_BUCKET = 500_000
+
+
+def buckets_for(rows: int) -> int:
+    """How many buckets a key needs that may hold all of so many rows: their number grows with the data."""
+    return max(16, -(-rows // ROWS_IN_BUCKET))
+
+
+def salt(columns: list[str], rows: int) -> Column:
+    """A bucket from the hash of columns that tell a key's rows apart; ``rows`` is the number of all rows."""
+    return F.pmod(F.xxhash64(*columns), F.lit(buckets_for(rows))).cast("int")
