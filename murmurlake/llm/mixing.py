@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from murmurlake.operators.ranking import bucketed_prefix
+from murmurlake.operators.ranking import bucketed_prefix, buckets_for
 
 BLOCK = 512
 SHARD_SLOTS = 256
@@ -88,7 +88,7 @@ def block_parts(sizes: DataFrame, sources: list[str], key: str, source: str, blo
     kept = sizes.where(F.col(source).isin(*sources) & (F.col("n_tokens") > 0)).select(
         F.col(source).alias("source"), F.col(key), F.col("n_tokens"), F.xxhash64(F.col(key), F.lit(17)).alias("__h")
     )
-    laid = bucketed_prefix(kept, ["source"], F.pmod(F.col("__h"), F.lit(256)).cast("int"), ["__h", key], value="n_tokens", before="__at")
+    laid = bucketed_prefix(kept, ["source"], F.pmod(F.col("__h"), F.lit(buckets_for(sizes.count()))).cast("int"), ["__h", key], value="n_tokens", before="__at")
     first, last = F.floor(F.col("__at") / block), F.floor((F.col("__at") + F.col("n_tokens") - 1) / block)
     cut_up = laid.select("source", key, "n_tokens", "__at", F.explode(F.sequence(first, last)).alias("block"))
     start = F.greatest(F.lit(0), F.col("block") * block - F.col("__at"))
@@ -139,7 +139,8 @@ def slots(spark, plan: list[Source], seed: int = 0, shard_slots: int = SHARD_SLO
 
 
 def plan_mix(sizes: DataFrame, targets: DataFrame, source: str = "source", block: int = BLOCK) -> list[Source]:
-    listed = [(r["source"], float(r["target_share"]), int(r["max_repeats"] or 0)) for r in targets.where("source is not null and target_share is not null").collect()]
+    named = targets.where("source is not null and target_share is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.min(F.coalesce("max_repeats", F.lit(0))).alias("max_repeats"))
+    listed = [(r["source"], float(r["target_share"]), int(r["max_repeats"])) for r in named.orderBy("source").collect()]  # a row a source of the targets
     have = sizes.join(F.broadcast(targets.select(F.col("source").alias("__s")).distinct()), F.col(source) == F.col("__s")).groupBy("__s").agg(F.sum("n_tokens").alias("n"))
     return quotas(listed, {r["__s"]: int(r["n"] or 0) for r in have.collect()}, block)
 

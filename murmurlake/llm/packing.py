@@ -197,8 +197,9 @@ def pack(sizes: DataFrame, containers: DataFrame, key: str = "doc_id") -> DataFr
     parts = pieces(sizes, containers, key)
     made = plans(parts)
     spark = sizes.sparkSession
+    rows = max((sum(len(c) * t for c, t in zip(p.combos, p.times, strict=True)) for p in made.values()), default=0)
     places = spark.sparkContext.broadcast({k: p.places() for k, p in made.items()})  # bounded by the capacities
-    ranked = bucketed_prefix(parts, ["container_kind", "size"], salt([key, "piece"]), [key, "piece"])
+    ranked = bucketed_prefix(parts, ["container_kind", "size"], salt([key, "piece"], rows), [key, "piece"])
     kind = parts.schema[key].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -84,6 +84,21 @@ def p8_report(spark: SparkSession, folder: str) -> DataFrame:
     return packing.report(_sizes(spark, folder), table(spark, folder, "container_sizes"))
 
 
+def p8_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What a packing has to keep to, by kind: documents placed, containers too full, documents with tokens lost or doubled, split ones that would have fit."""
+    sizes, kinds = _sizes(spark, folder), table(spark, folder, "container_sizes")
+    rows = cut(packing.pack(sizes, kinds), "packed").join(F.broadcast(kinds), "container_kind")
+    by_container = rows.groupBy("container_kind", "container_id").agg(F.sum("size").alias("n"), F.max("capacity_tokens").alias("c"))
+    full = by_container.groupBy("container_kind").agg(F.count_if(F.col("n") > F.col("c")).alias("too_full"), (F.sum("n") / F.sum("c") >= 0.98).alias("well_filled"))
+    by_doc = rows.groupBy("container_kind", "doc_id").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("pieces"), F.max("capacity_tokens").alias("c"))
+    kept = by_doc.join(sizes, "doc_id", "left").groupBy("container_kind").agg(
+        F.count(F.lit(1)).alias("n_documents"),
+        F.count_if(F.col("n") != F.col("n_tokens")).alias("wrong_tokens"),
+        F.count_if((F.col("pieces") > 1) & (F.col("n_tokens") <= F.col("c"))).alias("needlessly_split"),
+    )
+    return kept.join(full, "container_kind")
+
+
 def p9_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_sizes(spark, folder), table(spark, folder, "mix_targets"))
 
@@ -92,6 +107,14 @@ def p9_report(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_report(_sizes(spark, folder), table(spark, folder, "mix_targets"))
 
 
+def p9_check(spark: SparkSession, folder: str) -> DataFrame:
+    """What a mix has to keep to, by source: its share within half a per cent of the target, no document used too often."""
+    rows = mixing.mix_report(_sizes(spark, folder), table(spark, folder, "mix_targets"))
+    return rows.select(
+        "source", (F.abs(F.col("actual_share") - F.col("target_share")) <= 0.005).alias("share_reached"), (F.col("most_repeats") <= F.col("max_repeats")).alias("within_repeats")
+    )
+
+
 def _spans(spark: SparkSession, folder: str) -> spans.SharedSpans:
     return spans.SharedSpans(table(spark, folder, "documents"), "doc_id", "text")
 
@@ -127,8 +150,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p7_masked": p7_masked,
     "p8_packing": p8_packing,
     "p8_report": p8_report,
+    "p8_check": p8_check,
     "p9_mix": p9_mix,
     "p9_report": p9_report,
+    "p9_check": p9_check,
     "p10_found": p10_found,
     "p10_links": p10_links,
     "p10_classes": p10_classes,
@@ -175,6 +200,9 @@ ORACLES: dict[str, str] = {
     "p6_conversations": f"""WITH {_FOLDED}
         SELECT conv_id, CAST(q - q0 AS BIGINT) AS position, CASE WHEN mine THEN 'me' ELSE 'other' END AS role, text, t AS time_ms, row_id
         FROM s JOIN v USING (conv_id) WHERE visible AND NOT broken AND roles = 2""",
+    "p8_check": """SELECT container_kind, count(*) AS n_documents, CAST(0 AS BIGINT) AS wrong_tokens, CAST(0 AS BIGINT) AS needlessly_split, CAST(0 AS BIGINT) AS too_full, true AS well_filled
+        FROM container_sizes, documents WHERE length(text) > 0 GROUP BY container_kind""",
+    "p9_check": "SELECT source, true AS share_reached, true AS within_repeats FROM mix_targets",
     "p10_found": f"""WITH {_WINDOWS}, x AS (SELECT DISTINCT doc_id, s FROM w JOIN g USING (s))
         SELECT DISTINCT a.doc_id AS doc_id_a, b.doc_id AS doc_id_b FROM x a JOIN x b ON a.s = b.s AND a.doc_id < b.doc_id""",
     "p10_links": f"""WITH {_WINDOWS}, c AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS k FROM documents WHERE length(text) >= 60),
