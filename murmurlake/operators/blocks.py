@@ -64,7 +64,8 @@ def split_sessions(turns: DataFrame, s: Settings) -> DataFrame:
     one ended. comes_back tells whether the target speaker is back within the next four
     turns of the session and the continuation time.
     """
-    near, w, own = with_neighbours(turns, ["source_file"], "turn_no", back=1, ahead=LOOK_AHEAD)
+    most = s.max_light_interruptions + 1
+    near, w, own = with_neighbours(turns, ["source_file"], "turn_no", back=most + 1, ahead=LOOK_AHEAD)
     limit, wait = s.session_gap_minutes * 60_000, s.my_block_continue_seconds * 1000
     gap = F.col("start_ms") - F.lag("end_ms").over(w)
     new_session = gap.isNull() | (gap > limit)
@@ -74,16 +75,19 @@ def split_sessions(turns: DataFrame, s: Settings) -> DataFrame:
         start = F.lead("start_ms", k).over(w)
         together = together & (start - end_before <= limit)
         back = back | F.coalesce(together & F.lead("is_me", k).over(w) & (start - F.col("end_ms") <= wait), F.lit(False))
-    hard_before = ~F.lag("is_me").over(w) & (F.lag("char_count").over(w) >= s.hard_interruption_chars)
-    bound_to_close = (F.col("is_me") & (gap > wait)) | hard_before
-    flagged = near.withColumns(
-        {
-            "gap_ms": gap,
-            "comes_back": back,
-            "__session": new_session.cast("int"),
-            "__segment": (new_session | F.coalesce(bound_to_close, F.lit(False))).cast("int"),
-        }
-    ).where(own)
+    # No block goes on after another's turn that isn't light and after which the speaker isn't
+    # back, nor after more light ones in a row than a block takes: there a new segment starts,
+    # so that segments stay short however long others talk.
+    kept = F.coalesce(F.col("gap_ms") <= wait, F.lit(False)) & F.col("comes_back")
+    size = F.col("char_count")
+    shuts = ~F.col("is_me") & ((size >= s.hard_interruption_chars) | ((size > s.light_interruption_chars) & ~kept))
+    faint = ~F.col("is_me") & ~kept
+    seen = near.withColumns({"gap_ms": gap, "comes_back": back, "__session": new_session.cast("int")}).withColumns({"__shuts": shuts, "__faint": faint})
+    many = F.lit(True)
+    for k in range(1, most + 1):
+        many = many & F.coalesce(F.lag("__faint", k).over(w), F.lit(False))
+    bound_to_close = (F.col("is_me") & (F.col("gap_ms") > wait)) | F.lag("__shuts").over(w) | many
+    flagged = seen.withColumn("__segment", ((F.col("__session") == 1) | F.coalesce(bound_to_close, F.lit(False))).cast("int")).where(own).drop("__shuts", "__faint")
     placed = bucketed_prefix(
         flagged, ["source_file"], F.col("__chunk"), ["turn_no"], rank="__again", value=["__session", "__segment"], before=["__s", "__g"]
     )
