@@ -1,12 +1,16 @@
 """Clusters of phrases that are near each other on the surface.
 
 Linked phrases share a pair of characters or their whole normalised form, or one is a single
-character of the other, so candidates come from a join on those, not from all pairs. Components are found by passing the least phrase along
-links until nothing changes; each round is cut from its lineage.
+character of the other, so candidates come from a join on those, not from all pairs. Components
+of few links are found in one task; of more, by passing the least phrase along links until nothing
+changes, each round cut from its lineage.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,16 +45,43 @@ def links(phrases: DataFrame, min_overlap: float = 0.5) -> DataFrame:
     return pairs.select("a", "b", link.alias("link")).where("link is not null")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(id, root): the least member of each node's component; ``edges`` has a and b."""
+#: Links up to this number are joined up by one task: some 10 MB. Mined phrases, whose number the settings bound, have fewer.
+LINKS_IN_TASK = 100_000
+
+
+def _joined_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    above: dict = {}
+
+    def top(x):
+        while above.setdefault(x, x) != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    for pdf in batches:
+        for a, b in zip(pdf["a"], pdf["b"], strict=True):
+            low, high = sorted((top(a), top(b)))
+            above[high] = low
+    yield pd.DataFrame({"id": list(above), "root": [top(x) for x in list(above)]})
+
+
+def components(edges: DataFrame, in_task: int = LINKS_IN_TASK) -> DataFrame:
+    """(id, root): the least member of each node's component; ``edges`` has a and b.
+
+    Up to ``in_task`` links go to one task; more go through rounds, with the same result.
+    """
+    if edges.count() <= in_task:
+        kind = edges.schema["a"].dataType.simpleString()
+        return edges.select("a", "b").coalesce(1).mapInPandas(_joined_up, f"id {kind}, root {kind}")
     both = cut(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = cut(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("root")), "labels")
+    held = labels
     while True:
         seen = both.join(labels.withColumnsRenamed({"id": "b", "root": "r"}), "b").groupBy(F.col("a").alias("id")).agg(F.min("r").alias("r"))
         # A root's own root is followed too, which halves long chains.
         far = labels.select(F.col("id").alias("via"), F.col("root").alias("rr"))
         moved = labels.join(seen, "id").withColumn("best", F.least("root", "r")).join(far, F.col("best") == F.col("via"), "left")
-        new = cut(moved.select("id", F.least("best", F.coalesce("rr", F.col("best"))).alias("root"), (F.least("best", F.coalesce("rr", F.col("best"))) != F.col("root")).alias("changed")), "labels")
+        new = cut(moved.select("id", F.least("best", F.coalesce("rr", F.col("best"))).alias("root"), (F.least("best", F.coalesce("rr", F.col("best"))) != F.col("root")).alias("changed")), "labels", replaces=held)
+        held = new
         labels = new.select("id", "root")
         if not new.where("changed").limit(1).count():
             return labels

@@ -11,11 +11,13 @@ a class without undecided or kept earlier neighbours is kept, later neighbours o
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from murmurlake.functions import text as tx
-from murmurlake.operators.ranking import bucketed_prefix
+from murmurlake.operators.ranking import bucketed_prefix, join_sized
 from murmurlake.session import cut
 
 #: So many of the most frequent pairs are ranked by frequency; the rest come before them, by hash.
@@ -42,11 +44,15 @@ def limit_copies(blocks: DataFrame, bucket: Column, order: list[str], keep: int)
 
 
 def text_classes(blocks: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, rep, t): each block's class, named by its first block; t is the text without white space."""
+    """(key, rep, t): each block's class, named by its first block; t is the text without white space.
+
+    A text that many blocks have, the empty one say, is joined by broadcast, not in one task.
+    """
     t = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"(?U)[\s\x1C-\x1F]+", "")
     base = blocks.select(F.col(key).alias("key"), t.alias("t")).withColumn("sha", F.sha2("t", 256))
-    reps = base.groupBy("sha").agg(F.min("key").alias("rep"))
-    return base.join(reps, "sha").select("key", "rep", "t")
+    reps = cut(base.groupBy("sha").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("n")), "reps")
+    total = reps.agg(F.sum("n")).first()[0] or 0
+    return join_sized(base, reps, ["sha"], "n", total).select("key", "rep", "t")
 
 
 def similar_pairs(classes: DataFrame, threshold: float) -> DataFrame:
@@ -65,10 +71,13 @@ def similar_pairs(classes: DataFrame, threshold: float) -> DataFrame:
     tokens = sets.select("id", size.alias("size"), k.cast("int").alias("k"), (size - least + k).cast("int").alias("prefix"), F.explode("g").alias("w")).join(ranks, "w", "left")
     ordered = tokens.groupBy("id", "size", "k", "prefix").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.xxhash64("w").alias("h")))).alias("ws"))
     index = ordered.select("id", "size", "k", F.explode(F.slice("ws", F.lit(1), F.col("prefix"))).alias("x")).select("id", "size", "k", F.col("x.h").alias("w"))
-    left = index.select("w", F.col("id").alias("a"), F.col("size").alias("sa"), F.col("k").alias("ka"))
-    right = index.select("w", F.col("id").alias("b"), F.col("size").alias("sb"), F.col("k").alias("kb"))
-    fits = (F.col("a") < F.col("b")) & (F.least("sa", "sb") >= F.lit(threshold) * F.greatest("sa", "sb") - 1e-9)
-    met = left.join(right, "w").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(F.least("ka", "kb")).alias("k"))
+    # Of a pair a is the smaller set. Sizes differ by less than 1 / threshold, so their classes are
+    # the same or next to each other: an element that very many sets have is split by size as well.
+    step = F.floor(F.log(F.col("size")) / F.lit(-math.log(threshold))).cast("int") if threshold < 1 else F.col("size")
+    left = index.select("w", F.explode(F.array(step, step + 1)).alias("c"), F.col("id").alias("a"), F.col("size").alias("sa"), F.col("k").alias("ka"))
+    right = index.select("w", step.alias("c"), F.col("id").alias("b"), F.col("size").alias("sb"), F.col("k").alias("kb"))
+    fits = ((F.col("sa") < F.col("sb")) | ((F.col("sa") == F.col("sb")) & (F.col("a") < F.col("b")))) & (F.col("sa") >= F.lit(threshold) * F.col("sb") - 1e-9)
+    met = left.join(right, ["w", "c"]).where(fits).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(F.least("ka", "kb")).alias("k"))
     pairs = met.where(F.col("n") >= F.col("k")).select("a", "b")
     full = pairs.join(sets.withColumnsRenamed({"id": "a", "g": "ga"}), "a").join(sets.withColumnsRenamed({"id": "b", "g": "gb"}), "b")
     return full.select("a", "b", tx.jaccard(F.col("ga"), F.col("gb")).alias("similarity")).where(F.col("similarity") >= threshold)
@@ -89,7 +98,7 @@ def greedy_keep(pairs: DataFrame) -> DataFrame:
         )
         joined = nodes.join(state, "id", "left")
         hit, waits = F.coalesce("hit", F.lit(False)), F.coalesce("waits", F.lit(False))
-        nodes = cut(joined.select("id", F.coalesce("kept", F.when(hit, F.lit(False)).when(~waits, F.lit(True))).alias("kept")), "nodes")
+        nodes = cut(joined.select("id", F.coalesce("kept", F.when(hit, F.lit(False)).when(~waits, F.lit(True))).alias("kept")), "nodes", replaces=nodes)
         if not nodes.where("kept is null").limit(1).count():
             break
     kept = nodes.where("kept").select(F.col("id").alias("a"))

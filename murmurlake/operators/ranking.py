@@ -51,6 +51,20 @@ def bucketed_prefix(
     return out.select(*df.columns, rank, *names[: len(values)])
 
 
+#: Keys with at least this part of all rows are joined by broadcast: there can be no more than as many.
+HOT_PARTS = 1000
+
+
+def join_sized(many: DataFrame, few: DataFrame, on: list[str], size: str, total: int) -> DataFrame:
+    """``many`` joined to ``few``, whose keys are unique and tell by ``size`` how many rows of ``many`` have them.
+
+    Keys with a large part of the ``total`` rows are broadcast; they are at most ``HOT_PARTS``,
+    since their sizes add up to the total. No other key can fill a task.
+    """
+    hot = F.col(size) * HOT_PARTS >= F.lit(max(total, 1))
+    return many.join(F.broadcast(few.where(hot)), on).unionByName(many.join(few.where(~hot), on))
+
+
 #: Rows of one key that a bucket shall hold at most, on average.
 ROWS_IN_BUCKET = 500_000
 

@@ -471,6 +471,7 @@ ORACLES: dict[str, str] = {
     "exact_dedup_keep2": f"""WITH {DOCS}, k AS (SELECT doc_id, row_number() OVER (PARTITION BY t ORDER BY doc_id) AS k FROM doc)
         SELECT doc_id, 'exact_duplicate:kept_2_already' AS reasons FROM k WHERE k > 2""",
     "near_dup_pairs": f"WITH {_CLASSES} SELECT a, b, round(similarity, 6) AS similarity FROM pr",
+    "near_dup_classes": "SELECT doc_id, min(doc_id) OVER (PARTITION BY regexp_replace(coalesce(text, ''), '[\\s\\p{Z}\\x1c-\\x1f]+', '', 'g')) AS class_id FROM documents",
     "near_dup_greedy": f"""WITH RECURSIVE {_CLASSES},
         nd AS (SELECT id, row_number() OVER (ORDER BY id) AS i, (SELECT list(a) FROM pr WHERE b = id) AS nb FROM (SELECT a AS id FROM pr UNION SELECT b FROM pr)),
         go AS (SELECT CAST(0 AS BIGINT) AS i, [] :: BIGINT[] AS kept UNION ALL

@@ -63,6 +63,7 @@ def test_clusters_join_only_linked_phrases(spark):
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(f"n{i:02}", f"n{i + 1:02}") for i in range(20)] + [("x", "y")], "a string, b string")
     roots = {r["id"]: r["root"] for r in cl.components(edges).collect()}
+    assert roots == {r["id"]: r["root"] for r in cl.components(edges, in_task=0).collect()}
     assert set(roots.values()) == {"n00", "x"} and roots["n20"] == "n00"
 
 
