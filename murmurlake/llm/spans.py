@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from murmurlake.operators.ranking import join_sized
 from murmurlake.session import cut
 
 LENGTH = 60
@@ -34,8 +35,6 @@ LENGTH = 60
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 #: Members of a block; a set of more is split into blocks, and pairs are made block by block.
 BLOCK = 1000
-#: Keys with at least this part of all rows are joined by broadcast: there can be no more than as many.
-HOT_PARTS = 1000
 #: Tables of at most this many 64-bit numbers, counted before, are joined by broadcast; larger ones by exchange.
 BROADCAST_NUMBERS = 1_000_000
 
@@ -250,17 +249,6 @@ def extended_windows(texts: DataFrame, anchors: DataFrame, length: int, period:
     return rows.mapInArrow(work, "w1 long, w2 long, ref long, pos int, new boolean")
 
 
-def _join_skewed(many: DataFrame, few: DataFrame, on: list[str], size: str, total: int, how: str = "inner") -> DataFrame:
-    """``many`` joined to ``few``, whose keys are unique and tell by ``size`` how many rows of ``many`` have them.
-
-    Keys with a large part of all rows are broadcast; they are at most ``HOT_PARTS``, since
-    their sizes add up to the total. No other key can fill a task.
-    """
-    hot = F.col(size) * HOT_PARTS >= F.lit(max(total, 1))
-    big = many.join(F.broadcast(few.where(hot)), on)
-    return big.unionByName(many.join(few.where(~hot), on))
-
-
 def text_classes(docs: DataFrame, key: str, text: str, length: int) -> DataFrame:
     """(key, ref, rep, copies) of the records long enough: rep is the least key of the class of equal texts.
 
@@ -275,7 +263,7 @@ def text_classes(docs: DataFrame, key: str, text: str, length: int) -> DataFrame
         groups = groups.withColumn("ref", F.monotonically_increasing_id())
     groups = cut(groups, "text-classes")
     total = groups.agg(F.sum("copies")).first()[0] or 0
-    return cut(_join_skewed(digests, groups, ["digest"], "copies", total).select("key", "ref", "rep", "copies"), "members")
+    return cut(join_sized(digests, groups, ["digest"], "copies", total).select("key", "ref", "rep", "copies"), "members")
 
 
 class SharedSpans:
@@ -309,7 +297,7 @@ class SharedSpans:
 
     def _at_shared(self, few: DataFrame) -> DataFrame:
         total = self.windows.count()
-        return _join_skewed(self.windows, few, ["w1", "w2"], "places", total)
+        return join_sized(self.windows, few, ["w1", "w2"], "places", total)
 
     def coverage(self) -> DataFrame:
         """(ref, shared_chars): characters of a text that lie in runs which another text has."""
