@@ -12,7 +12,10 @@ a class without undecided or kept earlier neighbours is kept, later neighbours o
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,7 @@ RANKED_PAIRS = 20_000
 #: k: elements that candidates must have in common within their prefixes. More of them mean
 #: longer prefixes, but far fewer pairs to verify.
 IN_COMMON = 8
+_PAIRS_AT_ONCE = 2_000_000
 
 
 def limit_copies(blocks: DataFrame, bucket: Column, order: list[str], keep: int) -> DataFrame:
@@ -55,32 +59,85 @@ def text_classes(blocks: DataFrame, key: str, text: str) -> DataFrame:
     return join_sized(base, reps, ["sha"], "n", total).select("key", "rep", "t")
 
 
+def pair_codes(text: str) -> np.ndarray:
+    """The distinct character pairs of a text, each as one number, in order."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return np.unique((c[:-1] << 32) | c[1:]) if len(c) > 1 else np.empty(0, np.int64)
+
+
+def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums up the pairs of many texts before they are shuffled."""
+    held: list[np.ndarray] = []
+    size = 0
+
+    def summed() -> pa.RecordBatch:
+        w, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(w), pa.array(n, pa.int64())], names=["w", "n"])
+
+    for batch in batches:
+        for t in batch.column(0):
+            held.append(pair_codes(t.as_py()))
+            size += len(held[-1])
+            if size >= _PAIRS_AT_ONCE:
+                yield summed()
+                held, size = [], 0
+    if held:
+        yield summed()
+
+
+def _prefixes(texts: DataFrame, ranked: list, threshold: float) -> DataFrame:
+    """(w, id, size): each text's rarest pairs, as many as candidates have to look at; size is that of its whole set."""
+    known = np.array([r["w"] for r in ranked], np.int64)
+    order = np.argsort(known)
+    known, often = known[order], np.array([r["n"] for r in ranked], np.int64)[order]
+    kind = texts.schema["rep"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ws, rows, sizes = [], [], []
+            for i, t in enumerate(batch.column(1)):
+                w = pair_codes(t.as_py())
+                n = len(w)
+                if not n:
+                    continue
+                at = np.searchsorted(known, w)
+                there = at < len(known)
+                there[there] = known[at[there]] == w[there]
+                count = np.zeros(n, np.int64)
+                count[there] = often[at[there]]
+                least = math.ceil(threshold * n - 1e-9)
+                first = np.lexsort((w * np.int64(-7046029254386353131), count))[: n - least + min(IN_COMMON, least)]
+                ws.append(w[first])
+                rows.append(np.full(len(first), i))
+                sizes.append(np.full(len(first), n, np.int32))
+            if ws:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(ws)), batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(sizes))], names=["w", "id", "size"]
+                )
+
+    return texts.select("rep", "t").mapInArrow(work, f"w long, id {kind}, size int")
+
+
 def similar_pairs(classes: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity): pairs of class representatives, a < b, with at least the threshold.
 
     ``classes`` holds one row per representative: rep and t. Texts below two
-    characters have no pairs.
+    characters have no pairs. An element that very many texts have in their prefixes is
+    split by the join's own handling of skew.
     """
-    sets = cut(classes.select(F.col("rep").alias("id"), tx.bigrams(F.col("t")).alias("g")).where(F.size("g") > 0), "bigrams")
-    frequent = sets.select(F.explode("g").alias("w")).groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(RANKED_PAIRS)
-    # At most RANKED_PAIRS rows, whatever the data.
-    ranks = F.broadcast(frequent)
-    size = F.size("g")
-    least = F.ceil(F.lit(threshold) * size - 1e-9)  # the overlap that a pair needs at least
-    k = F.least(F.lit(IN_COMMON), least)
-    tokens = sets.select("id", size.alias("size"), k.cast("int").alias("k"), (size - least + k).cast("int").alias("prefix"), F.explode("g").alias("w")).join(ranks, "w", "left")
-    ordered = tokens.groupBy("id", "size", "k", "prefix").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.xxhash64("w").alias("h")))).alias("ws"))
-    index = ordered.select("id", "size", "k", F.explode(F.slice("ws", F.lit(1), F.col("prefix"))).alias("x")).select("id", "size", "k", F.col("x.h").alias("w"))
-    # Of a pair a is the smaller set. Sizes differ by less than 1 / threshold, so their classes are
-    # the same or next to each other: an element that very many sets have is split by size as well.
-    step = F.floor(F.log(F.col("size")) / F.lit(-math.log(threshold))).cast("int") if threshold < 1 else F.col("size")
-    left = index.select("w", F.explode(F.array(step, step + 1)).alias("c"), F.col("id").alias("a"), F.col("size").alias("sa"), F.col("k").alias("ka"))
-    right = index.select("w", step.alias("c"), F.col("id").alias("b"), F.col("size").alias("sb"), F.col("k").alias("kb"))
-    fits = ((F.col("sa") < F.col("sb")) | ((F.col("sa") == F.col("sb")) & (F.col("a") < F.col("b")))) & (F.col("sa") >= F.lit(threshold) * F.col("sb") - 1e-9)
-    met = left.join(right, ["w", "c"]).where(fits).groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min(F.least("ka", "kb")).alias("k"))
+    texts = classes.select("rep", "t").where(F.length("t") > 1)
+    counted = texts.select("t").mapInArrow(_pair_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    ranked = counted.orderBy(F.desc("n"), "w").limit(RANKED_PAIRS).collect()  # at most RANKED_PAIRS rows, whatever the data
+    index = _prefixes(texts, ranked, threshold)
+    left = index.select("w", F.col("id").alias("a"), F.col("size").alias("sa"))
+    right = index.select("w", F.col("id").alias("b"), F.col("size").alias("sb"))
+    fits = (F.col("a") < F.col("b")) & (F.least("sa", "sb") >= F.lit(threshold) * F.greatest("sa", "sb") - 1e-9)
+    k = F.least(F.lit(IN_COMMON), F.ceil(F.lit(threshold) * F.least("sa", "sb") - 1e-9))
+    met = left.join(right, "w").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(k).alias("k"))
     pairs = met.where(F.col("n") >= F.col("k")).select("a", "b")
-    full = pairs.join(sets.withColumnsRenamed({"id": "a", "g": "ga"}), "a").join(sets.withColumnsRenamed({"id": "b", "g": "gb"}), "b")
-    return full.select("a", "b", tx.jaccard(F.col("ga"), F.col("gb")).alias("similarity")).where(F.col("similarity") >= threshold)
+    full = pairs.join(texts.withColumnsRenamed({"rep": "a", "t": "ta"}), "a").join(texts.withColumnsRenamed({"rep": "b", "t": "tb"}), "b")
+    similarity = tx.jaccard(tx.bigrams(F.col("ta")), tx.bigrams(F.col("tb")))
+    return full.select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
 def greedy_keep(pairs: DataFrame) -> DataFrame:
