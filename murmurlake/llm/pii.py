@@ -78,7 +78,7 @@ _NAME_CONTEXT = re.compile(
     re.I,
 )
 # What may follow a name: the end of a run of characters, or verbs, particles and words of time.
-_NAME_AFTER = re.compile(f"^(?:[^{_H}]|$|[说问讲答喊请叫托来去走到回打发写做住家是的了吧呢吗啊在把被也都就还又才要会能想让给和跟与同对从将已刚正昨今明前后没不有一两])")
+_NAME_AFTER = re.compile(f"^(?:[^{_H}]|$|[说问讲答喊请叫托来去走到回打发写做住家是的了吧呢吗啊在把被也都就还又才要会能想让给和跟与同对从将已刚正昨今明前后上下每没不有一两])")
 _SPEAKS = re.compile("^(?:[说问讲答喊叫托]|让我|请我)")
 _NAME_EN = re.compile(r"(?<![A-Za-z])[A-Z][a-z]{1,15} (?:[A-Z]\. )?[A-Z][a-z]{1,15}(?:-[A-Z][a-z]+)?(?![A-Za-z])")
 _NAME_ZH = re.compile(f"(?:{'|'.join(_FAMILY2)}|[{_FAMILY1}])[{_H}]{{1,2}}")
