@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from murmurlake.functions.jsons import document
 from murmurlake.functions.time import usable_millis
-from murmurlake.operators.ranking import bucketed_prefix
+from murmurlake.operators.ranking import HOT_PARTS, bucketed_prefix
 from murmurlake.session import cut
 from murmurlake.sources.messages import ID_FIELDS, NAME_FIELDS, SEQ_FIELDS, TEXT_FIELDS, TIME_FIELDS
 
@@ -415,17 +415,44 @@ def _renamed_below(v: Column, parent: str, names: Column, level: str) -> Column:
     return F.when(changed, F.parse_json(F.to_json(F.when(changed, put)))).otherwise(v)
 
 
-def _with_names(rows: DataFrame, names: DataFrame, records: DataFrame, file: str, chat: str, payload: str) -> DataFrame:
-    """Adds ``__names``, map of level.key → name: one row for all records, or by file where there are too many names."""
-    entry = F.struct(F.concat_ws(".", "level", "key").alias("key"), F.col("name").alias("value"))
-    count = names.count()
-    if count <= NAMES_IN_ROW:
-        return rows.crossJoin(F.broadcast(names.agg(F.map_from_entries(F.collect_list(entry)).alias("__names"))))
-    held = profiles(records, file, chat, payload).select("chat", "file", F.explode("fields").alias("f")).select("chat", "file", "f.level", "f.key").distinct()
-    per_file = held.join(names, ["level", "key"]).groupBy("chat", "file").agg(F.map_from_entries(F.collect_list(entry)).alias("__names"))
-    per_file = per_file.withColumnsRenamed({"chat": "__chat", "file": "__file"})
-    joined = rows.join(per_file, F.col(chat).eqNullSafe(F.col("__chat")) & F.col(file).eqNullSafe(F.col("__file")), "left")
-    return joined.withColumn("__names", F.coalesce("__names", F.create_map().cast("map<string,string>"))).drop("__chat", "__file")
+def _own_names(v: Column) -> Column:
+    """The level.key that the variant's names are looked up by, sorted: its keys, and its objects' under each parent they may stand for."""
+    parts = F.try_variant_get(v, "$", "map<string,variant>")
+    top = F.transform(F.map_keys(parts), lambda k: F.concat(F.lit("."), k))
+    below = F.flatten(F.filter(F.transform(F.map_values(parts), lambda x: F.map_keys(F.try_variant_get(x, "$", "map<string,variant>"))), lambda k: k.isNotNull()))
+    under = lambda p: F.transform(below, lambda k: F.concat(F.lit(f"{p}."), k))
+    every = F.concat(top, *map(under, PARENTS))
+    return F.coalesce(F.array_sort(F.array_distinct(every)), F.array().cast("array<string>"))
+
+
+def _looked_up(many: DataFrame, few: DataFrame, on: str, size: str) -> DataFrame:
+    """``many`` joined to ``few``, which has every key of it once and by ``size`` how often; rows of frequent keys aren't shuffled."""
+    total = few.agg(F.sum(size)).first()[0] or 0
+    hot = F.col(size) * HOT_PARTS >= F.lit(max(total, 1))
+    frequent = many.join(F.broadcast(few.where(hot).drop(size)), on)
+    rest = many.join(F.broadcast(few.where(hot).select(on)), on, "left_anti")
+    return frequent.unionByName(rest.join(few.where(~hot).drop(size), on))
+
+
+def _with_names(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Adds ``__names``, map of level.key → name: one row for all records, or, where there are too many names, those of a record's own keys.
+
+    Renaming looks up nothing but a record's own keys, so both give the same results. The
+    latter are looked up once for all records of the same keys.
+    """
+    entry = F.struct(F.col("__key").alias("key"), F.col("name").alias("value"))
+    keyed = names.select(F.concat_ws(".", "level", "key").alias("__key"), "name")
+    if names.count() <= NAMES_IN_ROW:
+        return rows.crossJoin(F.broadcast(keyed.agg(F.map_from_entries(F.collect_list(entry)).alias("__names"))))
+    rows = rows.withColumn("__own", _own_names(F.col("__v")))
+    layouts = cut(rows.groupBy("__own").agg(F.count(F.lit(1)).alias("__size")), "layouts")
+    held = layouts.select("__own", F.explode("__own").alias("__key"))
+    uses = cut(held.groupBy("__key").agg(F.count(F.lit(1)).alias("__uses")).join(keyed, "__key", "left"), "uses")
+    named = _looked_up(held, uses, "__key", "__uses").where(F.col("name").isNotNull())
+    maps = named.groupBy("__own").agg(F.map_from_entries(F.collect_list(entry)).alias("__names"))
+    empty = F.create_map().cast("map<string,string>")
+    maps = cut(layouts.join(maps, "__own", "left").withColumn("__names", F.coalesce("__names", empty)), "layout_names")
+    return _looked_up(rows, maps, "__own", "__size").drop("__own")
 
 
 def unify(records: DataFrame, keep: list[str], payload: str = "payload", names: DataFrame | None = None, file: str = "file_no", chat: str = "chat_id") -> DataFrame:
@@ -446,7 +473,7 @@ def unify(records: DataFrame, keep: list[str], payload: str = "payload", names:
     )
     v = v.withColumn("__v", F.when(F.col("__ok"), F.col("__v")))
     if names is not None and not names.isEmpty():
-        v = _with_names(v, names, records, file, chat, payload).withColumn("__v", _renamed(F.col("__v"), F.col("__names"), ""))
+        v = _with_names(v, names).withColumn("__v", _renamed(F.col("__v"), F.col("__names"), ""))
         for parent in PARENTS:
             for p in ALIASES[parent]:
                 v = v.withColumn("__v", _renamed_below(F.col("__v"), p, F.col("__names"), parent))

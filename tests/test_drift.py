@@ -149,3 +149,22 @@ def test_payloads_with_keys_of_their_own_make_no_long_rows(spark):
     lines = [json.dumps(dict(id=f"2000{i}", seq=str(i)) | {f"k{i}_{j}": j for j in range(30)}) for i in range(40)]
     out = drift.profiles(table(spark, {1: lines})).first()
     assert sorted(f["key"] for f in out["fields"]) == ["id", "seq"]
+
+
+def test_names_are_read_alike_however_many_there_are(spark, monkeypatch):
+    """Keys that few records of a file carry, objects whose own name is found, and records without a file or chat."""
+    names = spark.createDataFrame([("", "ordinal", "seq"), ("", "author", "sender"), ("sender", "title", "name"), ("content", "body", "text"), ("", "absent", "id")], "level string, key string, name string")
+    renamed = dict(id="1", ordinal="5", author={"title": "t", "rank": 2}, content={"body": "hello"})
+    lines = payloads(8, **BASE) + [json.dumps(renamed), json.dumps(dict(renamed, seq="6")), "{broken", "{}", "[1]"]
+    places = [(1, "c"), (None, "c"), (1, None)]
+    rows = [(i * 100 + j, f, c, p) for i, (f, c) in enumerate(places) for j, p in enumerate(lines)] + [(900, 1, "c", None)]
+    df = spark.createDataFrame(rows, "record_id int, file_no long, chat_id string, payload string")
+    got = []
+    for at_once in (drift.NAMES_IN_ROW, 0):
+        monkeypatch.setattr(drift, "NAMES_IN_ROW", at_once)
+        got.append(sorted((r.asDict() for r in drift.unify(df, ["record_id"], names=names).collect()), key=lambda r: r["record_id"]))
+    assert got[0] == got[1] and len(got[1]) == len(rows)
+    out = {r["record_id"]: r for r in got[1]}
+    for i in (8, 108, 208):
+        assert (out[i]["seq"], out[i]["sender_name"], out[i]["text"], out[i]["extras"]) == ("5", "t", "hello", {"sender.rank": "2"})
+        assert (out[i + 1]["seq"], out[i + 1]["extras"].get("ordinal")) == ("6", "5")
