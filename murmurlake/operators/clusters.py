@@ -61,7 +61,8 @@ def _joined_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for a, b in zip(pdf["a"], pdf["b"], strict=True):
             low, high = sorted((top(a), top(b)))
             above[high] = low
-    yield pd.DataFrame({"id": list(above), "root": [top(x) for x in list(above)]})
+    if above:  # an empty frame has no type that suits texts
+        yield pd.DataFrame({"id": list(above), "root": [top(x) for x in list(above)]})
 
 
 def components(edges: DataFrame, in_task: int = LINKS_IN_TASK) -> DataFrame:
