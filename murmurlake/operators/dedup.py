@@ -2,10 +2,10 @@
 
 Near-duplicates are pairs whose sets of character pairs have a Jaccard similarity of at least
 the threshold. Texts that are equal without white space form one class first, so copies
-don't multiply pairs. Candidates then come from an inverted index with prefix filtering: if
-two sets are that similar, their rarest elements – as many as the threshold allows to
-differ, and k more – have k in common; sizes must fit too. All pairs that can
-reach the threshold are verified, none is dropped. The greedy choice is a fixpoint over pairs:
+don't multiply pairs. Candidates then come from sketches: parities of the pairs by hash. Two
+sketches can't differ in more bits than the sets differ in pairs, and two sets of that
+similarity differ in few; sizes must fit too. Sketches of all texts of fitting sizes are compared, block
+by block, and whatever can reach the threshold is verified, nothing is dropped. The greedy choice is a fixpoint over pairs:
 a class without undecided or kept earlier neighbours is kept, later neighbours of kept ones go.
 """
 
@@ -16,19 +16,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmurlake.functions import text as tx
 from murmurlake.operators.ranking import bucketed_prefix, join_sized
 from murmurlake.session import cut
 
-#: So many of the most frequent pairs are ranked by frequency; the rest come before them, by hash.
-RANKED_PAIRS = 20_000
-#: k: elements that candidates must have in common within their prefixes. More of them mean
-#: longer prefixes, but far fewer pairs to verify.
-IN_COMMON = 8
-_PAIRS_AT_ONCE = 2_000_000
+#: A sketch has this many bits a pair at least, up to MOST_BITS. Fewer bits let more pairs through that are then compared in full.
+BITS_A_PAIR = 2
+MOST_BITS = 1 << 15
+#: Rows are compared by blocks. Each is sent to all that it may have similar sets with, so their number
+#: is bounded; only beyond MOST_IN_BLOCK rows or BYTES_IN_BLOCK, which a task has to hold twice, there are more.
+BLOCKS = 12
+LEAST_IN_BLOCK, MOST_IN_BLOCK, BYTES_IN_BLOCK = 2_048, 131_072, 32_000_000
+#: Texts to compare are picked by broadcast up to so many.
+BROADCAST_IDS = 1_000_000
+_CHARS_AT_ONCE = 1_000_000
+_TILE = 8, 4096
+#: The side of rows that are compared among themselves.
+ITSELF = 2
+_MOST_TASKS = 10_000
 
 
 def limit_copies(blocks: DataFrame, bucket: Column, order: list[str], keep: int) -> DataFrame:
@@ -59,85 +67,217 @@ def text_classes(blocks: DataFrame, key: str, text: str) -> DataFrame:
     return join_sized(base, reps, ["sha"], "n", total).select("key", "rep", "t")
 
 
-def pair_codes(text: str) -> np.ndarray:
-    """The distinct character pairs of a text, each as one number, in order."""
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    return np.unique((c[:-1] << 32) | c[1:]) if len(c) > 1 else np.empty(0, np.int64)
+def _mixed(codes: np.ndarray) -> np.ndarray:
+    """A hash of each code whose low bits depend on all of its bits."""
+    h = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h >> np.uint64(32)
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums up the pairs of many texts before they are shuffled."""
-    held: list[np.ndarray] = []
-    size = 0
+def pair_sets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, code): the distinct character pairs of each text, each pair as one number, in order of both."""
+    chars = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    rows = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    both = (rows[:-1] << 42) | (chars[:-1] << 21) | chars[1:]
+    both = np.sort(both[rows[:-1] == rows[1:]])
+    if len(both):
+        both = both[np.concatenate([[True], both[1:] != both[:-1]])]
+    return both >> 42, both & ((1 << 42) - 1)
 
-    def summed() -> pa.RecordBatch:
-        w, n = np.unique(np.concatenate(held), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(w), pa.array(n, pa.int64())], names=["w", "n"])
 
-    for batch in batches:
-        for t in batch.column(0):
-            held.append(pair_codes(t.as_py()))
-            size += len(held[-1])
-            if size >= _PAIRS_AT_ONCE:
-                yield summed()
-                held, size = [], 0
-    if held:
-        yield summed()
+def sketches_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(size, width, bytes) of each text's set: bit i of its sketch is the parity of the pairs with hash i.
 
-
-def _prefixes(texts: DataFrame, ranked: list, threshold: float) -> DataFrame:
-    """(w, id, size): each text's rarest pairs, as many as candidates have to look at; size is that of its whole set."""
-    known = np.array([r["w"] for r in ranked], np.int64)
-    order = np.argsort(known)
-    known, often = known[order], np.array([r["n"] for r in ranked], np.int64)[order]
+    Hashes are taken modulo the width, a power of two that grows with the set. Halves of a sketch that are
+    laid over each other by exclusive or make the sketch of half the width.
+    """
+    rows, codes = pair_sets(texts)
+    sizes = np.bincount(rows, minlength=len(texts))
+    width = np.clip(1 << np.ceil(np.log2(np.maximum(BITS_A_PAIR * sizes, 1))).astype(np.int64), 64, MOST_BITS)
+    start = np.cumsum(width) - width
+    at = start[rows] + (_mixed(codes).astype(np.int64) & (width[rows] - 1))
+    parity = np.bincount(at, minlength=int(width.sum())).astype(np.uint8) & 1
+    return sizes, width, np.packbits(parity, bitorder="little")
+
+
+def _jaccard(left: str, right: str) -> float:
+    a, b = pair_sets([left])[1], pair_sets([right])[1]
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / (len(a) + len(b) - common)
+
+
+def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts with about ``_CHARS_AT_ONCE`` characters each."""
+    first = held = 0
+    for i, t in enumerate(texts):
+        held += len(t)
+        if held >= _CHARS_AT_ONCE:
+            yield first, i + 1
+            first, held = i + 1, 0
+    if first < len(texts):
+        yield first, len(texts)
+
+
+def _sketches(texts: DataFrame) -> DataFrame:
+    """(id, size, sketch) of the texts that have a pair."""
     kind = texts.schema["rep"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ws, rows, sizes = [], [], []
-            for i, t in enumerate(batch.column(1)):
-                w = pair_codes(t.as_py())
-                n = len(w)
-                if not n:
-                    continue
-                at = np.searchsorted(known, w)
-                there = at < len(known)
-                there[there] = known[at[there]] == w[there]
-                count = np.zeros(n, np.int64)
-                count[there] = often[at[there]]
-                least = math.ceil(threshold * n - 1e-9)
-                first = np.lexsort((w * np.int64(-7046029254386353131), count))[: n - least + min(IN_COMMON, least)]
-                ws.append(w[first])
-                rows.append(np.full(len(first), i))
-                sizes.append(np.full(len(first), n, np.int32))
-            if ws:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(ws)), batch.column(0).take(pa.array(np.concatenate(rows))), pa.array(np.concatenate(sizes))], names=["w", "id", "size"]
-                )
-
-    return texts.select("rep", "t").mapInArrow(work, f"w long, id {kind}, size int")
+            held = batch.column(1).to_pylist()
+            for first, end in _chunks(held):
+                sizes, width, sketch = sketches_of(held[first:end])
+                offsets = np.concatenate([[0], np.cumsum(width // 8)]).astype(np.int32)
+                binary = pa.Array.from_buffers(pa.binary(), end - first, [None, pa.py_buffer(offsets), pa.py_buffer(sketch)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), pa.array(sizes, pa.int32()), binary], names=["id", "size", "sketch"])
+
+    return texts.select("rep", "t").mapInArrow(work, f"id {kind}, size int, sketch binary")
+
+
+def _plan(classes: list, threshold: float) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(blocks, meetings): blocks are (class, number of the first block, how many); meetings are (block, group, side).
+
+    ``classes`` has a row a class of sizes: its name, rows, bytes of sketches, least and greatest size. Classes
+    that hold little share a block, others are split by hash. A group is what two blocks that may have similar
+    sets make together; a block meets itself on one side.
+    """
+    rows = min(max(sum(c["n"] for c in classes) // BLOCKS, LEAST_IN_BLOCK), MOST_IN_BLOCK)
+    blocks, spans, held = [], [], 0.0
+    for c in sorted(classes, key=lambda c: c["low"]):
+        share = max(c["n"] / rows, c["bytes"] / BYTES_IN_BLOCK)
+        if share > 1 or held + share > 1 or not spans:
+            parts = max(1, math.ceil(share))
+            blocks.append((c["class"], len(spans), parts))
+            spans += [(c["low"], c["high"])] * parts
+            held = 1.0 if parts > 1 else share
+        else:
+            blocks.append((c["class"], len(spans) - 1, 1))
+            spans[-1] = (spans[-1][0], c["high"])
+            held += share
+    meetings, group = [], 0
+    for i, (_, high) in enumerate(spans):
+        for j in range(i, len(spans)):
+            if spans[j][0] * threshold <= high + 1e-9:
+                meetings += [(i, group, ITSELF)] if i == j else [(i, group, 0), (j, group, 1)]
+                group += 1
+    return blocks, meetings
+
+
+class _Side:
+    """The sketches of one side of a group by width, each ordered by size, as words by rows."""
+
+    def __init__(self, sizes: np.ndarray, sketches: pa.Array):
+        self.parts = []
+        width = pc.binary_length(sketches).to_numpy()
+        for w in np.unique(width):
+            at = np.flatnonzero(width == w)
+            at = at[np.argsort(sizes[at], kind="stable")]
+            words = np.frombuffer(sketches.take(pa.array(at)).buffers()[2], np.uint64, len(at) * int(w) // 8)
+            self.parts.append((at, sizes[at], np.ascontiguousarray(words.reshape(len(at), -1).T)))
+
+
+def _folded(words: np.ndarray, n: int) -> np.ndarray:
+    while len(words) > n:
+        words = words[: len(words) // 2] ^ words[len(words) // 2 :]
+    return words
+
+
+def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bits each column of x differs from each of y."""
+    bits = np.zeros((x.shape[1], y.shape[1]), np.uint16)
+    for a, b in zip(x, y):
+        bits += np.bitwise_count(a[:, None] ^ b)
+    return bits
+
+
+def _close(left: _Side, right: _Side, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of both sides whose sketches differ in no more bits than sets of that similarity may differ in pairs.
+
+    Sketches of half the width come first; where these rule out most, the others are looked at one by one.
+    """
+    part = (1 - threshold) / (1 + threshold)
+    found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for p, (at, sizes, words) in enumerate(left.parts):
+        for q, (bt, others, more) in enumerate(right.parts):
+            if same and q < p:
+                continue
+            n = min(len(words), len(more))
+            x, y, reach = _folded(words, n), _folded(more, n), others * threshold
+            fx, fy = _folded(x, max(n // 2, 1)), _folded(y, max(n // 2, 1))
+            for i in range(0, len(at), _TILE[0]):
+                s = sizes[i : i + _TILE[0]]
+                first = int(np.searchsorted(others, s[0] * threshold - 1e-9))
+                first = max(first, i + 1) if same and p == q else first
+                end = int(np.searchsorted(reach, s[-1] + 1e-9, side="right"))
+                for j in range(first, end, _TILE[1]):
+                    o = others[j : min(j + _TILE[1], end)]
+                    own, their = slice(i, i + len(s)), slice(j, j + len(o))
+                    most = np.minimum(part * (s[-1] + o) + 1e-6, MOST_BITS).astype(np.uint16)
+                    near = _differing(fx[:, own], fy[:, their]) <= most
+                    if np.count_nonzero(near) * 16 > near.size:
+                        near = _differing(x[:, own], y[:, their]) <= most
+                    a, b = np.divmod(np.flatnonzero(near), len(o))
+                    if not len(a):
+                        continue
+                    sa, sb = s[a], o[b]
+                    bits = np.bitwise_count(x[:, a + i] ^ y[:, b + j]).sum(axis=0, dtype=np.int64)
+                    ok = (bits <= part * (sa + sb) + 1e-6) & (np.minimum(sa, sb) >= threshold * np.maximum(sa, sb) - 1e-9)
+                    if same and p == q:
+                        ok &= b + j > a + i
+                    found.append((at[a[ok] + i], bt[b[ok] + j]))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
+def _candidates(sketches: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): the pairs that similar sets' sketches don't rule out, each once, a < b."""
+    spark = sketches.sparkSession
+    named = sketches.withColumn("class", F.floor(F.log2("size") * 16).cast("int"))
+    classes = named.groupBy("class").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("sketch")).alias("bytes"), F.min("size").alias("low"), F.max("size").alias("high")).collect()
+    blocks, meetings = _plan(classes, threshold)
+    kind = sketches.schema["id"].dataType.simpleString()
+    if not blocks:
+        return spark.createDataFrame([], f"a {kind}, b {kind}")
+    first = spark.createDataFrame(blocks, "class int, first int, parts int")
+    meets = spark.createDataFrame(meetings, "block int, group int, side int")
+    block = (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int")
+    rows = named.join(F.broadcast(first), "class").withColumn("block", block).join(F.broadcast(meets), "block").select("group", "side", "id", "size", "sketch")
+    groups = max(g for _, g, _ in meetings) + 1
+
+    def work(table: pa.Table) -> pa.Table:
+        side, sizes = table.column("side").to_numpy(), table.column("size").to_numpy().astype(np.int64)
+        ids, sketch = table.column("id").combine_chunks(), table.column("sketch").combine_chunks().cast(pa.binary())
+        same = side[0] == ITSELF
+        rows = [np.flatnonzero(side == k) for k in ((ITSELF, ITSELF) if same else (0, 1))]
+        left = _Side(sizes[rows[0]], sketch.take(pa.array(rows[0])))
+        right = left if same else _Side(sizes[rows[1]], sketch.take(pa.array(rows[1])))
+        a, b = _close(left, right, same, threshold)
+        return pa.Table.from_arrays([ids.take(pa.array(rows[0][a])), ids.take(pa.array(rows[1][b]))], names=["x", "y"])
+
+    pairs = rows.repartition(min(groups, _MOST_TASKS), "group").groupBy("group").applyInArrow(work, f"x {kind}, y {kind}")
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
 def similar_pairs(classes: DataFrame, threshold: float) -> DataFrame:
     """(a, b, similarity): pairs of class representatives, a < b, with at least the threshold.
 
     ``classes`` holds one row per representative: rep and t. Texts below two
-    characters have no pairs. An element that very many texts have in their prefixes is
-    split by the join's own handling of skew.
+    characters have no pairs.
     """
     texts = classes.select("rep", "t").where(F.length("t") > 1)
-    counted = texts.select("t").mapInArrow(_pair_counts, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
-    ranked = counted.orderBy(F.desc("n"), "w").limit(RANKED_PAIRS).collect()  # at most RANKED_PAIRS rows, whatever the data
-    index = _prefixes(texts, ranked, threshold)
-    left = index.select("w", F.col("id").alias("a"), F.col("size").alias("sa"))
-    right = index.select("w", F.col("id").alias("b"), F.col("size").alias("sb"))
-    fits = (F.col("a") < F.col("b")) & (F.least("sa", "sb") >= F.lit(threshold) * F.greatest("sa", "sb") - 1e-9)
-    k = F.least(F.lit(IN_COMMON), F.ceil(F.lit(threshold) * F.least("sa", "sb") - 1e-9))
-    met = left.join(right, "w").where(fits).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min(k).alias("k"))
-    pairs = met.where(F.col("n") >= F.col("k")).select("a", "b")
+    pairs = cut(_candidates(cut(_sketches(texts), "sketches"), threshold), "candidates")
+    few = cut(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "compared")
+    texts = texts.join(F.broadcast(few) if few.count() <= BROADCAST_IDS else few, "rep", "left_semi")
     full = pairs.join(texts.withColumnsRenamed({"rep": "a", "t": "ta"}), "a").join(texts.withColumnsRenamed({"rep": "b", "t": "tb"}), "b")
-    similarity = tx.jaccard(tx.bigrams(F.col("ta")), tx.bigrams(F.col("tb")))
-    return full.select("a", "b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
+    kind = texts.schema["rep"].dataType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ta, tb = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            similarity = pa.array([_jaccard(x, y) for x, y in zip(ta, tb)], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), similarity], names=["a", "b", "similarity"])
+
+    return full.select("a", "b", "ta", "tb").mapInArrow(work, f"a {kind}, b {kind}, similarity double").where(F.col("similarity") >= threshold)
 
 
 def greedy_keep(pairs: DataFrame) -> DataFrame:
