@@ -34,6 +34,7 @@ LEAST_IN_BLOCK, MOST_IN_BLOCK, BYTES_IN_BLOCK = 2_048, 131_072, 32_000_000
 BROADCAST_IDS = 1_000_000
 _CHARS_AT_ONCE = 1_000_000
 _TILE = 8, 4096
+_FOUND_AT_ONCE = 500_000
 #: The side of rows that are compared among themselves.
 ITSELF = 2
 _MOST_TASKS = 10_000
@@ -191,13 +192,15 @@ def _differing(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return bits
 
 
-def _close(left: _Side, right: _Side, same: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+def _close(left: _Side, right: _Side, same: bool, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows of both sides whose sketches differ in no more bits than sets of that similarity may differ in pairs.
 
     Sketches of half the width come first; where these rule out most, the others are looked at one by one.
+    Where very many texts are alike their pairs come by ``_FOUND_AT_ONCE``, so that they need not be held at once.
     """
     part = (1 - threshold) / (1 + threshold)
-    found: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
     for p, (at, sizes, words) in enumerate(left.parts):
         for q, (bt, others, more) in enumerate(right.parts):
             if same and q < p:
@@ -226,7 +229,12 @@ def _close(left: _Side, right: _Side, same: bool, threshold: float) -> tuple[np.
                     if same and p == q:
                         ok &= b + j > a + i
                     found.append((at[a[ok] + i], bt[b[ok] + j]))
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+                    held += len(found[-1][0])
+                    if held >= _FOUND_AT_ONCE:
+                        yield np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+                        found, held = [], 0
+    if held:
+        yield np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
 
 def _candidates(sketches: DataFrame, threshold: float) -> DataFrame:
@@ -244,15 +252,17 @@ def _candidates(sketches: DataFrame, threshold: float) -> DataFrame:
     rows = named.join(F.broadcast(first), "class").withColumn("block", block).join(F.broadcast(meets), "block").select("group", "side", "id", "size", "sketch")
     groups = max(g for _, g, _ in meetings) + 1
 
-    def work(table: pa.Table) -> pa.Table:
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
         side, sizes = table.column("side").to_numpy(), table.column("size").to_numpy().astype(np.int64)
         ids, sketch = table.column("id").combine_chunks(), table.column("sketch").combine_chunks().cast(pa.binary())
         same = side[0] == ITSELF
         rows = [np.flatnonzero(side == k) for k in ((ITSELF, ITSELF) if same else (0, 1))]
         left = _Side(sizes[rows[0]], sketch.take(pa.array(rows[0])))
         right = left if same else _Side(sizes[rows[1]], sketch.take(pa.array(rows[1])))
-        a, b = _close(left, right, same, threshold)
-        return pa.Table.from_arrays([ids.take(pa.array(rows[0][a])), ids.take(pa.array(rows[1][b]))], names=["x", "y"])
+        del table, sketch
+        for a, b in _close(left, right, same, threshold):
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows[0][a])), ids.take(pa.array(rows[1][b]))], names=["x", "y"])
 
     pairs = rows.repartition(min(groups, _MOST_TASKS), "group").groupBy("group").applyInArrow(work, f"x {kind}, y {kind}")
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))

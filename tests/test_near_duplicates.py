@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from murmurlake.operators import dedup
 
@@ -46,3 +47,21 @@ def test_blocks_meet_where_sizes_fit(monkeypatch):
     met = {tuple(b for b, _ in sorted(m, key=lambda x: x[1])) for m in groups.values()}
     assert met == {(0,), (0, 1), (0, 2), (0, 3), (1,), (1, 2), (1, 3), (2,), (2, 3), (3,), (4,)} and len(met) == len(groups)
     assert dedup._plan([], 0.8) == ([], [])
+
+
+def test_pairs_of_texts_that_are_all_alike_come_in_parts(spark, tmp_path, monkeypatch):
+    from murmurlake.plans.core_queries import QUERIES
+
+    body = "今天去公园散步看见一只很大的白鸟停在湖边的石头上然后慢慢飞走了"
+    texts = [body + chr(0x5000 + i) for i in range(300)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["near_dup_pairs"](spark, str(tmp_path)).collect()
+    assert sorted((r["a"], r["b"]) for r in found) == [(i, j) for i in range(300) for j in range(i + 1, 300)]
+
+    monkeypatch.setattr(dedup, "_FOUND_AT_ONCE", 1000)
+    sizes, width, data = dedup.sketches_of(texts)
+    sketches = pa.array([x.tobytes() for x in np.split(data, np.cumsum(width // 8)[:-1])], pa.binary())
+    side = dedup._Side(sizes, sketches)
+    parts = list(dedup._close(side, side, True, 0.8))
+    assert max(len(a) for a, _ in parts) < 1000 + dedup._TILE[0] * len(texts)
+    assert len({(min(x, y), max(x, y)) for a, b in parts for x, y in zip(a.tolist(), b.tolist())}) == sum(len(a) for a, _ in parts) == 300 * 299 // 2
